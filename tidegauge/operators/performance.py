@@ -106,7 +106,12 @@ def class_metrics(df: DataFrame, label: str, prediction: str, keys: list[str] |
             zero.alias("predicted"),
             F.when(hit, n).otherwise(zero).alias("correct"),
         ),
-        F.struct(F.col(prediction).cast("string"), zero, n, zero),
+        F.struct(
+            F.col(prediction).cast("string").alias("class"),
+            zero.alias("support"),
+            n.alias("predicted"),
+            zero.alias("correct"),
+        ),
     )
     wide = (
         matrix.select(*keys, F.inline(sides))

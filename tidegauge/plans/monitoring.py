@@ -42,9 +42,19 @@ def quality_per_window(log: DataFrame, spec: MonitorSpec) -> DataFrame:
     return with_unused_keys(measure(rows, "_label", "_prediction", keys))
 
 
-def touched_windows(log: DataFrame, spec: MonitorSpec, since: str | dt.date | None) -> DataFrame:
-    """Only whole days from ``since`` on: what a refresh has to compute again."""
-    return log if since is None else log.where(F.col(spec.timestamp_col) >= F.lit(str(since)[:10]).cast("date"))
+def first_window_start(spark: SparkSession, spec: MonitorSpec, since: str | dt.date) -> dt.datetime:
+    """Start of the earliest window, over all granularities, that reaches past ``since``."""
+    moment = spark.range(1).select(F.lit(str(since)).cast("timestamp").alias("_t"))
+    starts = [moment.select(F.window("_t", g)["start"]).first()[0] for g in spec.granularities]
+    return min(starts)
+
+
+def touched_rows(log: DataFrame, spec: MonitorSpec, since: str | dt.date | None) -> DataFrame:
+    """The rows of all windows that reach past ``since``: what a refresh has to compute again."""
+    if since is None:
+        return log
+    start = first_window_start(log.sparkSession, spec, since)
+    return log.where(F.col(spec.timestamp_col) >= F.lit(start))
 
 
 def refresh(
@@ -54,23 +64,23 @@ def refresh(
     drift_table: str,
     baseline: DataFrame | None = None,
     since: str | dt.date | None = None,
+    exact: bool = False,
     custom: dict[str, Column] | None = None,
 ) -> None:
-    """Compute the touched windows and store them in place of their earlier versions.
+    """Compute the windows that reach past ``since`` and store them in place of earlier versions.
 
-    Without a baseline each window is compared with the one before it, so the drift of
-    the first day of a partial refresh is computed from one day more of the log.
+    Without a baseline each window is compared with the one before it, however far back
+    that lies, so drift is then computed on the whole log and only the touched windows
+    are stored.
     """
-    save_metrics(profile(touched_windows(log, spec, since), spec, custom=custom), profile_table)
+    rows = touched_rows(log, spec, since)
+    save_metrics(profile(rows, spec, exact, custom), profile_table)
     numeric, categorical = drift_columns(log, spec, baseline)
-    if since is not None and baseline is None:
-        first = dt.date.fromisoformat(str(since)[:10])
-        rows = touched_windows(log, spec, first - dt.timedelta(days=1))
-        found = drift(rows, spec, numeric, categorical).where(
-            F.col("window_start") >= F.lit(first.isoformat()).cast("date")
-        )
+    if baseline is not None or since is None:
+        found = drift(rows, spec, numeric, categorical, baseline, exact=exact)
     else:
-        found = drift(touched_windows(log, spec, since), spec, numeric, categorical, baseline)
+        start = first_window_start(log.sparkSession, spec, since)
+        found = drift(log, spec, numeric, categorical, exact=exact).where(F.col("window_start") >= F.lit(start))
     save_metrics(found, drift_table)
 
 

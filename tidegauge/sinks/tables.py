@@ -85,19 +85,24 @@ PARTITION_COLUMNS = ["granularity", "window_date"]
 def save_metrics(metrics: DataFrame, name: str) -> None:
     """Store a metric table by granularity and window day, replacing only the days it holds.
 
-    Running a refresh again gives the same table. The rebalance hint gives each day a
-    few well-sized files and splits a day that is much larger than the rest.
+    ``name`` is a catalog table, or a Parquet path when it holds a slash. Running a
+    refresh again gives the same table. The rebalance hint gives each day a few
+    well-sized files and splits a day that is much larger than the rest.
     """
     spark = metrics.sparkSession
     dated = metrics.withColumn("window_date", F.to_date("window_start"))
     ordered = dated.select(*[c for c in dated.columns if c not in PARTITION_COLUMNS], *PARTITION_COLUMNS)
     balanced = ordered.hint("rebalance", *PARTITION_COLUMNS)
-    if not spark.catalog.tableExists(name):
+    if "/" in name:
+        balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *PARTITION_COLUMNS
+        ).parquet(name)
+    elif not spark.catalog.tableExists(name):
         balanced.write.partitionBy(*PARTITION_COLUMNS).saveAsTable(name)
-        return
-    balanced.select(*spark.table(name).columns).write.option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(name, overwrite=True)
+    else:
+        balanced.select(*spark.table(name).columns).write.option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(name, overwrite=True)
 
 
 def read_metrics(

@@ -101,7 +101,9 @@ def drift_sink(baseline_counts: DataFrame, path: str) -> Callable[[DataFrame, in
     keys = ["granularity", "window_start", "window_end", "column_name"]
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        scored = share_measures(batch, baseline_counts, keys, ["column_name"], "value")
+        # the counts are read twice below; without the cache the stream state would be too
+        counts = batch.persist()
+        scored = share_measures(counts, baseline_counts, keys, ["column_name"], "value")
         (
             scored.withColumn("drift_type", F.lit("baseline"))
             .withColumn("batch_id", F.lit(batch_id))
@@ -110,6 +112,7 @@ def drift_sink(baseline_counts: DataFrame, path: str) -> Callable[[DataFrame, in
             .partitionBy("batch_id")
             .parquet(path)
         )
+        counts.unpersist()
 
     return store
 
