@@ -18,6 +18,16 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, True))
 
 
+def quoted(name: str) -> str:
+    """A column name for use inside a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal for use inside a SQL expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join on group keys in which null is a group of its own.
 

@@ -9,11 +9,13 @@ of the table is one row.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.columns import join_groups
+from tidegauge.functions.columns import join_groups, quoted
 
 DEFAULT_BINS = 256
 RANK_BINS = 512
@@ -29,11 +31,11 @@ def approx_edges(df: DataFrame, columns: list[str], bins: int = DEFAULT_BINS) ->
     """
     if not columns:
         return {}
-    steps = [i / bins for i in range(1, bins)]
-    row = df.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), steps, 10_000).alias(c) for c in columns]
+    steps = ", ".join(f"{i / bins!r}D" for i in range(1, bins))
+    row = df.selectExpr(
+        *[f"percentile_approx(CAST({quoted(c)} AS double), array({steps}), 10000)" for c in columns]
     ).first()
-    return {c: _distinct_edges(row[c] or []) for c in columns}
+    return {c: _distinct_edges(found or []) for c, found in zip(columns, row)}
 
 
 def exact_edges(df: DataFrame, columns: list[str], bins: int) -> Edges:
@@ -173,6 +175,11 @@ def exact_quantiles(counts: DataFrame, keys: list[str], probabilities: list[floa
     return found.select(*keys, F.inline(F.array(*rows)))
 
 
+def per_column(numbers: dict[str, list[float]]) -> Column:
+    """A list of numbers for each ``column_name``, as one constant."""
+    return F.from_json(F.lit(json.dumps(numbers)), "map<string,array<double>>")[F.col("column_name")]
+
+
 def histogram(df: DataFrame, keys: list[str], columns: list[str], edges: Edges) -> DataFrame:
     """Counts per bin of shared edges, with the bounds of each bin."""
     counts = bin_counts(numeric_long(df, keys, columns, edges), [*keys, "column_name"])
@@ -181,9 +188,7 @@ def histogram(df: DataFrame, keys: list[str], columns: list[str], edges: Edges)
 
 def with_bin_bounds(counts: DataFrame, columns: list[str], edges: Edges) -> DataFrame:
     """Lower and upper edge of each bin; null where the bin is open."""
-    bounds = F.create_map(
-        *[x for c in columns for x in (F.lit(c), F.array(*[F.lit(e) for e in edges.get(c, [])]).cast("array<double>"))]
-    )[F.col("column_name")]
+    bounds = per_column({c: edges.get(c, []) for c in columns})
     return counts.withColumn("lower", F.get(bounds, F.col("bin") - 1)).withColumn(
         "upper", F.get(bounds, F.col("bin"))
     )

@@ -24,6 +24,7 @@ from tidegauge.operators.distribution import (
     category_long,
     joint_edges,
     numeric_long,
+    per_column,
     value_counts,
 )
 from tidegauge.operators.windows import SLICE_KEYS, WINDOW_KEYS, grouped_rows, with_unused_keys
@@ -218,24 +219,9 @@ def binned_order_measures(
     Wasserstein-1 is the sum of distance times bin width between the first and last edge.
     """
     present = F.col("bin").isNotNull()
-    columns = sorted(edges)
-    grid = F.create_map(
-        *[
-            x
-            for c in columns
-            for x in (
-                F.lit(c),
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(i).alias("bin"),
-                            F.lit(edges[c][i + 1] - edges[c][i] if i + 1 < len(edges[c]) else 0.0).alias("_width"),
-                        )
-                        for i in range(len(edges[c]) + 1)
-                    ]
-                ),
-            )
-        ]
+    # the width above each edge but the last, which has no upper neighbour
+    widths = per_column(
+        {c: [*[high - low for low, high in zip(e, e[1:])], *([0.0] if e else []), 0.0] for c, e in edges.items()}
     )
 
     def cumulative(counts: DataFrame, by: list[str], size: str, share: str) -> DataFrame:
@@ -245,7 +231,7 @@ def binned_order_measures(
             # one entry per bin of a fixed grid
             F.map_from_entries(F.collect_list(F.when(present, F.struct("bin", "n")))).alias("_by_bin"),
         )
-        every_bin = filled.select(*by, size, "_by_bin", F.inline(grid[F.col("column_name")]))
+        every_bin = filled.select(*by, size, "_by_bin", F.posexplode(widths).alias("bin", "_width"))
         up_to = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         n = F.coalesce(F.col("_by_bin")[F.col("bin")], F.lit(0))
         return every_bin.select(*by, size, "bin", "_width", ratio(F.sum(n).over(up_to), F.col(size)).alias(share))

@@ -13,6 +13,7 @@ from tidegauge.operators.distribution import (
     numeric_long,
     value_counts,
 )
+from tidegauge.operators.profile import SKETCH_SIZE, sketched_quantiles
 from tidegauge.operators.windows import grouped_rows
 from tidegauge.spec import MonitorSpec
 
@@ -39,8 +40,13 @@ def serving_health(
         F.avg("_latency").alias("latency_avg"),
     ]
     if not exact:
-        aggregates.append(F.percentile_approx("_latency", probabilities, 10_000).alias("_q"))
+        aggregates += [
+            F.count("_latency").alias("_latency.n"),
+            F.kll_sketch_agg_double("_latency", SKETCH_SIZE).alias("_latency.ranks"),
+        ]
     health = rows.groupBy(*keys).agg(*aggregates)
+    if not exact:
+        health = health.withColumn("_q", sketched_quantiles("_latency", probabilities))
     if exact:
         edges = approx_edges(log.select(F.col(latency_col).alias("_latency")), ["_latency"], RANK_BINS)
         by = [*keys, "column_name"]

@@ -10,6 +10,25 @@ from tidegauge.spec import MonitorSpec
 WINDOW_KEYS = ["granularity", "window_start", "window_end"]
 SLICE_KEYS = ["slice_key", "slice_value"]
 
+# Seconds per unit of a granularity.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def granularity_seconds(granularity: str) -> int:
+    """Length of ``"30 minutes"``, ``"1 hour"``, ``"1 day"`` and the like."""
+    number, _, unit = granularity.strip().partition(" ")
+    unit = unit.strip().lower().removesuffix("s")
+    if not number.isdigit() or unit not in UNIT_SECONDS:
+        raise ValueError(f"Unknown granularity: {granularity}")
+    return int(number) * UNIT_SECONDS[unit]
+
+
+def nested_granularities(granularities: tuple[str, ...]) -> str | None:
+    """The finest granularity if all others are made of whole windows of it, else None."""
+    finest = min(granularities, key=granularity_seconds)
+    step = granularity_seconds(finest)
+    return finest if all(granularity_seconds(g) % step == 0 for g in granularities) else None
+
 
 def with_windows(df: DataFrame, timestamp_col: str, granularities: tuple[str, ...]) -> DataFrame:
     """One row per granularity, with the tumbling window the row falls into.
@@ -18,7 +37,7 @@ def with_windows(df: DataFrame, timestamp_col: str, granularities: tuple[str, ..
     aggregation, which shrinks them again before anything is shuffled. Rows without a
     timestamp belong to no window.
     """
-    staged = df
+    staged, others = df, [F.col(f"`{c}`") for c in df.columns]
     for i, granularity in enumerate(granularities):
         staged = staged.withColumn(f"_window{i}", F.window(timestamp_col, granularity))
     choices = [
@@ -30,8 +49,8 @@ def with_windows(df: DataFrame, timestamp_col: str, granularities: tuple[str, ..
         for i, g in enumerate(granularities)
     ]
     if len(choices) == 1:
-        return staged.select(*df.columns, choices[0].alias("_cut")).select(*df.columns, "_cut.*")
-    return staged.select(*df.columns, F.inline(F.array(*choices)))
+        return staged.select(*others, choices[0].alias("_cut")).select(*others, "_cut.*")
+    return staged.select(*others, F.inline(F.array(*choices)))
 
 
 def with_slices(df: DataFrame, slicing_exprs: tuple[str, ...]) -> DataFrame:

@@ -150,10 +150,10 @@ def unpack_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @workload(f"""
 WITH {LOG}
-SELECT request_id, 0 AS record, value, value * 2 AS amount, value > 20 AS prediction,
+SELECT request_id, 0.0::DOUBLE AS record, value, value * 2 AS amount, (value > 20)::VARCHAR AS prediction,
        false AS request_unparsed FROM log WHERE status_code = 200
 UNION ALL
-SELECT request_id, 1, value + 1, value * 3, value > 30, false FROM log WHERE status_code = 200
+SELECT request_id, 1, value + 1, value * 3, (value > 30)::VARCHAR, false FROM log WHERE status_code = 200
 UNION ALL
 SELECT request_id, NULL, NULL, NULL, NULL, true FROM log WHERE status_code <> 200""")
 def unpack_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,12 +166,16 @@ def unpack_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("status_code") == 200, request).otherwise(F.lit("{not json")).alias("request"),
         F.to_json(F.struct(F.array(v > 20, v > 30).alias("predictions"))).alias("response"),
     )
-    return logs.unpack_records(log, "value double, amount double", "boolean")
+    found = logs.unpack_records(log, "value double, amount double", "boolean")
+    return found.withColumns(
+        {"record": F.col("record").cast("double"), "prediction": F.col("prediction").cast("string")}
+    )
 
 
-@workload("SELECT doc_id, lang, source, n_chars, toxic FROM documents LEFT JOIN labels USING (doc_id)")
+@workload("SELECT doc_id, lang, source, n_chars, toxic::DOUBLE AS toxic FROM documents LEFT JOIN labels USING (doc_id)")
 def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.attach_labels(_documents(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", "toxic")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double"))
+    return logs.attach_labels(_documents(spark, sf_dir), labels, "doc_id", "toxic")
 
 
 @workload(f"""
