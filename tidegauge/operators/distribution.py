@@ -148,9 +148,11 @@ def exact_quantiles(counts: DataFrame, keys: list[str], probabilities: list[floa
     A quantile lies between the values at two ranks; each is the value whose counts
     cover that rank. No task holds the values of a whole group.
     """
-    present = counts.where(F.col("value").isNotNull())
-    totals = present.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    ranked = running_totals(present, keys, ["n"])
+    # a null value weighs nothing; dropping it here would make these counts a different
+    # shuffle from the ones a caller uses elsewhere, and the table would be read twice
+    weighed = counts.withColumn("n", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
+    totals = weighed.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    ranked = running_totals(weighed, keys, ["n"])
     sized = join_groups(ranked, totals, keys, "inner")
     first, last = F.col("before_n"), F.col("before_n") + F.col("n") - 1
     picks = []

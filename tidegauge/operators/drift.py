@@ -80,55 +80,59 @@ def share_measures(
     ``window_counts`` holds ``keys, cell, n``; ``reference_counts`` holds ``match, cell, n``
     where ``match`` is a subset of ``keys``. An empty window or reference gives nulls.
     """
+    # null cells are passed over inside the sums: a filter here would reach below the
+    # counting, and the tables would be counted once with and once without it
     present = F.col(cell).isNotNull()
-    reference = reference_counts.where(present)
     p, q, zero = F.col("_p"), F.col("_q"), F.lit(0.0)
-    sizes = reference.groupBy(*match).agg(F.sum("n").alias("reference_count"))
-    shares = join_groups(reference, sizes, match, "inner").select(
-        *match, cell, (F.col("n") / F.col("reference_count")).alias("_p")
+    sizes = reference_counts.groupBy(*match).agg(F.sum(F.when(present, F.col("n"))).alias("_size"))
+    shares = join_groups(reference_counts, sizes, match, "inner").select(
+        *match, cell, "_size", F.when(present, F.col("n") / F.col("_size")).alias("_p")
     )
-    # what a reference adds up to when the window has none of its cells
-    alone = shares.groupBy(*match).agg(
-        F.sum(_psi_term(p, zero)).alias("_psi_alone"),
-        F.sum(_js_term(p, zero)).alias("_js_alone"),
-        F.count("*").alias("_cells"),
+    # with what a reference adds up to when the window has none of its cells
+    references = shares.groupBy(*match).agg(
+        F.max(F.when(p.isNotNull(), F.col("_size"))).alias("reference_count"),
+        F.sum(F.when(present, _psi_term(p, zero))).alias("_psi_alone"),
+        F.sum(F.when(present, _js_term(p, zero))).alias("_js_alone"),
+        F.count(cell).alias("_cells"),
     )
-    references = join_groups(sizes, alone, match, "inner")
 
     windows = window_counts.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("window_count")
+        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("_total")
     )
-    cells = join_groups(window_counts.where(present), windows, keys, "inner").withColumn(
-        "_q", F.col("n") / F.col("window_count")
+    cells = join_groups(window_counts, windows, keys, "inner").withColumn("_q", ratio(F.col("n"), F.col("_total")))
+    paired = join_groups(cells, shares.drop("_size"), [*match, cell], "left").withColumn(
+        "_p", F.coalesce("_p", zero)
     )
-    paired = join_groups(cells, shares, [*match, cell], "left").withColumn("_p", F.coalesce("_p", zero))
-    expected = p * F.col("window_count")
-    corrections = paired.groupBy(*keys).agg(
-        F.sum(F.abs(p - q) - p).alias("_tv"),
-        F.sum(_psi_term(p, q) - F.when(p > 0, _psi_term(p, zero)).otherwise(zero)).alias("_psi"),
-        F.sum(_js_term(p, q) - _js_term(p, zero)).alias("_js"),
-        F.sum(F.when(p > 0, (F.col("n") - expected) ** 2 / expected - expected).otherwise(zero)).alias(
-            "_chi2"
-        ),
+    expected = p * F.col("_total")
+    sums = paired.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("window_count"),
+        F.sum(F.when(present, F.abs(p - q) - p)).alias("_tv"),
+        F.sum(
+            F.when(present, _psi_term(p, q) - F.when(p > 0, _psi_term(p, zero)).otherwise(zero))
+        ).alias("_psi"),
+        F.sum(F.when(present, _js_term(p, q) - _js_term(p, zero))).alias("_js"),
+        F.sum(
+            F.when(present & (p > 0), (F.col("n") - expected) ** 2 / expected - expected).otherwise(zero)
+        ).alias("_chi2"),
     )
-    sized = join_groups(join_groups(windows, corrections, keys, "left"), references, match, "left")
-    chi2 = F.col("_chi2") + F.col("window_count")
+    sized = join_groups(sums, references, match, "left")
+    window_count, reference_count = F.col("window_count"), F.col("reference_count")
+    # rounding can leave equal distributions a tiny negative sum
+    chi2 = F.greatest(F.col("_chi2") + window_count, zero)
+    measures = {
+        "total_variation": F.greatest(F.col("_tv") + 1, zero) / 2,
+        "psi": F.col("_psi") + F.col("_psi_alone"),
+        "jensen_shannon": F.sqrt(F.greatest(F.col("_js") + F.col("_js_alone"), zero)),
+        "chi_square": chi2,
+        "cramers_v": F.sqrt(ratio(chi2, window_count * (F.col("_cells") - 1))),
+    }
     return sized.select(
         *keys,
         "window_count",
-        F.coalesce("reference_count", F.lit(0)).alias("reference_count"),
+        F.coalesce(reference_count, F.lit(0)).alias("reference_count"),
         *[
-            F.when((F.col("window_count") > 0) & F.col("reference_count").isNotNull(), measure).alias(name)
-            for name, measure in {
-                "total_variation": (F.col("_tv") + 1) / 2,
-                "psi": F.col("_psi") + F.col("_psi_alone"),
-                # rounding can leave a tiny negative divergence for equal distributions
-                "jensen_shannon": F.sqrt(F.greatest(F.col("_js") + F.col("_js_alone"), zero)),
-                "chi_square": F.greatest(chi2, zero),
-                "cramers_v": F.sqrt(
-                    ratio(F.greatest(chi2, zero), F.col("window_count") * (F.col("_cells") - 1))
-                ),
-            }.items()
+            F.when((window_count > 0) & (reference_count > 0), measure).alias(name)
+            for name, measure in measures.items()
         ],
     )
 
@@ -143,24 +147,22 @@ def exact_ks(
     still and the reference's only rises. So the reference is looked up at the window's
     values, inside their bin, and never multiplied by the windows.
     """
-    present = F.col("value").isNotNull()
-    window_rows, reference_rows = window_counts.where(present), reference_counts.where(present)
-    windows = window_counts.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("window_count")
-    )
-    references = reference_rows.groupBy(*match).agg(F.sum("n").alias("reference_count"))
+    # a null value weighs nothing and sorts before all others
+    weight = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    windows = window_counts.groupBy(*keys).agg(F.sum(weight).alias("window_count"))
+    references = reference_counts.groupBy(*match).agg(F.sum(weight).alias("reference_count"))
 
     zero, other = F.lit(0).cast("long"), [k for k in keys if k not in match]
-    both = window_rows.select(
-        *match, *other, "bin", "value", F.col("n").alias("_w"), zero.alias("_r"), F.lit(True).alias("_asked")
+    both = window_counts.select(
+        *match, *other, "bin", "value", weight.alias("_w"), zero.alias("_r"), F.lit(True).alias("_asked")
     ).unionByName(
-        reference_rows.select(
+        reference_counts.select(
             *match,
-            *[F.lit(None).cast(window_rows.schema[k].dataType).alias(k) for k in other],
+            *[F.lit(None).cast(window_counts.schema[k].dataType).alias(k) for k in other],
             "bin",
             "value",
             zero.alias("_w"),
-            F.col("n").alias("_r"),
+            weight.alias("_r"),
             F.lit(False).alias("_asked"),
         )
     )
@@ -170,7 +172,10 @@ def exact_ks(
     across = Window.partitionBy(*match).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     below = (
         both.groupBy(*match, "bin")
-        .agg(F.sum("_r").alias("_in_bin"))
+        # the second sum is there so that this branch needs the same counts as the other
+        # one and they share a shuffle
+        .agg(F.sum("_r").alias("_in_bin"), F.sum(F.col("_r") + F.col("_w")).alias("_rows"))
+        .where(F.col("_rows").isNotNull())
         .select(*match, "bin", F.coalesce(F.sum("_in_bin").over(across), zero).alias("_below"))
     )
     looked_up = both.select(
@@ -185,8 +190,8 @@ def exact_ks(
     )
     w_across = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     w_below = (
-        window_rows.groupBy(*keys, "bin")
-        .agg(F.sum("n").alias("_in_bin"))
+        window_counts.groupBy(*keys, "bin")
+        .agg(F.sum(weight).alias("_in_bin"))
         .select(*keys, "bin", F.coalesce(F.sum("_in_bin").over(w_across), zero).alias("_w_below"))
     )
     ranked = join_groups(
@@ -202,12 +207,14 @@ def exact_ks(
     sized = join_groups(join_groups(steps, windows, keys, "inner"), references, match, "left")
     r, w = F.col("reference_count"), F.col("window_count")
     distance = F.greatest(
-        F.abs(F.col("_r_at") / r - F.col("_w_at") / w), F.abs(F.col("_r_before") / r - F.col("_w_before") / w)
+        F.abs(ratio(F.col("_r_at"), r) - ratio(F.col("_w_at"), w)),
+        F.abs(ratio(F.col("_r_before"), r) - ratio(F.col("_w_before"), w)),
+    )
+    return sized.groupBy(*keys).agg(
+        F.max("window_count").alias("window_count"),
+        F.coalesce(F.max("reference_count"), zero).alias("reference_count"),
+        F.max(distance).alias("ks"),
     )
-    scores = sized.groupBy(*keys).agg(F.max(distance).alias("ks"))
-    return join_groups(
-        join_groups(windows, scores, keys, "left"), references, match, "left"
-    ).withColumn("reference_count", F.coalesce("reference_count", zero))
 
 
 def binned_order_measures(
@@ -257,8 +264,9 @@ def _previous_windows(counts: DataFrame, keys: list[str]) -> DataFrame:
     order = Window.partitionBy(*series).orderBy("window_start")
     # one row per group and window
     following = (
-        counts.select(*keys)
-        .distinct()
+        counts.groupBy(*keys)
+        .agg(F.sum("n").alias("_n"))
+        .where(F.col("_n") > 0)
         .select(*keys, F.lead("window_start").over(order).alias("_next"))
         .where(F.col("_next").isNotNull())
         .drop("window_end")

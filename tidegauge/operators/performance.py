@@ -51,12 +51,8 @@ def binary_metrics(
     if score is None:
         return metrics
     auc = roc_auc(rows, label, score, keys, edges)
-    if keys:
-        return join_groups(metrics, auc, keys, "left")
-    whole = ["_whole"]
-    return join_groups(
-        metrics.withColumn("_whole", F.lit(1)), auc.withColumn("_whole", F.lit(1)), whole, "left"
-    ).drop("_whole")
+    # without keys both are one row
+    return join_groups(metrics, auc, keys, "left") if keys else metrics.withColumn("roc_auc", auc.scalar())
 
 
 def roc_auc(
@@ -77,8 +73,11 @@ def roc_auc(
         edges = approx_edges(flagged, ["score"], RANK_BINS)
     long = numeric_long(flagged, [*keys, "_positive"], ["score"], edges)
     by = [*keys, "column_name"]
-    counts = long.groupBy(*by, "bin", "value").agg(
-        count_where(positive).alias("_pos"), count_where(~positive).alias("_neg")
+    # negatives as a difference: both branches below then need both counts and share one shuffle
+    counts = (
+        long.groupBy(*by, "bin", "value")
+        .agg(F.count("*").alias("_all"), count_where(positive).alias("_pos"))
+        .withColumn("_neg", F.col("_all") - F.col("_pos"))
     )
     ranked = running_totals(counts, by, ["_neg"])
     below = F.col("before__neg") + F.col("_neg") / 2

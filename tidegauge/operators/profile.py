@@ -199,7 +199,10 @@ def _exact_numeric(df: DataFrame, spec: MonitorSpec, columns: list[str]) -> Data
     rows, keys = grouped_rows(df, spec, {c: F.col(c).cast("double") for c in columns})
     keys = [*keys, "column_name"]
     counts = value_counts(numeric_long(rows, keys[:-1], columns, edges), keys)
-    distinct = counts.groupBy(*keys).agg(F.count("value").cast("double").alias("metric_value"))
+    # asking for n keeps this branch on the counts the quantiles are taken from
+    distinct = counts.groupBy(*keys).agg(
+        F.count(F.when(F.col("n") > 0, F.col("value"))).cast("double").alias("metric_value")
+    )
     names = F.create_map(*[F.lit(x) for m, p in QUANTILES.items() for x in (p, m)])
     quantiles = exact_quantiles(counts, keys, list(QUANTILES.values())).select(
         *keys,

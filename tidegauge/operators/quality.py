@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.columns import count_where, join_groups, ratio
+from tidegauge.functions.columns import count_where, ratio
 from tidegauge.operators.distribution import (
     RANK_BINS,
     approx_edges,
@@ -15,7 +15,7 @@ from tidegauge.operators.distribution import (
     numeric_long,
     value_counts,
 )
-from tidegauge.operators.timeseries import autocorrelation, calendar_gaps
+from tidegauge.operators.timeseries import autocorrelation, resample
 
 # The rule names settings files use.
 RULES = (
@@ -169,37 +169,32 @@ def temporal_consistency(
     series: list[str] | None = None,
     max_failed: float = 0.0,
 ) -> DataFrame:
-    """Missing periods and repeated timestamps of each series."""
+    """Missing periods and repeated timestamps of each series, from one count per timestamp."""
     series = series or []
-    gaps = calendar_gaps(df, timestamp_col, frequency, series)
-    repeats = (
+    stamps = (
         df.where(F.col(timestamp_col).isNotNull())
         .groupBy(*series, timestamp_col)
         .agg(F.count("*").alias("_n"))
-        .groupBy(*series)
-        .agg(F.sum(F.col("_n") - 1).alias("duplicate_timestamps"))
     )
-    both = _joined(gaps, repeats, series)
+    regular = resample(stamps, timestamp_col, frequency, {"_repeats": F.sum(F.col("_n") - 1)}, series)
+    found = regular.groupBy(*series).agg(
+        F.count("*").alias("checked"),
+        count_where(F.col("n") == 0).alias("failed"),
+        F.sum("_repeats").alias("duplicate_timestamps"),
+    )
     return _with_verdict(
-        both.select(
+        found.select(
             *series,
             F.lit("temporal_consistency").alias("rule"),
             F.lit(timestamp_col).alias("column_name"),
-            F.col("periods").alias("checked"),
-            F.col("missing_periods").alias("failed"),
+            "checked",
+            "failed",
             "duplicate_timestamps",
             F.lit(float(max_failed)).alias("max_failed"),
         )
     )
 
 
-def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    if keys:
-        return join_groups(left, right, keys, "left")
-    one = F.lit(1)
-    return join_groups(left.withColumn("_one", one), right.withColumn("_one", one), ["_one"], "left").drop("_one")
-
-
 def seasonality_check(
     series_table: DataFrame,
     time_col: str,

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.columns import join_groups
-
 # The frequency names, as date_trunc unit and calendar step.
 FREQUENCIES = {
     "hourly": ("hour", "INTERVAL 1 HOUR"),
@@ -25,12 +23,27 @@ def period_of(column: str, frequency: str) -> Column:
     return F.date_trunc(FREQUENCIES[frequency][0], F.col(column).cast("timestamp")).cast("timestamp_ntz")
 
 
-def calendar(periods: DataFrame, frequency: str, series: list[str]) -> DataFrame:
-    """Every period between the first and the last one of each series."""
-    bounds = periods.groupBy(*series).agg(F.min("period").alias("_first"), F.max("period").alias("_last"))
-    step = F.expr(FREQUENCIES[frequency][1])
-    return bounds.where(F.col("_first").isNotNull()).select(
-        *series, F.explode(F.sequence("_first", "_last", step)).alias("period")
+def _ordered(time_col: str, series: list[str] | None):
+    return Window.partitionBy(*(series or [])).orderBy(time_col)
+
+
+def with_gaps(periods: DataFrame, frequency: str, series: list[str]) -> DataFrame:
+    """Add the periods between one row of a series and its next; ``in_gap`` marks them.
+
+    Takes one row per series and period, which is what the running order is kept over.
+    """
+    step = FREQUENCIES[frequency][1]
+    following = F.lead("period").over(_ordered("period", series))
+    others = [c for c in periods.columns if c != "period"]
+    return (
+        periods.withColumn("_next", following)
+        .withColumn("_last", F.expr(f"coalesce(_next - {step}, period)"))
+        .select(
+            *others,
+            F.col("period").alias("_own"),
+            F.explode(F.expr(f"sequence(period, _last, {step})")).alias("period"),
+        )
+        .select(*others, "period", (F.col("period") > F.col("_own")).alias("in_gap"))
     )
 
 
@@ -45,7 +58,7 @@ def resample(
     """Aggregate to regular periods, with rows for the periods that have no data.
 
     ``n`` counts the rows of a period; in a gap it is 0 and the aggregates are ``fill``.
-    Everything after the first aggregate is one row per series and period.
+    A series runs from its first to its last period.
     """
     series = series or []
     filled = (
@@ -53,15 +66,11 @@ def resample(
         .groupBy(*series, period_of(timestamp_col, frequency).alias("period"))
         .agg(F.count("*").alias("n"), *[a.alias(n) for n, a in aggregates.items()])
     )
-    regular = join_groups(calendar(filled, frequency, series), filled, [*series, "period"], "left")
-
-    def in_gap(name: str) -> Column:
-        if fill is None:
-            return F.col(name)
-        return F.when(F.col("n").isNull(), F.lit(fill)).otherwise(F.col(name)).alias(name)
-
-    return regular.select(
-        *series, "period", F.coalesce("n", F.lit(0)).alias("n"), *[in_gap(a) for a in aggregates]
+    return with_gaps(filled, frequency, series).select(
+        *series,
+        "period",
+        F.when(F.col("in_gap"), 0).otherwise(F.col("n")).alias("n"),
+        *[F.when(F.col("in_gap"), F.lit(fill)).otherwise(F.col(a)).alias(a) for a in aggregates],
     )
 
 
@@ -81,10 +90,6 @@ def missing_periods(
     return resample(df, timestamp_col, frequency, {}, series).where(F.col("n") == 0).drop("n")
 
 
-def _ordered(time_col: str, series: list[str] | None):
-    return Window.partitionBy(*(series or [])).orderBy(time_col)
-
-
 def lag_features(
     regular: DataFrame,
     time_col: str,
@@ -146,10 +151,9 @@ def logging_frequency(
         .agg(F.count("*").alias("n_rows"))
         .select("*", F.col("_first").alias("_last"), F.lit(0).cast("long").alias("_gap"))
     )
-    for keys in ([*series, "period", "_minute"], [*series, "period"], series):
-        before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_first"))
+    for keys in ([*series, "period", "_minute"], [*series, "period"]):
         stretches = (
-            stretches.withColumn("_gap", F.greatest("_gap", F.col("_first") - before))
+            _with_silence_before(stretches, keys)
             .groupBy(*keys)
             .agg(
                 F.sum("n_rows").alias("n_rows"),
@@ -158,20 +162,29 @@ def logging_frequency(
                 F.max("_gap").alias("_gap"),
             )
         )
-    totals = stretches.select(*series, "n_rows", (F.col("_gap") / 1e6).alias("longest_gap_seconds"))
-    spans = calendar_gaps(df, timestamp_col, frequency, series)
-    if series:
-        both = join_groups(spans, totals, series, "inner")
-    else:
-        one = F.lit(1)
-        both = join_groups(
-            spans.withColumn("_one", one), totals.withColumn("_one", one), ["_one"], "inner"
-        ).drop("_one")
-    return both.select(
-        *series,
-        "n_rows",
-        "periods",
-        F.col("missing_periods").alias("empty_periods"),
-        (F.col("n_rows") / F.col("periods")).alias("rows_per_period"),
-        "longest_gap_seconds",
+    skipped = F.expr(f"size(sequence(_earlier, period, {FREQUENCIES[frequency][1]})) - 2")
+    spans = _with_silence_before(stretches, series).withColumn(
+        "_earlier", F.lag("period").over(_ordered("period", series))
     )
+    return (
+        spans.groupBy(*series)
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.count("*").alias("_filled"),
+            F.coalesce(F.sum(skipped), F.lit(0)).alias("empty_periods"),
+            (F.max("_gap") / 1e6).alias("longest_gap_seconds"),
+        )
+        .select(
+            *series,
+            "n_rows",
+            (F.col("_filled") + F.col("empty_periods")).alias("periods"),
+            "empty_periods",
+            (F.col("n_rows") / (F.col("_filled") + F.col("empty_periods"))).alias("rows_per_period"),
+            "longest_gap_seconds",
+        )
+    )
+
+
+def _with_silence_before(stretches: DataFrame, keys: list[str]) -> DataFrame:
+    before = F.lag("_last").over(_ordered("_first", keys))
+    return stretches.withColumn("_gap", F.greatest("_gap", F.col("_first") - before))
