@@ -51,6 +51,8 @@ DRIFT_COLUMNS = DRIFT_SCHEMA.names
 # What a window can be compared with, and the lowest share inside a PSI.
 DRIFT_TYPES = ("baseline", "consecutive", "seasonal")
 PSI_FLOOR = 1e-4
+ORDER_MEASURES = ("ks", "wasserstein")
+SHARE_MEASURES = ("total_variation", "psi", "jensen_shannon", "chi_square", "cramers_v")
 
 
 def _psi_term(p: Column, q: Column) -> Column:
@@ -349,6 +351,7 @@ def numeric_drift(
     drift_type: str | None = None,
     edges: Edges | None = None,
     bins: int = DEFAULT_BINS,
+    measures: tuple[str, ...] = ORDER_MEASURES + SHARE_MEASURES,
 ) -> DataFrame:
     """Drift measures of numeric columns on shared bins, one row per window and column.
 
@@ -359,13 +362,20 @@ def numeric_drift(
     if edges is None:
         edges = approx_edges(df if baseline is None else baseline, columns, bins)
     counts, reference, keys, match = _numeric_counts(df, spec, columns, baseline, drift_type, edges, bin_counts)
-    shares = share_measures(counts, reference, keys, match, "bin")
-    order = binned_order_measures(counts, reference, keys, match, {c: edges.get(c, []) for c in columns})
-    return (
-        join_groups(shares, order.drop("window_count", "reference_count"), keys, "inner")
-        .withColumn("drift_type", F.lit(drift_type))
-        .drop("_weekday")
-    )
+    sizes = ["window_count", "reference_count"]
+    ordered = [m for m in ORDER_MEASURES if m in measures]
+    shared = [m for m in SHARE_MEASURES if m in measures]
+    found = None
+    if ordered:
+        every_edge = {c: edges.get(c, []) for c in columns}
+        order = binned_order_measures(counts, reference, keys, match, every_edge)
+        found = order.select(*keys, *sizes, *ordered)
+    if shared:
+        shares = share_measures(counts, reference, keys, match, "bin").select(*keys, *sizes, *shared)
+        found = shares if found is None else join_groups(found, shares.drop(*sizes), keys, "inner")
+    if found is None:
+        raise ValueError(f"Unknown measures: {measures}")
+    return found.withColumn("drift_type", F.lit(drift_type)).drop("_weekday")
 
 
 def exact_numeric_drift(
@@ -449,7 +459,9 @@ def drift(
         if numeric and exact:
             parts.append(drift_table(exact_numeric_drift(df, spec, numeric, baseline, drift_type), "ks"))
         elif numeric:
-            measured = numeric_drift(df, spec, numeric, baseline, drift_type, bins=bins)
+            measured = numeric_drift(
+                df, spec, numeric, baseline, drift_type, bins=bins, measures=("ks",)
+            )
             parts.append(drift_table(measured, "ks"))
     if not parts:
         raise ValueError("no column to compare")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.spec import MonitorSpec
 
@@ -37,14 +40,21 @@ def with_windows(df: DataFrame, timestamp_col: str, granularities: tuple[str, ..
     aggregation, which shrinks them again before anything is shuffled. Rows without a
     timestamp belong to no window.
     """
+    naive = isinstance(df.schema[timestamp_col].dataType, T.TimestampNTZType)
+    never = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz" if naive else "timestamp")
+
+    def bound(i: int, side: str) -> Column:
+        # never null, which lets joins on it be plain equi-joins that pass filters on
+        return F.coalesce(F.col(f"_window{i}.{side}"), never).alias(f"window_{side}")
+
     staged, others = df, [F.col(f"`{c}`") for c in df.columns]
     for i, granularity in enumerate(granularities):
         staged = staged.withColumn(f"_window{i}", F.window(timestamp_col, granularity))
     choices = [
         F.struct(
             F.lit(g).alias("granularity"),
-            F.col(f"_window{i}.start").alias("window_start"),
-            F.col(f"_window{i}.end").alias("window_end"),
+            bound(i, "start"),
+            bound(i, "end"),
         )
         for i, g in enumerate(granularities)
     ]

@@ -133,10 +133,10 @@ w AS (SELECT {DAY} AS window_start, len(list_filter((SELECT edges FROM e), lambd
 b AS (SELECT len(list_filter((SELECT edges FROM e), lambda x: value >= x)) AS v FROM base), {PAIRED}"""
 
 
-def _daily_deciles(spark, sf_dir):
+def _daily_deciles(spark, sf_dir, *measures):
     base = baseline(spark, sf_dir)
     edges = exact_edges(base, ["value"], 10)
-    return dr.numeric_drift(monitored(spark, sf_dir), log_spec(), ["value"], base, edges=edges)
+    return dr.numeric_drift(monitored(spark, sf_dir), log_spec(), ["value"], base, edges=edges, measures=measures)
 
 
 @workload(f"""
@@ -145,7 +145,8 @@ SELECT window_start, round({PSI}, 6) AS psi, round({TV}, 6) AS total_variation
 FROM paired GROUP BY window_start""")
 def drift_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population stability over the decile bins of the baseline."""
-    found = _daily_deciles(spark, sf_dir).select("window_start", "psi", "total_variation")
+    found = _daily_deciles(spark, sf_dir, "psi", "total_variation")
+    found = found.select("window_start", "psi", "total_variation")
     return rounded(found, "psi", "total_variation")
 
 
@@ -159,7 +160,8 @@ SELECT window_start, round(max(abs(fp - fq)), 6) AS ks,
 FROM steps GROUP BY window_start""")
 def drift_wasserstein(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances of the binned distribution functions."""
-    found = _daily_deciles(spark, sf_dir).select("window_start", "ks", "wasserstein")
+    found = _daily_deciles(spark, sf_dir, "ks", "wasserstein")
+    found = found.select("window_start", "ks", "wasserstein")
     return rounded(found, "ks", "wasserstein")
 
 
@@ -498,22 +500,20 @@ def accuracy_drop_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @workload("""
 WITH checks AS (
-  SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, count(*) AS n,
+  SELECT time_bucket(INTERVAL '1 day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS n,
          count(*) FILTER (NOT value BETWEEN 1 AND 200) AS a, count(*) FILTER (NOT value BETWEEN 0 AND 100) AS b
   FROM events GROUP BY 1)
-SELECT window_start, round(((1 - a / n) + (1 - b / n)) / 2, 6) AS data_quality_score, 'critical' AS severity
+SELECT window_end, round(((1 - a / n) + (1 - b / n)) / 2, 6) AS data_quality_score, 'critical' AS severity
 FROM checks WHERE ((1 - a / n) + (1 - b / n)) / 2 < 0.97""")
 def quality_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days whose data quality score lies below the floor."""
     rows, keys = grouped_rows(inference_log(spark, sf_dir), log_spec(), {"value": F.col("value")})
     checks = check_rows(rows, [range_check("value", 1, 200), outlier_check("value", (0, 100))], keys)
     scores = quality_score(checks, keys)
-    metrics = alerts.metric_rows(scores, "data_quality_score", "data_quality_score").join(
-        scores.select("window_start", "window_end"), "window_end"
-    )
+    metrics = alerts.metric_rows(scores, "data_quality_score", "data_quality_score")
     rules = alerts.rules_table(spark, [AlertRule("data_quality_score", 0.97, "critical")])
     found = alerts.evaluate_rules(metrics, rules, None)
     return rounded(
-        found.select("window_start", F.col("value").alias("data_quality_score"), "severity"),
+        found.select("window_end", F.col("value").alias("data_quality_score"), "severity"),
         "data_quality_score",
     )
