@@ -19,6 +19,7 @@ def executed(spark, name):
     "name, scans",
     [
         ("profile_lines_sketched", 1),
+        ("profile_default", 1),
         ("profile_merged_granularities", 1),
         ("profile_numeric_daily", 2),
         ("drift_tv_daily", 2),

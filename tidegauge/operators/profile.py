@@ -49,7 +49,7 @@ QUANTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
 def profiled_columns(df: DataFrame, spec: MonitorSpec) -> tuple[list[str], list[str]]:
     """The columns a monitor profiles: as given, else by type without keys and times."""
-    numeric, categorical = column_roles(df.schema)
+    numeric, categorical = column_roles(df.schema, (spec.timestamp_col, spec.model_id_col))
     return (
         list(numeric if spec.numeric_cols is None else spec.numeric_cols),
         list(categorical if spec.categorical_cols is None else spec.categorical_cols),
@@ -73,97 +73,102 @@ def _shaped(metrics: DataFrame) -> DataFrame:
     return with_unused_keys(metrics).select(*PROFILE_COLUMNS)
 
 
-def _states(
-    rows: DataFrame, keys: list[str], columns: list[str], sketches: bool, custom: dict[str, Column]
-) -> DataFrame:
-    """One wide row per group: counters, moments and sketches that can be merged further.
-
-    All of them have a fixed size, so map tasks shrink their rows to one per group they
-    have seen before anything is shuffled.
-    """
-    aggregates = ["count(*) AS _rows"]
-    for c in columns:
-        v = quoted(c)
-        known = {
-            "n": f"count({v})",
-            "mean": f"avg({v})",
-            "m2": f"var_pop({v}) * count({v})",
-            "min": f"min({v})",
-            "max": f"max({v})",
-            "num_zeros": f"count_if({v} = 0)",
-        }
-        if sketches:
-            known["distinct"] = f"hll_sketch_agg(CASE WHEN {v} IS NOT NULL THEN xxhash64({v}) END)"
-            known["ranks"] = f"kll_sketch_agg_double({v}, {SKETCH_SIZE})"
-        aggregates += [f"{a} AS {part(c, m)}" for m, a in known.items()]
-    named = [a.alias(f"custom.{name}") for name, a in custom.items()]
-    return rows.groupBy(*keys).agg(*[F.expr(a) for a in aggregates], *named)
-
-
 def part(column: str, state: str) -> str:
     """SQL name of one state of a column in a wide row."""
     return quoted(f"{column}.{state}")
 
 
-def _merged_states(
-    states: DataFrame, keys: list[str], columns: list[str], sketches: bool, granularities: tuple[str, ...]
-) -> DataFrame:
-    """States of all granularities from those of the finest one.
+def _numeric_states(column: str, sketches: bool) -> dict[str, tuple[str, str]]:
+    """States of a numeric column: how to take them from rows, and how to merge them.
 
-    The squared deviations of a coarse window are those inside its parts plus those of
-    the parts' means from the common mean, which avoids the difference of two large sums.
+    The squared deviations of merged windows are those inside the parts plus those of the
+    parts' means from the common mean, which avoids the difference of two large sums.
     """
-    at = states.drop("granularity", "window_end").withColumnRenamed("window_start", "_at")
-    cut = with_windows(at, "_at", granularities)
+    v = quoted(column)
+    n, mean, total, m2 = (part(column, state) for state in ("n", "mean", "total_mean", "m2"))
+    states = {
+        "n": (f"count({v})", f"sum({n})"),
+        "mean": (f"avg({v})", f"max({total})"),
+        "m2": (f"var_pop({v}) * count({v})", f"sum({m2} + {n} * power({mean} - {total}, 2))"),
+        "min": (f"min({v})", f"min({part(column, 'min')})"),
+        "max": (f"max({v})", f"max({part(column, 'max')})"),
+        "num_zeros": (f"count_if({v} = 0)", f"sum({part(column, 'num_zeros')})"),
+    }
+    if sketches:
+        distinct, ranks = part(column, "distinct"), part(column, "ranks")
+        hashed = f"CASE WHEN {v} IS NOT NULL THEN xxhash64({v}) END"
+        states["distinct"] = (f"hll_sketch_agg({hashed})", f"hll_union_agg({distinct})")
+        states["ranks"] = (
+            f"kll_sketch_agg_double({v}, {SKETCH_SIZE})",
+            f"kll_merge_agg_double({ranks}, {SKETCH_SIZE})",
+        )
+    return {f"{column}.{state}": sql for state, sql in states.items()}
+
+
+def _text_states(column: str) -> dict[str, tuple[str, str]]:
+    """As ``_numeric_states`` for a categorical column, whose values are in ``<column>.text``."""
+    v = part(column, "text")
+    states = {
+        "n": (f"count({v})", "sum"),
+        "distinct": (f"hll_sketch_agg({v})", "hll_union_agg"),
+        "length": (f"sum(length({v}))", "sum"),
+        "min_length": (f"min(length({v}))", "min"),
+        "max_length": (f"max(length({v}))", "max"),
+    }
+    return {
+        f"{column}.text.{state}": (first, f"{again}({part(column, f'text.{state}')})")
+        for state, (first, again) in states.items()
+    }
+
+
+def window_states(
+    df: DataFrame,
+    spec: MonitorSpec,
+    numeric: list[str],
+    categorical: list[str],
+    sketches: bool,
+    custom: dict[str, Column],
+) -> tuple[DataFrame, list[str]]:
+    """One wide row per window, model and slice with the states of all columns.
+
+    One aggregate over the table for all columns. The states have a fixed size, so map
+    tasks shrink their rows to one per group they meet before anything is shuffled. With
+    several granularities only the finest is computed from rows; the others are merged
+    from its few states.
+    """
+    # a user's own aggregate is only known to work on rows
+    finest = None if custom or len(spec.granularities) == 1 else nested_granularities(spec.granularities)
+    base = spec if finest is None else replace(spec, granularities=(finest,))
+    values = {c: F.col(c).cast("double") for c in numeric}
+    values |= {f"{c}.text": F.col(c).cast("string") for c in categorical}
+    values |= {c: F.col(c) for c in df.columns if custom and c not in values}
+    rows, keys = grouped_rows(df, base, values)
+    states = {"_rows": ("count(*)", "sum(_rows)")}
+    for c in numeric:
+        states |= _numeric_states(c, sketches)
+    for c in categorical:
+        states |= _text_states(c)
+    taken = [f"{first} AS {quoted(name)}" for name, (first, _) in states.items()]
+    own = [a.alias(f"custom.{name}") for name, a in custom.items()]
+    wide = rows.groupBy(*keys).agg(*[F.expr(a) for a in taken], *own)
+    if finest is None:
+        return wide, keys
+    at = wide.drop("granularity", "window_end").withColumnRenamed("window_start", "_at")
     whole = f"OVER (PARTITION BY {', '.join(quoted(k) for k in keys)})"
     means = [
         f"try_divide(sum({part(c, 'n')} * {part(c, 'mean')}) {whole}, sum({part(c, 'n')}) {whole}) "
         f"AS {part(c, 'total_mean')}"
-        for c in columns
+        for c in numeric
     ]
-    aggregates = ["sum(_rows) AS _rows"]
-    for c in columns:
-        n, mean, total = (part(c, s) for s in ("n", "mean", "total_mean"))
-        known = {
-            "n": f"sum({n})",
-            "mean": f"max({total})",
-            "m2": f"sum({part(c, 'm2')} + {n} * power({mean} - {total}, 2))",
-            "min": f"min({part(c, 'min')})",
-            "max": f"max({part(c, 'max')})",
-            "num_zeros": f"sum({part(c, 'num_zeros')})",
-        }
-        if sketches:
-            known["distinct"] = f"hll_union_agg({part(c, 'distinct')})"
-            known["ranks"] = f"kll_merge_agg_double({part(c, 'ranks')}, {SKETCH_SIZE})"
-        aggregates += [f"{a} AS {part(c, m)}" for m, a in known.items()]
-    return cut.selectExpr("*", *means).groupBy(*keys).agg(*[F.expr(a) for a in aggregates])
+    merged = [f"{again} AS {quoted(name)}" for name, (_, again) in states.items()]
+    cut = with_windows(at, "_at", spec.granularities).selectExpr("*", *means)
+    return cut.groupBy(*keys).agg(*[F.expr(a) for a in merged]), keys
 
 
-def numeric_profile(
-    df: DataFrame,
-    spec: MonitorSpec,
-    columns: list[str],
-    exact: bool = False,
-    custom: dict[str, Column] | None = None,
-) -> DataFrame:
-    """Count, nulls, moments, extremes, zeros, quantiles and distinct values per window.
+Metrics = dict[tuple[str, str], str]
 
-    One wide aggregate over the table: a shuffled row per group, not per group and
-    column. With several granularities only the finest is computed from the rows and the
-    others are merged from its few states. By default quantiles and distinct counts are
-    sketches; ``exact=True`` takes them from value counts instead. ``custom`` adds
-    aggregate expressions of the user's own, by metric name, over the table's columns.
-    """
-    custom = custom or {}
-    values = {c: F.col(c).cast("double") for c in columns}
-    values |= {c: F.col(c) for c in df.columns if custom and c not in values}
-    # a user's own aggregate is only known to work on rows
-    finest = None if custom or len(spec.granularities) == 1 else nested_granularities(spec.granularities)
-    base = spec if finest is None else replace(spec, granularities=(finest,))
-    rows, keys = grouped_rows(df, base, values)
-    states = _states(rows, keys, columns, not exact, custom)
-    if finest is not None:
-        states = _merged_states(states, keys, columns, not exact, spec.granularities)
+
+def _numeric_metrics(columns: list[str], sketches: bool) -> Metrics:
     metrics = {}
     for c in columns:
         n = part(c, "n")
@@ -173,16 +178,57 @@ def numeric_profile(
         metrics[(c, "avg")] = part(c, "mean")
         metrics[(c, "stddev")] = f"CASE WHEN {n} > 1 THEN sqrt({part(c, 'm2')} / ({n} - 1)) END"
         metrics |= {(c, m): part(c, m) for m in ("min", "max", "num_zeros")}
-        if not exact:
+        if sketches:
             metrics[(c, "distinct_count")] = f"hll_sketch_estimate({part(c, 'distinct')})"
             metrics |= {(c, m): f"get({part(c, 'quantiles')}, {i})" for i, m in enumerate(QUANTILES)}
+    return metrics
+
+
+def _text_metrics(columns: list[str]) -> Metrics:
+    metrics = {}
+    for c in columns:
+        n = part(c, "text.n")
+        metrics[(c, "count")] = "_rows"
+        metrics[(c, "num_nulls")] = f"_rows - {n}"
+        metrics[(c, "percent_null")] = f"100 * (_rows - {n}) / _rows"
+        metrics[(c, "distinct_count")] = f"hll_sketch_estimate({part(c, 'text.distinct')})"
+        metrics[(c, "avg_length")] = f"try_divide({part(c, 'text.length')}, {n})"
+        metrics |= {(c, m): part(c, f"text.{m}") for m in ("min_length", "max_length")}
+    return metrics
+
+
+def _profile_of_states(
+    df: DataFrame,
+    spec: MonitorSpec,
+    numeric: list[str],
+    categorical: list[str],
+    sketches: bool = True,
+    custom: dict[str, Column] | None = None,
+) -> DataFrame:
+    custom = custom or {}
+    states, keys = window_states(df, spec, numeric, categorical, sketches, custom)
+    if sketches and numeric:
+        states = states.withColumns({f"{c}.quantiles": sketched_quantiles(c, QUANTILES.values()) for c in numeric})
+    metrics = _numeric_metrics(numeric, sketches) | _text_metrics(categorical)
     metrics |= {(":table", name): quoted(f"custom.{name}") for name in custom}
-    if not exact:
-        states = states.withColumns({f"{c}.quantiles": sketched_quantiles(c, QUANTILES.values()) for c in columns})
-    profile = _shaped(long_metrics(states, keys, metrics))
-    if not exact or not columns:
-        return profile
-    return profile.unionByName(_exact_numeric(df, spec, columns))
+    return _shaped(long_metrics(states, keys, metrics))
+
+
+def numeric_profile(
+    df: DataFrame,
+    spec: MonitorSpec,
+    columns: list[str],
+    exact: bool = False,
+    custom: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Count, nulls, moments, extremes, zeros, quantiles and distinct values per window.
+
+    By default quantiles and distinct counts are sketches; ``exact=True`` takes them from
+    value counts instead. ``custom`` adds aggregate expressions of the user's own, by
+    metric name, over the table's columns.
+    """
+    found = _profile_of_states(df, spec, columns, [], not exact, custom)
+    return found.unionByName(_exact_numeric(df, spec, columns)) if exact and columns else found
 
 
 def sketched_quantiles(column: str, probabilities) -> Column:
@@ -223,7 +269,7 @@ def categorical_profile(
     and leaves out the most frequent value.
     """
     if not exact:
-        return _sketched_categories(df, spec, columns)
+        return _profile_of_states(df, spec, [], columns)
     rows, keys = grouped_rows(df, spec, {c: F.col(c).cast("string") for c in columns})
     keys = [*keys, "column_name"]
     counts = value_counts(category_long(rows, keys[:-1], columns), keys)
@@ -259,51 +305,20 @@ def categorical_profile(
     return _shaped(named.select(*keys, F.inline(F.array(*cells))))
 
 
-def _sketched_categories(
-    df: DataFrame, spec: MonitorSpec, columns: list[str]
-) -> DataFrame:
-    finest = nested_granularities(spec.granularities) if len(spec.granularities) > 1 else None
-    base = spec if finest is None else replace(spec, granularities=(finest,))
-    rows, keys = grouped_rows(df, base, {c: F.col(c).cast("string") for c in columns})
-    aggregates, merges, metrics = ["count(*) AS _rows"], ["sum(_rows) AS _rows"], {}
-    for c in columns:
-        v, n = quoted(c), part(c, "n")
-        known = {
-            "n": (f"count({v})", "sum"),
-            "distinct": (f"hll_sketch_agg({v})", "hll_union_agg"),
-            "length": (f"sum(length({v}))", "sum"),
-            "min_length": (f"min(length({v}))", "min"),
-            "max_length": (f"max(length({v}))", "max"),
-        }
-        aggregates += [f"{first} AS {part(c, m)}" for m, (first, _) in known.items()]
-        merges += [f"{again}({part(c, m)}) AS {part(c, m)}" for m, (_, again) in known.items()]
-        metrics[(c, "count")] = "_rows"
-        metrics[(c, "num_nulls")] = f"_rows - {n}"
-        metrics[(c, "percent_null")] = f"100 * (_rows - {n}) / _rows"
-        metrics[(c, "distinct_count")] = f"hll_sketch_estimate({part(c, 'distinct')})"
-        metrics[(c, "avg_length")] = f"try_divide({part(c, 'length')}, {n})"
-        metrics |= {(c, m): part(c, m) for m in ("min_length", "max_length")}
-    states = rows.groupBy(*keys).agg(*[F.expr(a) for a in aggregates])
-    if finest is not None:
-        at = states.drop("granularity", "window_end").withColumnRenamed("window_start", "_at")
-        states = with_windows(at, "_at", spec.granularities).groupBy(*keys).agg(
-            *[F.expr(m) for m in merges]
-        )
-    return _shaped(long_metrics(states, keys, metrics))
-
-
 def profile(
     df: DataFrame, spec: MonitorSpec, exact: bool = False, custom: dict[str, Column] | None = None
 ) -> DataFrame:
-    """The profile table of a monitor: numeric and categorical columns, all granularities and slices."""
+    """The profile table of a monitor: all columns, granularities and slices, by default in one pass."""
     numeric, categorical = profiled_columns(df, spec)
     if not numeric and not categorical and not custom:
         raise ValueError("no column to profile")
+    if not exact:
+        return _profile_of_states(df, spec, numeric, categorical, True, custom)
     parts = []
     if numeric or custom:
-        parts.append(numeric_profile(df, spec, numeric, exact, custom))
+        parts.append(numeric_profile(df, spec, numeric, True, custom))
     if categorical:
-        parts.append(categorical_profile(df, spec, categorical, exact))
+        parts.append(categorical_profile(df, spec, categorical, True))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 

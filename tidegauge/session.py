@@ -29,6 +29,8 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # groups a task aggregates in memory before it sorts; a column's sketches take 30 KB each
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1024")
         # wide aggregates are built from many columns; do not record where each was made
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
