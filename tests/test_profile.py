@@ -90,6 +90,13 @@ def test_column_of_nulls(spark):
         assert by_name[("x", "distinct_count")] == 0 and by_name[("c", "distinct_count")] == 0
 
 
+def test_column_of_nan_has_no_quantiles(spark):
+    df = spark.createDataFrame([(START, float("nan"))], "ts timestamp, x double")
+    for exact in (False, True):
+        found = {(k[-2], k[-1]): v for k, v in values(pr.numeric_profile(df, spec(), ["x"], exact)).items()}
+        assert found[("x", "median")] is None and found[("x", "count")] == 1
+
+
 def test_most_frequent_tie_goes_to_the_smallest(spark):
     df = spark.createDataFrame([(START, "b"), (START, "a"), (START, None), (START, None), (START, None)], "ts timestamp, c string")
     found = pr.categorical_profile(df, spec(), ["c"], exact=True).where("metric_name = 'most_frequent'").first()

@@ -32,6 +32,11 @@ def test_row_rules_by_hand(spark):
     assert score["n_passed"] == 2
 
 
+def test_share_equal_to_the_limit_passes(spark):
+    df = spark.range(20).select(F.col("id").cast("double").alias("v"))
+    assert dq.check_rows(df, [dq.range_check("v", 1, 100, 0.05)]).first()["passed"]
+
+
 def test_nothing_to_check_passes(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert dq.check_rows(df, [dq.range_check("v", 0, 1)]).first()["passed"]

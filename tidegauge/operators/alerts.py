@@ -199,7 +199,8 @@ def relative_change(
 ) -> DataFrame:
     """Change of a per-window metric, relative to a given reference or to the window before.
 
-    ``windows`` is a metric table: one row per window, model and slice.
+    ``windows`` is a metric table: one row per window, model and slice. A fall is
+    negative whatever the sign of the reference; there is no change relative to 0.
     """
     if reference is None:
         order = Window.partitionBy(*(keys or [])).orderBy("window_start")
@@ -208,7 +209,7 @@ def relative_change(
         base = F.lit(float(reference))
     sized = windows.withColumn("reference_value", base)
     return sized.withColumn(
-        "relative_change", ratio(F.col(value) - F.col("reference_value"), F.col("reference_value"))
+        "relative_change", ratio(F.col(value) - F.col("reference_value"), F.abs("reference_value"))
     )
 
 

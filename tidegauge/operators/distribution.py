@@ -18,23 +18,51 @@ from pyspark.sql import functions as F
 from tidegauge.functions.columns import join_groups, quoted
 
 DEFAULT_BINS = 256
-RANK_BINS = 512
+# Entries of the sketch that edges are taken from.
+EDGE_SKETCH_SIZE = 4096
+# Partial sketches are merged in this many groups before the last merge.
+MERGE_GROUPS = 256
 
 Edges = dict[str, list[float]]
 
 
-def approx_edges(df: DataFrame, columns: list[str], bins: int = DEFAULT_BINS) -> Edges:
+def ranks_of_sketch(sketch: str, ranks: str) -> str:
+    """SQL for the values at some ranks; an empty sketch has none."""
+    return (
+        f"CASE WHEN kll_sketch_get_n_double({sketch}) > 0 "
+        f"THEN kll_sketch_get_quantile_double({sketch}, array({ranks})) END"
+    )
+
+
+def rank_bins(df: DataFrame) -> int:
+    """Bins for work that needs exact ranks: about one per shuffle partition."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(256, min(EDGE_SKETCH_SIZE, partitions))
+
+
+def approx_edges(df: DataFrame, columns: list[str], bins: int | None = None) -> Edges:
     """Inner bin edges at equal steps of the distribution, one small job for all columns.
 
     ``columns x bins`` numbers reach the driver. Where they fall decides how even the
-    work is; results that need exact ranks do not depend on them.
+    work is; results that need exact ranks do not depend on them. The sketches of the
+    map tasks are merged in groups first, so the last task never meets one per map task.
     """
     if not columns:
         return {}
+    bins = rank_bins(df) if bins is None else bins
     steps = ", ".join(f"{i / bins!r}D" for i in range(1, bins))
-    row = df.selectExpr(
-        *[f"percentile_approx(CAST({quoted(c)} AS double), array({steps}), 10000)" for c in columns]
-    ).first()
+    size = EDGE_SKETCH_SIZE
+    rows = df.selectExpr(
+        f"pmod(spark_partition_id(), {MERGE_GROUPS}) AS _group",
+        *[f"CAST({quoted(c)} AS double) AS _c{i}" for i, c in enumerate(columns)],
+    )
+    grouped = rows.groupBy("_group").agg(
+        *[F.expr(f"kll_sketch_agg_double(_c{i}, {size}) AS _s{i}") for i in range(len(columns))],
+    )
+    merged = grouped.agg(
+        *[F.expr(f"kll_merge_agg_double(_s{i}, {size}) AS _s{i}") for i in range(len(columns))],
+    )
+    row = merged.selectExpr(*[ranks_of_sketch(f"_s{i}", steps) for i in range(len(columns))]).first()
     return {c: _distinct_edges(found or []) for c, found in zip(columns, row)}
 
 
@@ -43,7 +71,7 @@ def exact_edges(df: DataFrame, columns: list[str], bins: int) -> Edges:
     if not columns:
         return {}
     steps = [i / bins for i in range(1, bins)]
-    long = numeric_long(df, [], columns, approx_edges(df, columns, RANK_BINS))
+    long = numeric_long(df, [], columns, approx_edges(df, columns))
     found = exact_quantiles(value_counts(long, ["column_name"]), ["column_name"], steps).collect()
     return {
         c: _distinct_edges([r["quantile_value"] for r in found if r["column_name"] == c]) for c in columns
@@ -115,30 +143,36 @@ def bin_counts(long: DataFrame, keys: list[str]) -> DataFrame:
 def running_totals(
     counts: DataFrame, keys: list[str], weights: list[str], value: str = "value"
 ) -> DataFrame:
-    """Add ``before_<w>``: the sum of a weight over all smaller values of the group.
+    """Add ``before_<w>`` and ``total_<w>``: a weight over all smaller values, and over the group.
 
-    ``counts`` has one row per group and value, with the bin of the value.
+    ``counts`` has one row per group and value, with the bin of the value. The total
+    comes with the sums over bins, so the values of a group never have to meet.
     """
+    # a bin that is never null keeps the join below a plain equi-join, which can use the
+    # partitioning of the window inside the bins
+    binned = counts.withColumn("_bin", F.coalesce("bin", F.lit(-1)))
     inside = (
-        Window.partitionBy(*keys, "bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
     # one row per group and bin: the number of bins is a parameter, not a data size
-    across = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     below = (
-        counts.groupBy(*keys, "bin")
+        binned.groupBy(*keys, "_bin")
         .agg(*[F.sum(w).alias(f"_bin_{w}") for w in weights])
         .select(
             *keys,
-            "bin",
+            "_bin",
             *[F.coalesce(F.sum(f"_bin_{w}").over(across), F.lit(0)).alias(f"_below_{w}") for w in weights],
+            *[F.sum(f"_bin_{w}").over(Window.partitionBy(*keys)).alias(f"total_{w}") for w in weights],
         )
     )
-    ranked = counts.select(
+    ranked = binned.select(
         "*", *[F.coalesce(F.sum(w).over(inside), F.lit(0)).alias(f"_inside_{w}") for w in weights]
     )
-    return join_groups(ranked, below, [*keys, "bin"], "inner").select(
+    return join_groups(ranked, below, [*keys, "_bin"], "inner").select(
         *counts.columns,
         *[(F.col(f"_below_{w}") + F.col(f"_inside_{w}")).alias(f"before_{w}") for w in weights],
+        *[f"total_{w}" for w in weights],
     )
 
 
@@ -151,13 +185,11 @@ def exact_quantiles(counts: DataFrame, keys: list[str], probabilities: list[floa
     # a null value weighs nothing; dropping it here would make these counts a different
     # shuffle from the ones a caller uses elsewhere, and the table would be read twice
     weighed = counts.withColumn("n", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
-    totals = weighed.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    ranked = running_totals(weighed, keys, ["n"])
-    sized = join_groups(ranked, totals, keys, "inner")
+    sized = running_totals(weighed, keys, ["n"])
     first, last = F.col("before_n"), F.col("before_n") + F.col("n") - 1
     picks = []
     for i, p in enumerate(probabilities):
-        position = (F.col("_total") - 1) * F.lit(float(p))
+        position = (F.col("total_n") - 1) * F.lit(float(p))
         low, high = F.floor(position), F.ceil(position)
         picks += [
             F.max(F.when((first <= low) & (low <= last), F.col("value"))).alias(f"_low{i}"),

@@ -10,6 +10,8 @@ window does have. No window is multiplied by the reference's cells.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,6 @@ from pyspark.sql import types as T
 from tidegauge.functions.columns import join_groups, ratio
 from tidegauge.operators.distribution import (
     DEFAULT_BINS,
-    RANK_BINS,
     Edges,
     approx_edges,
     bin_counts,
@@ -139,6 +140,15 @@ def share_measures(
     )
 
 
+def _placeholder(field: T.StructField) -> Column:
+    """Any value of a key's type (text or time), null only where the key itself can be."""
+    if field.nullable:
+        return F.lit(None).cast(field.dataType)
+    if isinstance(field.dataType, T.StringType):
+        return F.lit("")
+    return F.lit(dt.datetime(1970, 1, 1)).cast(field.dataType)
+
+
 def exact_ks(
     window_counts: DataFrame, reference_counts: DataFrame, keys: list[str], match: list[str]
 ) -> DataFrame:
@@ -151,68 +161,75 @@ def exact_ks(
     """
     # a null value weighs nothing and sorts before all others
     weight = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
-    windows = window_counts.groupBy(*keys).agg(F.sum(weight).alias("window_count"))
-    references = reference_counts.groupBy(*match).agg(F.sum(weight).alias("reference_count"))
-
     zero, other = F.lit(0).cast("long"), [k for k in keys if k not in match]
+    # never null, see running_totals
+    bin_of_value = F.coalesce("bin", F.lit(-1)).alias("_bin")
     both = window_counts.select(
-        *match, *other, "bin", "value", weight.alias("_w"), zero.alias("_r"), F.lit(True).alias("_asked")
+        *match, *other, bin_of_value, "value", weight.alias("_w"), zero.alias("_r"), F.lit(True).alias("_asked")
     ).unionByName(
         reference_counts.select(
             *match,
-            *[F.lit(None).cast(window_counts.schema[k].dataType).alias(k) for k in other],
-            "bin",
+            *[_placeholder(window_counts.schema[k]).alias(k) for k in other],
+            bin_of_value,
             "value",
             zero.alias("_w"),
             weight.alias("_r"),
             F.lit(False).alias("_asked"),
         )
     )
-    inside = Window.partitionBy(*match, "bin").orderBy("value").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    across = Window.partitionBy(*match).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    up_to_here = (Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*match, "_bin").orderBy("value").rangeBetween(*up_to_here)
+    across = Window.partitionBy(*match).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     below = (
-        both.groupBy(*match, "bin")
+        both.groupBy(*match, "_bin")
         # the second sum is there so that this branch needs the same counts as the other
         # one and they share a shuffle
         .agg(F.sum("_r").alias("_in_bin"), F.sum(F.col("_r") + F.col("_w")).alias("_rows"))
         .where(F.col("_rows").isNotNull())
-        .select(*match, "bin", F.coalesce(F.sum("_in_bin").over(across), zero).alias("_below"))
+        .select(
+            *match,
+            "_bin",
+            F.coalesce(F.sum("_in_bin").over(across), zero).alias("_below"),
+            F.sum("_in_bin").over(Window.partitionBy(*match)).alias("reference_count"),
+        )
     )
     looked_up = both.select(
         "*",
         F.sum("_r").over(inside).alias("_up_to"),
-        F.sum("_r").over(Window.partitionBy(*match, "bin", "value")).alias("_at"),
+        F.sum("_r").over(Window.partitionBy(*match, "_bin", "value")).alias("_at"),
     ).where("_asked")
-    at_values = join_groups(looked_up, below, [*match, "bin"], "inner")
+    at_values = join_groups(looked_up, below, [*match, "_bin"], "inner")
 
-    w_inside = Window.partitionBy(*keys, "bin").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    w_across = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    w_inside = Window.partitionBy(*keys, "_bin").orderBy("value").rangeBetween(*up_to_here)
+    w_across = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     w_below = (
-        window_counts.groupBy(*keys, "bin")
+        window_counts.groupBy(*keys, bin_of_value)
         .agg(F.sum(weight).alias("_in_bin"))
-        .select(*keys, "bin", F.coalesce(F.sum("_in_bin").over(w_across), zero).alias("_w_below"))
+        .select(
+            *keys,
+            "_bin",
+            F.coalesce(F.sum("_in_bin").over(w_across), zero).alias("_w_below"),
+            F.sum("_in_bin").over(Window.partitionBy(*keys)).alias("window_count"),
+        )
     )
     ranked = join_groups(
-        at_values.withColumn("_w_up_to", F.sum("_w").over(w_inside)), w_below, [*keys, "bin"], "inner"
+        at_values.withColumn("_w_up_to", F.sum("_w").over(w_inside)), w_below, [*keys, "_bin"], "inner"
     )
     steps = ranked.select(
         *keys,
+        "window_count",
+        "reference_count",
         (F.col("_below") + F.col("_up_to")).alias("_r_at"),
         (F.col("_below") + F.col("_up_to") - F.col("_at")).alias("_r_before"),
         (F.col("_w_below") + F.col("_w_up_to")).alias("_w_at"),
         (F.col("_w_below") + F.col("_w_up_to") - F.col("_w")).alias("_w_before"),
     )
-    sized = join_groups(join_groups(steps, windows, keys, "inner"), references, match, "left")
     r, w = F.col("reference_count"), F.col("window_count")
     distance = F.greatest(
         F.abs(ratio(F.col("_r_at"), r) - ratio(F.col("_w_at"), w)),
         F.abs(ratio(F.col("_r_before"), r) - ratio(F.col("_w_before"), w)),
     )
-    return sized.groupBy(*keys).agg(
+    return steps.groupBy(*keys).agg(
         F.max("window_count").alias("window_count"),
         F.coalesce(F.max("reference_count"), zero).alias("reference_count"),
         F.max(distance).alias("ks"),
@@ -387,9 +404,9 @@ def exact_numeric_drift(
 ) -> DataFrame:
     """Kolmogorov-Smirnov drift over every distinct value instead of bins."""
     drift_type = drift_type or default_drift_type(baseline)
-    edges = approx_edges(df, columns, RANK_BINS)
+    edges = approx_edges(df, columns)
     if baseline is not None:
-        edges = joint_edges(edges, approx_edges(baseline, columns, RANK_BINS))
+        edges = joint_edges(edges, approx_edges(baseline, columns))
     counts, reference, keys, match = _numeric_counts(
         df, spec, columns, baseline, drift_type, edges, value_counts
     )
@@ -446,10 +463,12 @@ def drift(
     drift_types: tuple[str, ...] | None = None,
     exact: bool = False,
     bins: int = DEFAULT_BINS,
+    edges: Edges | None = None,
 ) -> DataFrame:
     """The drift table of a monitor: KS for numeric and total variation for categorical columns.
 
-    The prediction column, if named among the columns, is treated like any other.
+    Bin edges are estimated from the baseline on each call; give ``edges`` to keep scores
+    comparable to the digit from one call to the next. The prediction column, if named among the columns, is treated like any other.
     """
     parts = []
     for drift_type in drift_types or (default_drift_type(baseline),):
@@ -460,7 +479,7 @@ def drift(
             parts.append(drift_table(exact_numeric_drift(df, spec, numeric, baseline, drift_type), "ks"))
         elif numeric:
             measured = numeric_drift(
-                df, spec, numeric, baseline, drift_type, bins=bins, measures=("ks",)
+                df, spec, numeric, baseline, drift_type, edges, bins, measures=("ks",)
             )
             parts.append(drift_table(measured, "ks"))
     if not parts:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import count_where, join_groups, ratio
 from tidegauge.operators.distribution import (
-    RANK_BINS,
     approx_edges,
     exact_quantiles,
     numeric_long,
@@ -41,14 +40,13 @@ def serving_health(
     ]
     if not exact:
         aggregates += [
-            F.count("_latency").alias("_latency.n"),
             F.kll_sketch_agg_double("_latency", SKETCH_SIZE).alias("_latency.ranks"),
         ]
     health = rows.groupBy(*keys).agg(*aggregates)
     if not exact:
         health = health.withColumn("_q", sketched_quantiles("_latency", probabilities))
     if exact:
-        edges = approx_edges(log.select(F.col(latency_col).alias("_latency")), ["_latency"], RANK_BINS)
+        edges = approx_edges(log.select(F.col(latency_col).alias("_latency")), ["_latency"])
         by = [*keys, "column_name"]
         counts = value_counts(numeric_long(rows, keys, ["_latency"], edges), by)
         found = exact_quantiles(counts, by, probabilities)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import count_where, join_groups, ratio
 from tidegauge.functions.scalars import improvement, improvement_percent
-from tidegauge.operators.distribution import RANK_BINS, Edges, approx_edges, numeric_long, running_totals
+from tidegauge.operators.distribution import Edges, approx_edges, numeric_long, running_totals
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, keys: list[str] | None = None) -> DataFrame:
@@ -70,7 +70,7 @@ def roc_auc(
         *keys, F.col(score).cast("double").alias("score"), (F.col(label) == 1).alias("_positive")
     )
     if edges is None:
-        edges = approx_edges(flagged, ["score"], RANK_BINS)
+        edges = approx_edges(flagged, ["score"])
     long = numeric_long(flagged, [*keys, "_positive"], ["score"], edges)
     by = [*keys, "column_name"]
     # negatives as a difference: both branches below then need both counts and share one shuffle

@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from tidegauge.functions.columns import join_groups, quoted, ratio, text
 from tidegauge.operators.distribution import (
-    RANK_BINS,
     approx_edges,
     category_long,
     exact_quantiles,
     numeric_long,
+    ranks_of_sketch,
     value_counts,
 )
 from tidegauge.operators.windows import (
@@ -234,14 +234,11 @@ def numeric_profile(
 def sketched_quantiles(column: str, probabilities) -> Column:
     """Quantiles of a column's rank sketch; an empty sketch has none."""
     ranks = ", ".join(f"{p!r}D" for p in probabilities)
-    return F.expr(
-        f"CASE WHEN {part(column, 'n')} > 0 "
-        f"THEN kll_sketch_get_quantile_double({part(column, 'ranks')}, array({ranks})) END"
-    )
+    return F.expr(ranks_of_sketch(part(column, "ranks"), ranks))
 
 
 def _exact_numeric(df: DataFrame, spec: MonitorSpec, columns: list[str]) -> DataFrame:
-    edges = approx_edges(df, columns, RANK_BINS)
+    edges = approx_edges(df, columns)
     rows, keys = grouped_rows(df, spec, {c: F.col(c).cast("double") for c in columns})
     keys = [*keys, "column_name"]
     counts = value_counts(numeric_long(rows, keys[:-1], columns, edges), keys)

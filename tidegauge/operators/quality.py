@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import count_where, ratio
 from tidegauge.operators.distribution import (
-    RANK_BINS,
     approx_edges,
     exact_quantiles,
     numeric_long,
@@ -61,7 +60,7 @@ def baseline_fences(
 ) -> tuple[float, float]:
     """Quartiles of the baseline widened by ``k`` interquartile ranges: two numbers on the driver."""
     if exact:
-        long = numeric_long(baseline, [], [column], approx_edges(baseline, [column], RANK_BINS))
+        long = numeric_long(baseline, [], [column], approx_edges(baseline, [column]))
         rows = exact_quantiles(value_counts(long, ["column_name"]), ["column_name"], [0.25, 0.75]).collect()
         q1, q3 = sorted(r["quantile_value"] for r in rows)
     else:
@@ -101,9 +100,9 @@ def check_rows(df: DataFrame, rules: list[RowRule], keys: list[str] | None = Non
 
 
 def _with_verdict(checks: DataFrame) -> DataFrame:
-    share = 1 - ratio(F.col("failed"), F.col("checked"), when_zero=0.0)
+    share = ratio(F.col("failed"), F.col("checked"), when_zero=0.0)
     return checks.select(
-        "*", share.alias("pass_share"), (1 - share <= F.col("max_failed")).alias("passed")
+        "*", (1 - share).alias("pass_share"), (share <= F.col("max_failed")).alias("passed")
     )
 
 
@@ -142,7 +141,7 @@ def cardinality_check(
     inside = F.lit(True)
     for column, (low, high) in (limits or {}).items():
         inside = F.when(F.col("column_name") == column, F.col("distinct_count").between(low, high)).otherwise(inside)
-    share = 1 - ratio(F.col("failed"), F.col("checked"), when_zero=0.0)
+    share = ratio(F.col("failed"), F.col("checked"), when_zero=0.0)
     return found.select(
         F.lit("cardinality_check").alias("rule"),
         "column_name",
@@ -151,8 +150,8 @@ def cardinality_check(
         "checked",
         "failed",
         F.lit(float(max_failed)).alias("max_failed"),
-        F.when(inside, share).otherwise(F.lit(0.0)).alias("pass_share"),
-        (inside & (1 - share <= max_failed)).alias("passed"),
+        F.when(inside, 1 - share).otherwise(F.lit(0.0)).alias("pass_share"),
+        (inside & (share <= max_failed)).alias("passed"),
     )
 
 

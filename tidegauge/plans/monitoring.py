@@ -17,6 +17,7 @@ from tidegauge.operators.alerts import (
     top_drift,
     unknown_metrics,
 )
+from tidegauge.operators.distribution import Edges
 from tidegauge.operators.drift import drift
 from tidegauge.operators.performance import averaged_class_metrics, regression_metrics
 from tidegauge.operators.profile import profile, profiled_columns
@@ -66,6 +67,7 @@ def refresh(
     since: str | dt.date | None = None,
     exact: bool = False,
     custom: dict[str, Column] | None = None,
+    edges: Edges | None = None,
 ) -> None:
     """Compute the windows that reach past ``since`` and store them in place of earlier versions.
 
@@ -77,10 +79,12 @@ def refresh(
     save_metrics(profile(rows, spec, exact, custom), profile_table)
     numeric, categorical = drift_columns(log, spec, baseline)
     if baseline is not None or since is None:
-        found = drift(rows, spec, numeric, categorical, baseline, exact=exact)
+        found = drift(rows, spec, numeric, categorical, baseline, exact=exact, edges=edges)
     else:
         start = first_window_start(log.sparkSession, spec, since)
-        found = drift(log, spec, numeric, categorical, exact=exact).where(F.col("window_start") >= F.lit(start))
+        found = drift(log, spec, numeric, categorical, exact=exact, edges=edges).where(
+            F.col("window_start") >= F.lit(start)
+        )
     save_metrics(found, drift_table)
 
 

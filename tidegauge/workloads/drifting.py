@@ -479,8 +479,8 @@ m AS (
   FROM f WHERE forecast IS NOT NULL GROUP BY ALL),
 c AS (SELECT *, lag(accuracy) OVER (PARTITION BY o_orderpriority ORDER BY window_start) AS reference FROM m)
 SELECT o_orderpriority, window_start, round(accuracy, 6) AS accuracy,
-       round((reference - accuracy) / abs(reference), 6) AS value
-FROM c WHERE (reference - accuracy) / abs(reference) > 0.2""")
+       round((reference - accuracy) / nullif(abs(reference), 0), 6) AS value
+FROM c WHERE (reference - accuracy) / nullif(abs(reference), 0) > 0.2""")
 def accuracy_drop_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows whose forecast accuracy (1 - MAPE of last week's value) fell by more than a fifth."""
     from tidegauge.operators.timeseries import lag_features
@@ -490,7 +490,7 @@ def accuracy_drop_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = regression_metrics(windowed, "total", "total_lag_7", ["o_orderpriority", "window_start"])
     accuracy = errors.select("o_orderpriority", "window_start", (1 - F.col("mape")).alias("accuracy"))
     found = alerts.relative_change(accuracy, "accuracy", keys=["o_orderpriority"])
-    drop = (F.col("reference_value") - F.col("accuracy")) / F.abs("reference_value")
+    drop = -F.col("relative_change")
     return rounded(
         found.select("o_orderpriority", "window_start", "accuracy", drop.alias("value")).where("value > 0.2"),
         "accuracy",

@@ -157,11 +157,14 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @workload(f"""
 WITH {PRICED}
-SELECT time_bucket(INTERVAL '1 day', timestamp) AS window_start,
-       time_bucket(INTERVAL '1 day', timestamp) + INTERVAL 1 DAY AS window_end, model_id, {REGRESSION}
+SELECT time_bucket(INTERVAL '30 days', timestamp, TIMESTAMP '1970-01-01') AS window_start,
+       time_bucket(INTERVAL '30 days', timestamp, TIMESTAMP '1970-01-01') + INTERVAL 30 DAY AS window_end,
+       model_id, {REGRESSION}
 FROM priced GROUP BY ALL""")
 def window_regression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = MonitorSpec(problem_type="regression", label_col="label", model_id_col="model_id", numeric_cols=())
+    spec = MonitorSpec(
+        problem_type="regression", granularities=("30 days",), label_col="label", model_id_col="model_id"
+    )
     found = quality_per_window(priced_lines(spark, sf_dir), spec)
     return rounded(found.drop("granularity", "slice_key", "slice_value"), *ERRORS)
 

@@ -111,16 +111,18 @@ def run_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @workload(f"""
 WITH {RUNS},
-pairs AS (SELECT experiment, run_id, test_f1, lag(test_f1) OVER (PARTITION BY experiment ORDER BY start_time, run_id) AS base FROM runs)
+pairs AS (SELECT run_id, test_f1, base FROM runs JOIN (
+  SELECT experiment, arg_min(test_f1, (start_time, run_id)) AS base FROM runs GROUP BY experiment) USING (experiment))
 SELECT run_id, round(test_f1 - base, 6) AS improvement,
        round(CASE WHEN base > 0 THEN (test_f1 - base) / base * 100 ELSE 0 END, 6) AS improvement_percent
-FROM pairs WHERE base IS NOT NULL""")
+FROM pairs""")
 def run_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every run against the run before it in its experiment."""
+    """Every run against the first run of its experiment."""
     rows = runs(spark, sf_dir).select(
         "run_id", "experiment", "start_time", F.col("metrics")["test_f1"].alias("f1")
     )
-    found = previous_run(rows).where("base IS NOT NULL").select(
+    first = rows.groupBy("experiment").agg(F.min_by("f1", F.struct("start_time", "run_id")).alias("base"))
+    found = rows.join(first, "experiment").select(
         "run_id",
         scalars.improvement(F.col("f1"), F.col("base")).alias("improvement"),
         scalars.improvement_percent(F.col("f1"), F.col("base")).alias("improvement_percent"),
@@ -128,13 +130,6 @@ def run_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, "improvement", "improvement_percent")
 
 
-def previous_run(rows: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("experiment").orderBy("start_time", "run_id")
-    return rows.withColumn("base", F.lag("f1").over(order))
-
-
 @workload("""
 WITH c AS (
   SELECT o_custkey, count(*) > 0 AS a, bool_and(o_totalprice > 0) AS b,
