@@ -74,16 +74,6 @@ def resample(
     )
 
 
-def calendar_gaps(
-    df: DataFrame, timestamp_col: str, frequency: str, series: list[str] | None = None
-) -> DataFrame:
-    """Periods a series spans and how many of them have no rows."""
-    regular = resample(df, timestamp_col, frequency, {}, series)
-    return regular.groupBy(*(series or [])).agg(
-        F.count("*").alias("periods"), F.count(F.when(F.col("n") == 0, True)).alias("missing_periods")
-    )
-
-
 def missing_periods(
     df: DataFrame, timestamp_col: str, frequency: str, series: list[str] | None = None
 ) -> DataFrame:
