@@ -7,28 +7,76 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import bpe, decontaminate, simhash_pivots
+import corpus_pipeline
+from tidegauge.llm import (
+    bpe, content_sort, decontaminate, language, quality, rendezvous, simhash_pivots, token_binary, toxicity, warc_zip,
+)
 from tidegauge.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[run.__name__] = run
-    return run
+def query(sql: str | None = None):
+    def add(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[run.__name__] = run
+        if sql is not None:
+            ORACLES[run.__name__] = sql
+        return run
 
+    return add
 
-@query
+
+@query()
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_binary.token_files(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(warc_zip.ROUND_TRIP_SQL)
+def op2_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.archive_round_trip(load(spark, sf_dir, "pages"))
+
+
+@query()
 def op3_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_pivots.near_duplicates(load(spark, sf_dir, "documents"))
 
 
-@query
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query(rendezvous.SHARDS_SQL)
+def op5_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendezvous.shard_documents(load(spark, sf_dir, "documents"))
+
+
+@query()
 def op6_bpe_speculate_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query
+@query()
+def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query()
 def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(load(spark, sf_dir, "documents"))
+
+
+@query(content_sort.EXACT_DUPLICATES_SQL)
+def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.exact_duplicates(load(spark, sf_dir, "documents"))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
