@@ -43,8 +43,8 @@ def model_uri(name: Column, version: Column | None = None, alias: Column | None
 
 
 def version_number(version: Column) -> Column:
-    """Versions are numeric strings and compare as numbers: "10" comes after "9"."""
-    return version.try_cast("int")
+    """Versions are numeric strings of up to 38 digits and compare as numbers: "10" comes after "9"."""
+    return version.try_cast("decimal(38,0)")
 
 
 def improvement(value: Column, baseline: Column) -> Column:
@@ -56,11 +56,13 @@ def improvement_percent(value: Column, baseline: Column) -> Column:
 
 
 def violation_line(column: Column, score: Column, drift_type: Column) -> Column:
+    # fixed value: the format of a line
     return F.format_string("  - %s: %.4f (%s)", column, score, drift_type)
 
 
 def alert_subject(environment: str | Column, n_columns: Column) -> Column:
     env = F.lit(environment) if isinstance(environment, str) else environment
+    # fixed value: the format of a subject
     return F.format_string("[%s] Prediction Drift Alert - %d columns", F.upper(env), n_columns)
 
 

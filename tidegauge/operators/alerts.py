@@ -20,16 +20,15 @@ DIRECTIONS = {
     "data_freshness": "above",
 }
 HIGH_DRIFT = 0.1
-MAX_RULES = 10_000
+# What a metric row says about where its number comes from.
+ORIGIN = ["granularity", "model_id", "slice_key", "slice_value"]
 RULE_SCHEMA = (
     "metric string, threshold double, severity string, notification_type string, recipients array<string>"
 )
 
 
 def rules_table(spark: SparkSession, rules: list[AlertRule]) -> DataFrame:
-    """The rules of a settings file as a table; their number is bounded, so it can be broadcast."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules, at most {MAX_RULES} are supported")
+    """The rules of a settings file as a table."""
     return spark.createDataFrame(
         [(r.metric, r.threshold, r.severity, r.notification_type, list(r.recipients)) for r in rules],
         RULE_SCHEMA,
@@ -46,12 +45,14 @@ def recent_windows(metrics: DataFrame, days: int, as_of: str | dt.date | None =
     return metrics.where(is_recent("window_end", days, as_of))
 
 
+def score_rows(drift: DataFrame) -> DataFrame:
+    """The scores of a drift table, which may hold further measures beside them."""
+    return drift.where(F.col("metric_name") == "drift_score") if "metric_name" in drift.columns else drift
+
+
 def above_threshold(drift: DataFrame, threshold: float = HIGH_DRIFT) -> DataFrame:
     """Strictly above; a null score never passes, and only score rows are looked at."""
-    score = drift
-    if "metric_name" in drift.columns:
-        score = drift.where(F.col("metric_name") == "drift_score")
-    return score.where(F.col("drift_score") > threshold)
+    return score_rows(drift).where(F.col("drift_score") > threshold)
 
 
 def drift_violations(
@@ -81,10 +82,10 @@ def top_drift(drift: DataFrame, n: int = 10, threshold: float = HIGH_DRIFT) -> D
 def drift_report(
     drift: DataFrame, days: int = 7, as_of: str | dt.date | None = None, threshold: float = HIGH_DRIFT
 ) -> DataFrame:
-    """Recent drift records and how many of them are high, per drift type and column: one pass."""
+    """Recent drift scores and how many of them are high, per drift type and column: one pass."""
     high = F.col("drift_score") > threshold
     return (
-        recent_windows(drift, days, as_of)
+        recent_windows(score_rows(drift), days, as_of)
         .groupBy("drift_type", "column_name")
         .agg(
             F.count("*").alias("n_records"),
@@ -96,27 +97,33 @@ def drift_report(
 
 
 def drift_metrics(drift: DataFrame) -> DataFrame:
-    """Drift scores as alert metric rows."""
-    rows = drift.where(F.col("metric_name") == "drift_score") if "metric_name" in drift.columns else drift
-    return rows.select(
+    """Drift scores as alert metric rows, with the granularity, model and slice each is for."""
+    return score_rows(drift).select(
         F.lit("prediction_drift").alias("metric"),
         "column_name",
         "drift_type",
         F.col("drift_score").alias("value"),
         "window_end",
+        *_origin(drift),
     )
 
 
+def _origin(table: DataFrame) -> list[Column]:
+    """The origin columns, null where a table has none."""
+    return [F.col(c) if c in table.columns else F.lit(None).cast("string").alias(c) for c in ORIGIN]
+
+
 def metric_rows(
     values: DataFrame, metric: str, value: str, window_end: str | None = "window_end", column_name: str | None = None
 ) -> DataFrame:
-    """Any per-window number as alert metric rows."""
+    """Any number as alert metric rows; ``window_end`` is None for one that belongs to no window."""
     return values.select(
         F.lit(metric).alias("metric"),
         F.lit(column_name).cast("string").alias("column_name"),
         F.lit(None).cast("string").alias("drift_type"),
         F.col(value).cast("double").alias("value"),
         (F.col(window_end) if window_end else F.lit(None).cast("timestamp")).alias("window_end"),
+        *_origin(values),
     )
 
 
@@ -125,11 +132,13 @@ def evaluate_rules(
 ) -> DataFrame:
     """Every rule against every metric row in one join; one row per violation.
 
-    ``metrics`` holds ``metric, column_name, drift_type, value, window_end``. The rules are
-    broadcast: their number is checked when the table is built.
+    ``metrics`` holds ``metric, column_name, drift_type, value, window_end`` and where a row
+    comes from. A row without a window, such as the age of a log, is always current. How the
+    rules reach the tasks is left to the measured size of their table.
     """
-    recent = metrics if days is None else recent_windows(metrics, days, as_of)
-    joined = recent.join(F.broadcast(rules), "metric")
+    current = F.col("window_end").isNull()
+    recent = metrics if days is None else metrics.where(current | is_recent("window_end", days, as_of))
+    joined = recent.join(rules, "metric")
     return joined.where(_fires(F.col("metric"), F.col("value"), F.col("threshold")))
 
 
@@ -151,43 +160,48 @@ def alert_summary(violations: DataFrame) -> DataFrame:
 def alert_messages(
     violations: DataFrame, environment: str, catalog: str = "", schema: str = "", part_size: int = 1000
 ) -> DataFrame:
-    """Subject and body per rule.
+    """Subject and body per rule, at most ``part_size`` lines in one message.
 
-    Up to ``part_size`` violations, which is the usual case, make one message. More are
-    spread over as many numbered parts as needed, so every violation is written out and
-    no task has to hold an unbounded list of lines.
+    More lines make as many parts as needed, so every violation is written out and no
+    message, nor the task that puts it together, is unbounded. Equal violations are counted
+    before they are dealt out, and each copy has a line. The subject counts columns.
     """
     rule = ["metric", "severity", "threshold"]
-    sizes = violations.groupBy(*rule).agg(F.count("*").alias("n_violations"))
-    line = violation_line(F.col("column_name"), F.col("value"), F.col("drift_type"))
-    parts = F.ceil(F.col("n_violations") / part_size)
-    spread = F.pmod(F.xxhash64("column_name", "drift_type", "value", "window_end"), parts)
-    lines = join_groups(violations, sizes, rule, "inner").select(
-        *rule, "n_violations", spread.cast("int").alias("part"), line.alias("_line")
+    sizes = violations.groupBy(*rule).agg(
+        F.count("*").alias("n_violations"), F.count_distinct("column_name").alias("n_columns")
+    )
+    told = ["column_name", "drift_type", "value", "window_end", *[c for c in ORIGIN if c in violations.columns]]
+    copies = violations.groupBy(*rule, *told).agg(F.count("*").alias("_copies"))
+    each = copies.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+    spread = F.pmod(F.xxhash64(*told, "_copy"), F.ceil(F.col("n_violations") / part_size))
+    origin = [F.col(c) for c in ("model_id", "slice_key", "slice_value") if c in violations.columns]
+    named = F.concat_ws(", ", *origin)
+    line = F.concat(
+        violation_line(F.col("column_name"), F.col("value"), F.col("drift_type")),
+        F.when(named != "", F.concat(F.lit(" in "), named)).otherwise(""),
+    )
+    lines = join_groups(each, sizes, rule, "inner").select(
+        *rule, "n_violations", "n_columns", spread.cast("int").alias("_bin"), line.alias("_line")
     )
+    inside = Window.partitionBy(*rule, "_bin").orderBy("_line")
+    block = F.floor((F.row_number().over(inside) - 1) / part_size).cast("int")
     body = F.concat_ws(
         "\n",
-        F.lit("Drift Alert Triggered"),
-        F.lit(""),
-        F.lit(f"Environment: {environment}"),
-        F.lit(f"Catalog: {catalog}"),
-        F.lit(f"Schema: {schema}"),
-        F.concat(F.lit("Threshold: "), F.col("threshold").cast("string")),
-        F.lit(""),
-        F.lit("Violations:"),
+        F.lit(f"{environment}, {catalog}.{schema}"),
+        F.concat(F.lit("Threshold "), F.col("threshold").cast("string")),
         F.col("violation_lines"),
-        F.lit(""),
-        F.lit("Please investigate the drift in these features and take appropriate action."),
     )
     return (
-        lines.groupBy(*rule, "n_violations", "part")
+        lines.withColumn("_block", block)
+        .groupBy(*rule, "n_violations", "n_columns", "_bin", "_block")
         .agg(F.array_join(F.sort_array(F.collect_list("_line")), "\n").alias("violation_lines"))
         .select(
             "metric",
             "severity",
-            "part",
+            # bins come first; what a bin holds beyond one message follows after all bins
+            (F.col("_block") * F.ceil(F.col("n_violations") / part_size) + F.col("_bin")).cast("int").alias("part"),
             "n_violations",
-            alert_subject(environment, F.col("n_violations")).alias("subject"),
+            alert_subject(environment, F.col("n_columns")).alias("subject"),
             "violation_lines",
             body.alias("body"),
         )

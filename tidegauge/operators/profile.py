@@ -44,26 +44,37 @@ PROFILE_COLUMNS = PROFILE_SCHEMA.names
 # Entries of a rank sketch: ranks are off by about 0.3 % at most, and not at all up to this many rows.
 SKETCH_SIZE = 1024
 
+# Values that the sketch of the most frequent one tracks, and how many it is asked for.
+TOP_TRACKED, TOP_ASKED = 256, 64
+
 QUANTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
 
 def profiled_columns(df: DataFrame, spec: MonitorSpec) -> tuple[list[str], list[str]]:
-    """The columns a monitor profiles: as given, else by type without keys and times."""
-    numeric, categorical = column_roles(df.schema, (spec.timestamp_col, spec.model_id_col))
+    """The columns a monitor profiles: as given, else by type without keys, times and payloads."""
+    numeric, categorical = column_roles(df.schema, spec.unprofiled)
     return (
         list(numeric if spec.numeric_cols is None else spec.numeric_cols),
         list(categorical if spec.categorical_cols is None else spec.categorical_cols),
     )
 
 
-def long_metrics(wide: DataFrame, keys: list[str], metrics: dict[tuple[str, str], str]) -> DataFrame:
+def long_metrics(
+    wide: DataFrame,
+    keys: list[str],
+    metrics: dict[tuple[str, str], str],
+    texts: dict[tuple[str, str], str] | None = None,
+) -> DataFrame:
     """Turn one wide row per group into one row per column and metric, without a shuffle.
 
-    Metrics are SQL expressions over the wide row, put together as one expression.
+    Metrics, and the texts some of them have, are SQL expressions over the wide row, put
+    together as one expression.
     """
+    texts = texts or {}
     rows = ", ".join(
         f"struct({text(column)} AS column_name, {text(metric)} AS metric_name, "
-        f"CAST({value} AS double) AS metric_value, CAST(NULL AS string) AS metric_text)"
+        f"CAST({value} AS double) AS metric_value, "
+        f"CAST({texts.get((column, metric), 'NULL')} AS string) AS metric_text)"
         for (column, metric), value in metrics.items()
     )
     return wide.select(*keys, F.expr(f"inline(array({rows}))"))
@@ -93,6 +104,7 @@ def _numeric_states(column: str, sketches: bool) -> dict[str, tuple[str, str]]:
         "min": (f"min({v})", f"min({part(column, 'min')})"),
         "max": (f"max({v})", f"max({part(column, 'max')})"),
         "num_zeros": (f"count_if({v} = 0)", f"sum({part(column, 'num_zeros')})"),
+        "nan": (f"count_if({part(column, 'is_nan')})", f"sum({part(column, 'nan')})"),
     }
     if sketches:
         distinct, ranks = part(column, "distinct"), part(column, "ranks")
@@ -115,10 +127,16 @@ def _text_states(column: str) -> dict[str, tuple[str, str]]:
         "min_length": (f"min(length({v}))", "min"),
         "max_length": (f"max(length({v}))", "max"),
     }
-    return {
+    merged = {
         f"{column}.text.{state}": (first, f"{again}({part(column, f'text.{state}')})")
         for state, (first, again) in states.items()
     }
+    top = part(column, "text.top")
+    merged[f"{column}.text.top"] = (
+        f"approx_top_k_accumulate({v}, {TOP_TRACKED}) FILTER (WHERE {v} IS NOT NULL)",
+        f"approx_top_k_combine({top}, {TOP_TRACKED})",
+    )
+    return merged
 
 
 def window_states(
@@ -139,7 +157,11 @@ def window_states(
     # a user's own aggregate is only known to work on rows
     finest = None if custom or len(spec.granularities) == 1 else nested_granularities(spec.granularities)
     base = spec if finest is None else replace(spec, granularities=(finest,))
-    values = {c: F.col(c).cast("double") for c in numeric}
+    values = {}
+    for c in numeric:
+        number = F.col(c).cast("double")
+        # NaN is no number here, as in every other operator; how many there are is counted
+        values |= {c: F.when(~F.isnan(number), number), f"{c}.is_nan": F.isnan(number)}
     values |= {f"{c}.text": F.col(c).cast("string") for c in categorical}
     values |= {c: F.col(c) for c in df.columns if custom and c not in values}
     rows, keys = grouped_rows(df, base, values)
@@ -173,8 +195,10 @@ def _numeric_metrics(columns: list[str], sketches: bool) -> Metrics:
     for c in columns:
         n = part(c, "n")
         metrics[(c, "count")] = "_rows"
-        metrics[(c, "num_nulls")] = f"_rows - {n}"
-        metrics[(c, "percent_null")] = f"100 * (_rows - {n}) / _rows"
+        nulls = f"(_rows - {n} - {part(c, 'nan')})"
+        metrics[(c, "num_nulls")] = nulls
+        metrics[(c, "percent_null")] = f"100 * {nulls} / _rows"
+        metrics[(c, "num_nan")] = part(c, "nan")
         metrics[(c, "avg")] = part(c, "mean")
         metrics[(c, "stddev")] = f"CASE WHEN {n} > 1 THEN sqrt({part(c, 'm2')} / ({n} - 1)) END"
         metrics |= {(c, m): part(c, m) for m in ("min", "max", "num_zeros")}
@@ -192,11 +216,21 @@ def _text_metrics(columns: list[str]) -> Metrics:
         metrics[(c, "num_nulls")] = f"_rows - {n}"
         metrics[(c, "percent_null")] = f"100 * (_rows - {n}) / _rows"
         metrics[(c, "distinct_count")] = f"hll_sketch_estimate({part(c, 'text.distinct')})"
+        metrics[(c, "most_frequent")] = f"get({part(c, 'text.most')}, 0).count"
         metrics[(c, "avg_length")] = f"try_divide({part(c, 'text.length')}, {n})"
         metrics |= {(c, m): part(c, f"text.{m}") for m in ("min_length", "max_length")}
     return metrics
 
 
+def _top_texts(columns: list[str]) -> Metrics:
+    """The smallest of the most frequent values."""
+    return {
+        (c, "most_frequent"): f"array_min(transform(filter({most}, x -> x.count = get({most}, 0).count), x -> x.item))"
+        for c in columns
+        for most in [part(c, "text.most")]
+    }
+
+
 def _profile_of_states(
     df: DataFrame,
     spec: MonitorSpec,
@@ -209,9 +243,13 @@ def _profile_of_states(
     states, keys = window_states(df, spec, numeric, categorical, sketches, custom)
     if sketches and numeric:
         states = states.withColumns({f"{c}.quantiles": sketched_quantiles(c, QUANTILES.values()) for c in numeric})
+    if categorical:
+        states = states.withColumns(
+            {f"{c}.text.most": F.expr(f"approx_top_k_estimate({part(c, 'text.top')}, {TOP_ASKED})") for c in categorical}
+        )
     metrics = _numeric_metrics(numeric, sketches) | _text_metrics(categorical)
     metrics |= {(":table", name): quoted(f"custom.{name}") for name in custom}
-    return _shaped(long_metrics(states, keys, metrics))
+    return _shaped(long_metrics(states, keys, metrics, _top_texts(categorical)))
 
 
 def numeric_profile(
@@ -262,8 +300,9 @@ def categorical_profile(
     """Count, nulls, distinct values, most frequent value and text lengths per window.
 
     Exact figures come from counts per distinct value, so the shuffle carries one row
-    per group and value. The default keeps to one aggregate with sketches of fixed size
-    and leaves out the most frequent value.
+    per group and value. The default keeps to one aggregate with sketches of fixed size:
+    distinct counts are estimates, and so is the most frequent value of a column with more
+    than some 200 different ones in a window.
     """
     if not exact:
         return _profile_of_states(df, spec, [], columns)

@@ -31,8 +31,10 @@ def latest_runs(runs: DataFrame, experiment: str = "experiment") -> DataFrame:
 
 
 def latest_versions(versions: DataFrame, name: str = "name", version: str = "version") -> DataFrame:
-    """Greatest version per model, compared as a number."""
-    return versions.groupBy(name).agg(F.max(version_number(F.col(version))).cast("string").alias("version"))
+    """Greatest version per model, compared as a number and given as it is written; null without a numeric one."""
+    order = F.struct(version_number(F.col(version)), version)
+    numeric = F.when(version_number(F.col(version)).isNotNull(), order)
+    return versions.groupBy(name).agg(F.max_by(version, numeric).alias("version"))
 
 
 def resolve_versions(
@@ -45,20 +47,23 @@ def resolve_versions(
     return names.join(chosen, "name", "left")
 
 
-def model_metadata(versions: DataFrame, name: str, version: str) -> DataFrame:
-    return versions.where((F.col("name") == name) & (F.col("version") == version))
+def model_metadata(versions: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The versions named in ``wanted`` (``name``, ``version``)."""
+    return versions.join(wanted, ["name", "version"], "left_semi")
 
 
 def list_versions(versions: DataFrame, name: str, max_results: int = 100) -> DataFrame:
     """Versions of one model, greatest number first."""
     return (
-        versions.where(F.col("name") == name).orderBy(F.desc(version_number(F.col("version")))).limit(max_results)
+        versions.where(F.col("name") == name)
+        .orderBy(F.desc(version_number(F.col("version"))), F.desc("version"))
+        .limit(max_results)
     )
 
 
 def top_versions(versions: DataFrame, max_results: int = 100) -> DataFrame:
     """As ``list_versions`` for all models at once; each task cuts to the top before the shuffle."""
-    order = Window.partitionBy("name").orderBy(F.desc(version_number(F.col("version"))))
+    order = Window.partitionBy("name").orderBy(F.desc(version_number(F.col("version"))), F.desc("version"))
     return (
         versions.withColumn("position", F.row_number().over(order))
         .where(F.col("position") <= max_results)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.functions.columns import join_groups, quoted
 from tidegauge.operators.alerts import (
     alert_messages,
     drift_metrics,
@@ -14,13 +17,14 @@ from tidegauge.operators.alerts import (
     evaluate_rules,
     recent_windows,
     rules_table,
+    score_rows,
     top_drift,
     unknown_metrics,
 )
 from tidegauge.operators.distribution import Edges
 from tidegauge.operators.drift import drift
-from tidegauge.operators.performance import averaged_class_metrics, regression_metrics
-from tidegauge.operators.profile import profile, profiled_columns
+from tidegauge.operators.performance import averaged_class_metrics, binary_metrics, regression_metrics
+from tidegauge.operators.profile import PROFILE_COLUMNS, long_metrics, profile, profiled_columns
 from tidegauge.operators.windows import grouped_rows, with_unused_keys
 from tidegauge.sinks.tables import read_metrics, save_metrics
 from tidegauge.spec import AlertRule, MonitorSpec
@@ -34,28 +38,71 @@ def drift_columns(log: DataFrame, spec: MonitorSpec, baseline: DataFrame | None)
 
 
 def quality_per_window(log: DataFrame, spec: MonitorSpec) -> DataFrame:
-    """Model quality per window, model and slice, once labels are there."""
+    """Model quality per window, model and slice, once labels are there.
+
+    Regression errors, or accuracy with class averages. With a score column the label is
+    0/1, and the measures of its positive class and the ROC-AUC come along.
+    """
     if spec.label_col is None or spec.prediction_col is None:
         raise ValueError("model quality needs a prediction and a label column")
     values = {"_label": F.col(spec.label_col), "_prediction": F.col(spec.prediction_col)}
+    scored = spec.score_col is not None and spec.problem_type == "classification"
+    if scored:
+        values["_score"] = F.col(spec.score_col)
     rows, keys = grouped_rows(log, spec, values)
-    measure = regression_metrics if spec.problem_type == "regression" else averaged_class_metrics
-    return with_unused_keys(measure(rows, "_label", "_prediction", keys))
+    if spec.problem_type == "regression":
+        return with_unused_keys(regression_metrics(rows, "_label", "_prediction", keys))
+    found = averaged_class_metrics(rows, "_label", "_prediction", keys)
+    if scored:
+        binary = binary_metrics(rows, "_label", "_prediction", keys, "_score").drop("n", "accuracy")
+        found = join_groups(found, binary, keys, "left")
+    return with_unused_keys(found)
+
 
+def quality_metrics(log: DataFrame, spec: MonitorSpec) -> DataFrame:
+    """``quality_per_window`` as rows of the profile table, under the column name ``:table``."""
+    wide = quality_per_window(log, spec)
+    keys = [c for c in PROFILE_COLUMNS if c in wide.columns]
+    named = {(":table", c if c != "n" else "labelled_rows"): quoted(c) for c in wide.columns if c not in keys}
+    return long_metrics(wide, keys, named).select(*PROFILE_COLUMNS)
 
-def first_window_start(spark: SparkSession, spec: MonitorSpec, since: str | dt.date) -> dt.datetime:
-    """Start of the earliest window, over all granularities, that reaches past ``since``."""
-    moment = spark.range(1).select(F.lit(str(since)).cast("timestamp").alias("_t"))
-    starts = [moment.select(F.window("_t", g)["start"]).first()[0] for g in spec.granularities]
-    return min(starts)
+
+def first_window_starts(log: DataFrame, spec: MonitorSpec, since: str | dt.date) -> dict[str, str]:
+    """Per granularity, from which window on a refresh computes anew.
+
+    Stored metrics are replaced a day at a time, so that is the first window that starts on
+    the day on which the window around ``since`` starts.
+    """
+    kind = log.schema[spec.timestamp_col].dataType
+    row = log.sparkSession.range(1)
+    for i, granularity in enumerate(spec.granularities):
+        around = F.window(F.lit(str(since)).cast(kind), granularity)
+        row = row.withColumn(f"_day{i}", F.to_date(around["start"]).cast(kind))
+        first = F.window(f"_day{i}", granularity)
+        row = row.withColumn(f"_w{i}", first).withColumn(
+            f"_start{i}",
+            F.when(F.col(f"_w{i}.start") == F.col(f"_day{i}"), F.col(f"_w{i}.start")).otherwise(F.col(f"_w{i}.end")),
+        )
+    found = row.select(*[F.col(f"_start{i}").cast("string") for i in range(len(spec.granularities))]).first()
+    return dict(zip(spec.granularities, found))
 
 
-def touched_rows(log: DataFrame, spec: MonitorSpec, since: str | dt.date | None) -> DataFrame:
-    """The rows of all windows that reach past ``since``: what a refresh has to compute again."""
-    if since is None:
+def touched_rows(log: DataFrame, spec: MonitorSpec, starts: dict[str, str] | None) -> DataFrame:
+    """The rows of all windows that a refresh computes again."""
+    if starts is None:
         return log
-    start = first_window_start(log.sparkSession, spec, since)
-    return log.where(F.col(spec.timestamp_col) >= F.lit(start))
+    kind = log.schema[spec.timestamp_col].dataType
+    moments = [F.lit(s).cast(kind) for s in starts.values()]
+    return log.where(F.col(spec.timestamp_col) >= (F.least(*moments) if len(moments) > 1 else moments[0]))
+
+
+def from_starts(metrics: DataFrame, starts: dict[str, str] | None) -> DataFrame:
+    """Without the windows of a granularity before its start: only some of their rows were looked at."""
+    if starts is None:
+        return metrics
+    kind = metrics.schema["window_start"].dataType
+    kept = [(F.col("granularity") == g) & (F.col("window_start") >= F.lit(s).cast(kind)) for g, s in starts.items()]
+    return metrics.where(reduce(or_, kept))
 
 
 def refresh(
@@ -69,23 +116,24 @@ def refresh(
     custom: dict[str, Column] | None = None,
     edges: Edges | None = None,
 ) -> None:
-    """Compute the windows that reach past ``since`` and store them in place of earlier versions.
+    """Compute the days of windows that reach past ``since`` and store them in place of earlier versions.
 
+    The profile table gets the profile and, for a log with labels, the model's quality.
     Without a baseline each window is compared with the one before it, however far back
     that lies, so drift is then computed on the whole log and only the touched windows
-    are stored.
+    are stored. Give ``edges`` where drift must come out the same on every repetition;
+    estimated ones are read from the baseline, or the log, anew.
     """
-    rows = touched_rows(log, spec, since)
-    save_metrics(profile(rows, spec, exact, custom), profile_table)
+    starts = None if since is None else first_window_starts(log, spec, since)
+    rows = touched_rows(log, spec, starts)
+    metrics = profile(rows, spec, exact, custom)
+    if spec.label_col is not None and spec.prediction_col is not None:
+        metrics = metrics.unionByName(quality_metrics(rows, spec))
+    save_metrics(from_starts(metrics, starts), profile_table)
     numeric, categorical = drift_columns(log, spec, baseline)
-    if baseline is not None or since is None:
-        found = drift(rows, spec, numeric, categorical, baseline, exact=exact, edges=edges)
-    else:
-        start = first_window_start(log.sparkSession, spec, since)
-        found = drift(log, spec, numeric, categorical, exact=exact, edges=edges).where(
-            F.col("window_start") >= F.lit(start)
-        )
-    save_metrics(found, drift_table)
+    compared = log if baseline is None else rows
+    found = drift(compared, spec, numeric, categorical, baseline, exact=exact, edges=edges)
+    save_metrics(from_starts(found, starts), drift_table)
 
 
 def analyze_drift(
@@ -98,7 +146,7 @@ def analyze_drift(
     drift_rows = read_metrics(spark, drift_table)
     if drift_rows is None:
         return None
-    recent = recent_windows(drift_rows, days, as_of)
+    recent = recent_windows(score_rows(drift_rows), days, as_of)
     return {
         "records": recent,
         "report": drift_report(drift_rows, days, as_of),
@@ -106,6 +154,29 @@ def analyze_drift(
     }
 
 
+def monitor_status(spark: SparkSession, profile_table: str, drift_table: str) -> DataFrame:
+    """One row per metric table: whether it is there, its rows, and its newest window."""
+    found = None
+    for kind, name in (("profile", profile_table), ("drift", drift_table)):
+        rows = read_metrics(spark, name)
+        if rows is None:
+            row = spark.range(1).select(
+                F.lit(0).cast("long").alias("n_rows"), F.lit(None).cast("timestamp").alias("latest_window_start"),
+                F.lit(None).cast("timestamp").alias("latest_window_end"), F.lit("missing").alias("status"),
+            )
+        else:
+            newest = F.max(F.struct("window_end", "window_start"))
+            row = rows.agg(F.count("*").alias("n_rows"), newest.alias("_newest")).select(
+                "n_rows",
+                F.col("_newest.window_start").cast("timestamp").alias("latest_window_start"),
+                F.col("_newest.window_end").cast("timestamp").alias("latest_window_end"),
+                F.when(F.col("n_rows") > 0, "active").otherwise("empty").alias("status"),
+            )
+        row = row.select(F.lit(kind).alias("kind"), F.lit(name).alias("table_name"), "*")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def send_alerts(
     spark: SparkSession,
     drift_table: str,

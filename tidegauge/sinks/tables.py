@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.functions.columns import quoted, text
+
+# Fixed value: how a null stands in a partition's path.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 LEDGER_SCHEMA = (
     "table_name string, version long, row_count long, context string, recorded_at timestamp"
 )
@@ -116,9 +123,18 @@ def read_metrics(
     The day partition is filtered along with the window bounds, so only the days asked
     for are read.
     """
-    if not spark.catalog.tableExists(name):
+    if "/" in name:
+        try:
+            stored = spark.read.parquet(name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+    elif spark.catalog.tableExists(name):
+        stored = spark.table(name)
+    else:
         return None
-    return in_time_range(spark.table(name), from_time, to_time)
+    return in_time_range(stored, from_time, to_time)
 
 
 def in_time_range(metrics: DataFrame, from_time: str | None = None, to_time: str | None = None) -> DataFrame:
@@ -145,20 +161,27 @@ def within_retention(
 def drop_expired_days(
     spark: SparkSession, name: str, day_column: str, retention_days: int = 90, as_of: dt.date | None = None
 ) -> list[str]:
-    """Retention on a log partitioned by day: drop whole expired days, rewrite nothing.
+    """Retention on a log partitioned by day, at any level: drop whole expired days, rewrite nothing.
 
-    Only the list of days reaches the driver.
+    Only the list of partitions reaches the driver. Partitions without a day stay. A table
+    that is not partitioned by the day column is an error.
     """
-    cutoff = (as_of or dt.date.today()) - dt.timedelta(days=retention_days)
-    days = [
-        row[0].split("=", 1)[1]
-        for row in spark.sql(f"SHOW PARTITIONS {name}").collect()
-        if row[0].split("=", 1)[0] == day_column
-    ]
-    expired = sorted(d for d in days if d < cutoff.isoformat())
-    for day in expired:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({day_column} = DATE'{day}')")
-    return expired
+    cutoff = ((as_of or dt.date.today()) - dt.timedelta(days=retention_days)).isoformat()
+    listed = [_partition_values(row[0]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    partitioned = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if day_column not in partitioned:
+        raise ValueError(f"{name} is not partitioned by {day_column}")
+    expired = [values for values in listed if values[day_column] is not None and values[day_column][:10] < cutoff]
+    for values in expired:
+        spec = ", ".join(f"{quoted(k)} = {'NULL' if v is None else text(v)}" for k, v in values.items())
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    return sorted({values[day_column] for values in expired})
+
+
+def _partition_values(listed: str) -> dict[str, str | None]:
+    """The values in a partition's path, ``a=1/b=x%3Dy``."""
+    pairs = (part.split("=", 1) for part in listed.split("/"))
+    return {unquote(k): None if v == NULL_PARTITION else unquote(v) for k, v in pairs}
 
 
 def save_feature_importance(importance: DataFrame, path: str) -> None:

@@ -29,6 +29,9 @@ class MonitorSpec:
     slicing_exprs: tuple[str, ...] = ()
     numeric_cols: tuple[str, ...] | None = None
     categorical_cols: tuple[str, ...] | None = None
+    request_id_col: str | None = "request_id"
+    payload_cols: tuple[str, ...] = ("request", "response")
+    exclude_cols: tuple[str, ...] = ()
     baseline_table: str | None = None
     output_schema: str = "monitoring"
 
@@ -37,7 +40,7 @@ class MonitorSpec:
             raise ValueError(f"Unsupported profile type: {self.profile_type}")
         if self.problem_type not in PROBLEM_TYPES:
             raise ValueError(f"Unsupported problem type: {self.problem_type}")
-        for name in ("granularities", "slicing_exprs", "numeric_cols", "categorical_cols"):
+        for name in ("granularities", "slicing_exprs", "numeric_cols", "categorical_cols", "payload_cols", "exclude_cols"):
             value = getattr(self, name)
             if value is not None:
                 object.__setattr__(self, name, tuple(value))
@@ -47,6 +50,12 @@ class MonitorSpec:
             for name in ("prediction_col", "label_col", "score_col", "model_id_col"):
                 object.__setattr__(self, name, None)
 
+    @property
+    def unprofiled(self) -> tuple[str, ...]:
+        """Columns that say which row it is or hold raw payloads: no defaults of a profile or of drift."""
+        named = (self.timestamp_col, self.model_id_col, self.request_id_col, *self.payload_cols, *self.exclude_cols)
+        return tuple(c for c in named if c)
+
 
 @dataclass(frozen=True)
 class AlertRule:
@@ -125,6 +134,66 @@ def load_config(environment: str, config_path: str | Path) -> EnvironmentConfig:
     return environment_config(environments[environment])
 
 
+@dataclass(frozen=True)
+class ModelTemplate:
+    """A model's monitoring template: what to monitor, with which rules and alerts."""
+
+    monitor: MonitorSpec
+    drift_threshold: float | None
+    quality_rules: tuple[str, ...]
+    alerts: tuple[AlertRule, ...]
+    retention_days: int = DEFAULT_RETENTION_DAYS
+
+
+def model_template(values: dict[str, Any]) -> ModelTemplate:
+    """A template as read from YAML; parts that are switched off or absent are left out.
+
+    Listed features are the profiled columns, the target is the label; a temporal block
+    names the timestamp. Without any listed feature the defaults of the log's schema hold.
+    """
+    monitoring, features = values.get("monitoring") or {}, values.get("features") or {}
+    model = values.get("model") or {}
+
+    def enabled(part: str) -> dict[str, Any]:
+        block = monitoring.get(part) or {}
+        return block if block.get("enabled", True) else {}
+
+    kind = str(model.get("type", "classification"))
+    profile_type = monitoring.get("profile_type", "InferenceLog")
+    temporal = features.get("temporal") or {}
+    listed = bool(features.get("numerical") or features.get("categorical"))
+    drift, quality = enabled("drift_detection"), enabled("data_quality")
+    monitor = MonitorSpec(
+        profile_type=profile_type,
+        timestamp_col=temporal.get("timestamp_col", "timestamp"),
+        granularities=tuple(monitoring.get("granularities") or (DEFAULT_GRANULARITY,)),
+        problem_type=kind if kind in PROBLEM_TYPES else "regression",
+        label_col=features.get("target"),
+        numeric_cols=tuple(features.get("numerical") or ()) if listed else None,
+        categorical_cols=tuple(features.get("categorical") or ()) if listed else None,
+        baseline_table=drift.get("baseline"),
+        output_schema=monitoring.get("output_schema", "monitoring"),
+    )
+    table = values.get("inference_table") or {}
+    return ModelTemplate(
+        monitor,
+        float(drift["threshold"]) if "threshold" in drift else None,
+        tuple(quality.get("rules") or ()),
+        tuple(alert_rule(a) for a in monitoring.get("alerts") or ()),
+        int(table.get("retention_days", DEFAULT_RETENTION_DAYS)),
+    )
+
+
+def load_template(path: str | Path) -> ModelTemplate:
+    """Read a model template file."""
+    path = Path(path)
+    if not path.exists():
+        raise FileNotFoundError(f"Template file not found: {path}")
+    import yaml
+
+    return model_template(yaml.safe_load(path.read_text()) or {})
+
+
 def column_roles(
     schema, exclude: tuple[str, ...] = ()
 ) -> tuple[tuple[str, ...], tuple[str, ...]]:

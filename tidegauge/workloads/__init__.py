@@ -3,6 +3,7 @@
 from tidegauge.workloads import (  # noqa: F401
     checking,
     drifting,
+    monitoring,
     preparing,
     profiling,
     quality_of_models,

@@ -355,7 +355,9 @@ SELECT drift_type, column_name, count(*) AS n_records, count(*) FILTER (drift_sc
        round(max(drift_score), 6) AS max_score, max(window_end) AS last_window_end
 FROM d WHERE window_end >= DATE '{AS_OF}' - INTERVAL 7 DAY GROUP BY ALL""")
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(alerts.drift_report(_drift_table(spark, sf_dir), 7, AS_OF, 0.05), "max_score")
+    scores = _drift_table(spark, sf_dir).withColumn("metric_name", F.lit("drift_score"))
+    further = scores.withColumns({"metric_name": F.lit("chi_square"), "drift_score": F.lit(9.0)})
+    return rounded(alerts.drift_report(scores.unionByName(further), 7, AS_OF, 0.05), "max_score")
 
 
 @workload(f"""
@@ -398,10 +400,11 @@ def _violations(spark, sf_dir) -> DataFrame:
 
 @workload(f"""
 WITH {SCORES}, {RULES_SQL}
-SELECT metric, severity, threshold, column_name, drift_type, round(drift_score, 6) AS value, window_end FROM fired""")
+SELECT metric, severity, threshold, column_name, drift_type, round(drift_score, 6) AS value, window_end, '1 day' AS granularity FROM fired""")
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules against all drift scores in one join."""
-    return rounded(_violations(spark, sf_dir).drop("notification_type", "recipients"), "value")
+    found = _violations(spark, sf_dir)
+    return rounded(found.select("metric", "severity", "threshold", "column_name", "drift_type", "value", "window_end", "granularity"), "value")
 
 
 @workload(f"WITH {SCORES}, {RULES_SQL} SELECT metric, severity, count(*) AS n_violations FROM fired GROUP BY ALL")
@@ -412,14 +415,12 @@ def alert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @workload(f"""
 WITH {SCORES}, {RULES_SQL},
 texts AS (
-  SELECT metric, severity, threshold, count(*) AS n_violations,
+  SELECT metric, severity, threshold, count(*) AS n_violations, count(DISTINCT column_name) AS n_columns,
          string_agg(line, chr(10) ORDER BY line) AS violation_lines
   FROM (SELECT *, printf('  - %s: %.4f (%s)', column_name, drift_score, drift_type) AS line FROM fired) GROUP BY ALL)
 SELECT metric, severity, 0 AS part, n_violations,
-       '[PROD] Prediction Drift Alert - ' || n_violations || ' columns' AS subject, violation_lines,
-       concat_ws(chr(10), 'Drift Alert Triggered', '', 'Environment: prod', 'Catalog: main', 'Schema: models',
-         'Threshold: ' || threshold, '', 'Violations:', violation_lines, '',
-         'Please investigate the drift in these features and take appropriate action.') AS body
+       '[PROD] Prediction Drift Alert - ' || n_columns || ' columns' AS subject, violation_lines,
+       concat_ws(chr(10), 'prod, main.models', 'Threshold ' || threshold, violation_lines) AS body
 FROM texts""")
 def alert_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.alert_messages(_violations(spark, sf_dir), "prod", "main", "models")
@@ -435,39 +436,52 @@ def unknown_metric_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.unknown_metrics(alerts.rules_table(spark, RULES), metrics)
 
 
+# Thresholds of the settings templates; an error rise of a fifth, a day of silence.
+TEMPLATE_RULES = [
+    AlertRule("mae_increase", 0.2, "critical"),
+    AlertRule("forecast_accuracy_drop", 0.2, "critical"),
+    AlertRule("data_freshness", 24.0, "warning"),
+]
+
+
 @workload("""
-SELECT event_type, max(ts) AS newest, round((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 3.6e9, 6) AS hours_old
+SELECT event_type AS model_id, round((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 3.6e9, 6) AS value,
+       'warning' AS severity
 FROM events GROUP BY event_type
-HAVING (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 3.6e9 > 0.1""")
+HAVING (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 3.6e9 > 24
+UNION ALL
+SELECT 'silent ' || event_type, round((epoch_us(TIMESTAMP '2024-03-01') - epoch_us(max(ts))) / 3.6e9, 6), 'warning'
+FROM events GROUP BY event_type
+HAVING (epoch_us(TIMESTAMP '2024-03-01') - epoch_us(max(ts))) / 3.6e9 > 24""")
 def freshness_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event types that have been silent for longer than six minutes."""
-    found = alerts.freshness_hours(table(spark, sf_dir, "events"), "ts", "2024-01-31 00:00:00", ["event_type"])
-    return rounded(found.where("hours_old > 0.1"), "hours_old")
+    """Event types that have been silent for longer than a day, looked at on two days."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "model_id")
+    fresh = alerts.freshness_hours(events, "ts", "2024-01-31 00:00:00", ["model_id"])
+    later = alerts.freshness_hours(events, "ts", "2024-03-01 00:00:00", ["model_id"])
+    silent = later.withColumn("model_id", F.concat(F.lit("silent "), "model_id"))
+    metrics = alerts.metric_rows(fresh.unionByName(silent), "data_freshness", "hours_old", None)
+    found = alerts.evaluate_rules(metrics, alerts.rules_table(spark, TEMPLATE_RULES), 1, AS_OF)
+    return rounded(found.select("model_id", "value", "severity"), "value")
 
 
 @workload(f"""
 WITH {PRICED},
 m AS (
-  SELECT time_bucket(INTERVAL '90 days', timestamp, TIMESTAMP '1970-01-01') AS window_start, model_id,
-         avg(abs(label - prediction)) AS mae FROM priced GROUP BY ALL),
+  SELECT date_trunc('day', timestamp)::TIMESTAMP AS window_start, model_id, avg(abs(label - prediction)) AS mae
+  FROM priced GROUP BY ALL),
 c AS (SELECT *, lag(mae) OVER (PARTITION BY model_id ORDER BY window_start) AS reference FROM m)
-SELECT 'mae_increase' AS metric, model_id, window_start, round(mae, 6) AS mae,
+SELECT 'mae_increase' AS metric, 'critical' AS severity, model_id, window_start + INTERVAL 1 DAY AS window_end,
        round((mae - reference) / reference, 6) AS value
-FROM c WHERE (mae - reference) / reference > 0.01""")
+FROM c WHERE (mae - reference) / nullif(reference, 0) > 0.2""")
 def mae_increase_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows whose error rose by more than 1 % over the window before, per model."""
-    spec = MonitorSpec(problem_type="regression", granularities=("90 days",), model_id_col="model_id", numeric_cols=())
+    """Days whose error rose by more than a fifth over the day before that has rows, per model."""
+    spec = MonitorSpec(problem_type="regression", model_id_col="model_id", numeric_cols=())
     values = {"label": F.col("label"), "prediction": F.col("prediction")}
     rows, keys = grouped_rows(priced_lines(spark, sf_dir), spec, values)
     errors = alerts.relative_change(regression_metrics(rows, "label", "prediction", keys), "mae", keys=["model_id"])
-    found = errors.where("relative_change > 0.01").select(
-        F.lit("mae_increase").alias("metric"),
-        "model_id",
-        "window_start",
-        "mae",
-        F.col("relative_change").alias("value"),
-    )
-    return rounded(found, "mae", "value")
+    metrics = alerts.metric_rows(errors, "mae_increase", "relative_change")
+    found = alerts.evaluate_rules(metrics, alerts.rules_table(spark, TEMPLATE_RULES), None)
+    return rounded(found.select("metric", "severity", "model_id", "window_end", "value"), "value")
 
 
 @workload(f"""
@@ -478,7 +492,8 @@ m AS (
          1 - avg(CASE WHEN total <> 0 THEN abs((total - forecast) / total) END) AS accuracy
   FROM f WHERE forecast IS NOT NULL GROUP BY ALL),
 c AS (SELECT *, lag(accuracy) OVER (PARTITION BY o_orderpriority ORDER BY window_start) AS reference FROM m)
-SELECT o_orderpriority, window_start, round(accuracy, 6) AS accuracy,
+SELECT 'forecast_accuracy_drop' AS metric, 'critical' AS severity, o_orderpriority AS model_id,
+       window_start + INTERVAL 90 DAY AS window_end,
        round((reference - accuracy) / nullif(abs(reference), 0), 6) AS value
 FROM c WHERE (reference - accuracy) / nullif(abs(reference), 0) > 0.2""")
 def accuracy_drop_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,16 +501,17 @@ def accuracy_drop_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegauge.operators.timeseries import lag_features
 
     series = lag_features(daily_orders(spark, sf_dir), "period", "total", (7,), ["o_orderpriority"])
-    windowed = series.withColumn("window_start", F.window("period", "90 days").start)
-    errors = regression_metrics(windowed, "total", "total_lag_7", ["o_orderpriority", "window_start"])
-    accuracy = errors.select("o_orderpriority", "window_start", (1 - F.col("mape")).alias("accuracy"))
-    found = alerts.relative_change(accuracy, "accuracy", keys=["o_orderpriority"])
-    drop = -F.col("relative_change")
-    return rounded(
-        found.select("o_orderpriority", "window_start", "accuracy", drop.alias("value")).where("value > 0.2"),
-        "accuracy",
-        "value",
+    window = F.window("period", "90 days")
+    windowed = series.withColumns({"window_start": window.start, "window_end": window.end})
+    errors = regression_metrics(windowed, "total", "total_lag_7", ["o_orderpriority", "window_start", "window_end"])
+    accuracy = errors.select(
+        F.col("o_orderpriority").alias("model_id"), "window_start", "window_end", (1 - F.col("mape")).alias("accuracy")
     )
+    changes = alerts.relative_change(accuracy, "accuracy", keys=["model_id"])
+    dropped = changes.withColumn("drop", -F.col("relative_change"))
+    metrics = alerts.metric_rows(dropped, "forecast_accuracy_drop", "drop")
+    found = alerts.evaluate_rules(metrics, alerts.rules_table(spark, TEMPLATE_RULES), None)
+    return rounded(found.select("metric", "severity", "model_id", "window_end", "value"), "value")
 
 
 @workload("""

@@ -58,12 +58,16 @@ def model_by_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @workload(f"""
 WITH {VERSIONS},
-o AS (SELECT name, version, (row_number() OVER (PARTITION BY name ORDER BY version::INTEGER DESC))::INTEGER AS position FROM versions)
+dated AS (SELECT name, (strftime(created_at, '%Y%m%d')::BIGINT * 1000000000 + version::BIGINT)::VARCHAR AS version FROM versions),
+both_forms AS (SELECT name, version FROM versions UNION ALL SELECT * FROM dated),
+o AS (SELECT name, version, (row_number() OVER (PARTITION BY name ORDER BY version::BIGINT DESC))::INTEGER AS position FROM both_forms)
 SELECT name, version, position FROM o WHERE position <= 5""")
 def version_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five newest versions of every model."""
-    found = reg.top_versions(model_versions(spark, sf_dir).select("name", "version"), 5)
-    return found.select("name", "version", "position")
+    """The five newest versions of every model, some of them numbered by date with 17 digits."""
+    plain = model_versions(spark, sf_dir)
+    dated = F.date_format("created_at", "yyyyMMdd").cast("long") * 1_000_000_000 + F.col("version").cast("long")
+    both = plain.select("name", "version").union(plain.select("name", dated.cast("string")))
+    return reg.top_versions(both, 5).select("name", "version", "position")
 
 
 @workload(f"""
@@ -73,8 +77,8 @@ WHERE name = (SELECT name FROM versions WHERE version = '7') AND version = '7'""
 def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One version looked up by model and number."""
     versions = model_versions(spark, sf_dir).select("name", "version", "description")
-    name = versions.where("version = '7'").first()["name"]
-    return reg.model_metadata(versions, name, "7")
+    wanted = versions.where("version = '7'").select("name", "version").distinct()
+    return reg.model_metadata(versions, wanted)
 
 
 @workload(f"""
