@@ -26,7 +26,7 @@ def clashing(df):
     """Extra columns named like the operators' own."""
     from pyspark.sql import functions as F
 
-    names = ["fp", "row_number", "score", "predicted", "label", "kept", "shard", "segment", "n_words", "Text_Hash"]
+    names = ["fp", "row_number", "score", "predicted", "label", "kept", "shard", "segment", "n_words", "Text_Hash", "hash", "runs", "beginning", "frequent", "_copies", "_best", "norm", "place"]
     return df.select("*", *[F.lit("x").alias(n) for n in names])
 
 

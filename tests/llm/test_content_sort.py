@@ -64,9 +64,8 @@ def test_a_hot_text_has_runs_in_several_partitions(spark):
 
 def test_one_range_exchange_and_no_python(spark):
     rows = documents(spark).select("doc_id", cs.normalised(F.col("text")).alias("norm"), F.length("text").alias("points"))
-    placed = cs.sorted_runs(rows, "norm", "run", "hot", "points", "doc_id", 200).withColumn(
-        "place", F.row_number().over(cs.best_first("norm", "run", "points", "doc_id"))
-    )
+    sorted_rows, keys = cs.sorted_runs(rows, "norm", "run", "hot", 200)
+    placed = sorted_rows.withColumn("place", F.row_number().over(cs.best_first(keys, "points", "doc_id")))
     plan = placed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
     assert "Python" not in plan and "Arrow" not in plan

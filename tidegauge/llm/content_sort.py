@@ -1,9 +1,10 @@
 """Exact duplicates by sorting the content itself.
 
-Rows are range-partitioned by their normalised text: Spark samples the texts and takes the
-splitters from the sample. Each partition is sorted outside memory if need be, equal texts
-come to stand side by side, and a window over the text compares every row with its
-neighbour in full. A text that the sample shows to hold a large share of the rows gets
+Rows are range-partitioned by the first characters of their normalised text and, where texts
+begin alike, a hash of the whole: Spark samples these short keys and takes the splitters
+from the sample, so no whole text reaches the driver. Each partition is sorted outside
+memory if need be, equal texts come to stand side by side, and a window over the text
+compares every row with its neighbour in full. A text that the sample shows to hold a large share of the rows gets
 several runs in different partitions; the heads of such runs are compared once more.
 """
 
@@ -18,6 +19,8 @@ from tidegauge.llm.common import pick, stage, unused
 #: Rows sampled to find texts that are too frequent for one run, and the share that makes them so.
 SAMPLED = 200_000
 HOT_SHARE = 1 / 500
+#: Characters of a text that splitters look at before its hash.
+BEGINNING = 32
 
 
 def normalised(text: Column) -> Column:
@@ -41,19 +44,23 @@ def hot_texts(texts: DataFrame, n: int, sampled: int = SAMPLED) -> DataFrame:
     )
 
 
-def sorted_runs(rows: DataFrame, norm: str, run: str, hot: str, points: str, doc_id: str, n: int) -> DataFrame:
-    """``rows`` with ``run`` and ``hot``, range-partitioned by text and run, ready for windows over both."""
-    found = stage(hot_texts(rows.select(F.col(norm).alias("norm")), n), "hot-texts").toDF("_hot", "_runs")
-    dealt = rows.join(F.broadcast(found), F.xxhash64(F.col(norm)) == F.col("_hot"), "left")
-    spread = F.pmod(F.monotonically_increasing_id(), F.coalesce("_runs", F.lit(1))).cast("int")
-    return (
-        dealt.withColumn(run, spread).withColumn(hot, F.col("_hot").isNotNull()).drop("_hot", "_runs")
-        .repartitionByRange(norm, run)
-    )
+def sorted_runs(rows: DataFrame, norm: str, run: str, hot: str, n: int) -> tuple[DataFrame, list[str]]:
+    """``rows`` with ``run`` and ``hot``, range-partitioned, and the columns that the rows of one run share.
+
+    The whole text is among those columns, so a window over them compares it in full.
+    """
+    frequent, runs, beginning, hashed = (unused(rows, c) for c in ("frequent", "runs", "beginning", "hash"))
+    found = stage(hot_texts(rows.select(F.col(norm).alias("norm")), n), "hot-texts").toDF(frequent, runs)
+    dealt = rows.join(F.broadcast(found), F.xxhash64(F.col(norm)) == F.col(frequent), "left")
+    spread = F.pmod(F.monotonically_increasing_id(), F.coalesce(runs, F.lit(1))).cast("int")
+    keyed = dealt.withColumns({
+        run: spread, hot: F.col(frequent).isNotNull(), beginning: F.substring(norm, 1, BEGINNING), hashed: F.xxhash64(norm),
+    })
+    return keyed.drop(frequent, runs).repartitionByRange(beginning, hashed, run), [beginning, hashed, norm, run]
 
 
-def best_first(norm: str, run: str, points: str, doc_id: str):
-    return Window.partitionBy(norm, run).orderBy(F.col(points).desc(), F.col(doc_id).asc_nulls_last())
+def best_first(keys: list[str], points: str, doc_id: str):
+    return Window.partitionBy(*keys).orderBy(F.col(points).desc(), F.col(doc_id).asc_nulls_last())
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampled: int = SAMPLED) -> DataFrame:
@@ -68,9 +75,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = pick(docs, doc_id=id_col, text=text_col).select(
         "doc_id", normalised(F.col("text")).alias("norm"), F.length(F.coalesce("text", F.lit(""))).alias("points")
     )
-    order = best_first("norm", "run", "points", "doc_id")
-    whole = Window.partitionBy("norm", "run")
-    placed = sorted_runs(rows, "norm", "run", "hot", "points", "doc_id", docs.count()).select(
+    sorted_rows, keys = sorted_runs(rows, "norm", "run", "hot", docs.count())
+    order, whole = best_first(keys, "points", "doc_id"), Window.partitionBy(*keys)
+    placed = sorted_rows.select(
         "doc_id", "points", "run", "hot", "norm",
         F.row_number().over(order).alias("place"),
         F.first("doc_id").over(order).alias("keep_id"),
@@ -110,10 +117,9 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     norm, points, run, hot, place = (unused(docs, c) for c in ("norm", "points", "run", "hot", "place"))
     text, doc_id = F.col(quoted(text_col)), quoted(id_col)
     rows = docs.withColumns({norm: normalised(text), points: F.length(F.coalesce(text, F.lit("")))})
-    order = best_first(norm, run, points, doc_id)
+    sorted_rows, keys = sorted_runs(rows, norm, run, hot, docs.count())
     heads = stage(
-        sorted_runs(rows, norm, run, hot, points, doc_id, docs.count())
-        .withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+        sorted_rows.withColumn(place, F.row_number().over(best_first(keys, points, doc_id))).where(F.col(place) == 1)
         .withColumn(norm, F.when(F.col(hot), F.col(norm))),
         "run-heads",
     )
