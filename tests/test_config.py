@@ -78,3 +78,40 @@ def test_granularities():
     assert nested_granularities(("2 hours", "3 hours")) is None
     with pytest.raises(ValueError):
         granularity_seconds("fortnight")
+
+
+TEMPLATE = """
+model: {type: forecasting}
+inference_table: {retention_days: 365}
+monitoring:
+  profile_type: TimeSeries
+  granularities: ["1 hour"]
+  drift_detection: {enabled: true, baseline: training_data, threshold: 0.1}
+  data_quality: {enabled: false, rules: [null_check]}
+  alerts: [{metric: data_freshness, threshold: 24}]
+features:
+  temporal: {timestamp_col: at}
+  numerical: [a, b]
+"""
+
+
+def test_templates_fill_the_monitor(tmp_path):
+    from tidegauge.spec import load_template
+
+    path = tmp_path / "t.yml"
+    path.write_text(TEMPLATE)
+    found = load_template(path)
+    assert (found.monitor.timestamp_col, found.monitor.numeric_cols, found.monitor.categorical_cols) == ("at", ("a", "b"), ())
+    assert (found.drift_threshold, found.quality_rules, found.retention_days) == (0.1, (), 365)
+    assert found.alerts[0].threshold == 24.0 and found.monitor.baseline_table == "training_data"
+    path.write_text("")
+    assert load_template(path).monitor.numeric_cols is None
+    with pytest.raises(FileNotFoundError):
+        load_template(tmp_path / "nothing.yml")
+
+
+def test_keys_and_payloads_are_not_profiled(spark):
+    from tidegauge.operators.profile import profiled_columns
+
+    log = spark.createDataFrame([], "request_id string, request string, response string, timestamp timestamp, m string, x double, c string, y int")
+    assert profiled_columns(log, MonitorSpec(model_id_col="m", exclude_cols=("y",))) == (["x"], ["c"])

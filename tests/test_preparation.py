@@ -168,3 +168,17 @@ def test_feature_importance_csv(spark, tmp_path):
     df = spark.createDataFrame([("b", 0.1), ("a", 0.9)], "feature string, importance double")
     sinks.save_feature_importance(df, str(tmp_path / "out"))
     assert [r["feature"] for r in spark.read.csv(str(tmp_path / "out"), header=True).collect()] == ["a", "b"]
+
+
+def test_expired_days_at_any_level(spark, fresh_schema):
+    """The day behind or before another level, with values that need quoting, and rows without a day."""
+    rows = [(i, dt.date(2024, 1, i), g) for i in range(1, 6) for g in ("1 day", "it's 5/6=x")] + [(9, None, "1 day"), (9, dt.date(2024, 1, 1), None)]
+    data = spark.createDataFrame(rows, "id int, day date, granularity string")
+    for order in (["granularity", "day"], ["day", "granularity"]):
+        name = f"{fresh_schema}.log_{order[0]}"
+        data.write.partitionBy(*order).saveAsTable(name)
+        assert sinks.drop_expired_days(spark, name, "day", 2, dt.date(2024, 1, 5)) == ["2024-01-01", "2024-01-02"]
+        assert spark.table(name).count() == 7
+    data.write.partitionBy("granularity").saveAsTable(f"{fresh_schema}.other")
+    with pytest.raises(ValueError):
+        sinks.drop_expired_days(spark, f"{fresh_schema}.other", "day", 2, dt.date(2024, 1, 5))

@@ -241,8 +241,8 @@ def binned_order_measures(
 ) -> DataFrame:
     """KS and Wasserstein-1 on shared bins: both distribution functions are read at the edges.
 
-    A group has at most as many rows as there are bins, so the running sums are short.
-    Wasserstein-1 is the sum of distance times bin width between the first and last edge.
+    Every group is one row with its bins as a list, and the running sums are folds over two
+    such lists, so the work behind the counts grows with the groups only. Wasserstein-1 is the sum of distance times bin width between the first and last edge.
     """
     present = F.col("bin").isNotNull()
     # the width above each edge but the last, which has no upper neighbour
@@ -250,30 +250,51 @@ def binned_order_measures(
         {c: [*[high - low for low, high in zip(e, e[1:])], *([0.0] if e else []), 0.0] for c, e in edges.items()}
     )
 
-    def cumulative(counts: DataFrame, by: list[str], size: str, share: str) -> DataFrame:
-        """Distribution function at the upper edge of every bin, bins without rows included."""
-        filled = counts.groupBy(*by).agg(
-            F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias(size),
-            # one entry per bin of a fixed grid
-            F.map_from_entries(F.collect_list(F.when(present, F.struct("bin", "n")))).alias("_by_bin"),
+    def one_row(counts: DataFrame, by: list[str], size: str, bins: str) -> DataFrame:
+        """Per group its rows and the counts of all bins as one list."""
+        grid = F.sequence(F.lit(0), F.size(widths) - 1)
+        return (
+            counts.groupBy(*by)
+            .agg(
+                F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias(size),
+                # one entry per bin of a fixed grid
+                F.map_from_entries(F.collect_list(F.when(present, F.struct("bin", "n")))).alias("_by_bin"),
+            )
+            .select(*by, size, F.transform(grid, lambda i: F.coalesce(F.col("_by_bin")[i], F.lit(0))).alias(bins))
         )
-        every_bin = filled.select(*by, size, "_by_bin", F.posexplode(widths).alias("bin", "_width"))
-        up_to = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        n = F.coalesce(F.col("_by_bin")[F.col("bin")], F.lit(0))
-        return every_bin.select(*by, size, "bin", "_width", ratio(F.sum(n).over(up_to), F.col(size)).alias(share))
-
-    w = cumulative(window_bins, keys, "window_count", "_q")
-    r = cumulative(reference_bins, match, "reference_count", "_p").drop("_width")
-    gap = F.abs(F.col("_p") - F.col("_q"))
-    return (
-        join_groups(w, r, [*match, "bin"], "left")
-        .groupBy(*keys)
-        .agg(
-            F.first("window_count").alias("window_count"),
-            F.coalesce(F.first("reference_count"), F.lit(0)).alias("reference_count"),
-            F.max(gap).alias("ks"),
-            F.sum(gap * F.col("_width")).alias("wasserstein"),
+
+    both = join_groups(
+        one_row(window_bins, keys, "window_count", "_w"),
+        one_row(reference_bins, match, "_size", "_r"),
+        match,
+        "left",
+    )
+    w_size, r_size, zero = F.col("window_count"), F.col("_size"), F.lit(0.0)
+
+    def step(done: Column, cell: Column) -> Column:
+        """The running sums of both sides at the upper edge of a bin, and what they make of the distance."""
+        w, r = done["w"] + cell["counts"]["_w"], done["r"] + cell["counts"]["_r"]
+        gap = F.coalesce(F.abs(ratio(w, w_size) - ratio(r, r_size)), zero)
+        return F.struct(
+            w.alias("w"),
+            r.alias("r"),
+            F.greatest(done["ks"], gap).alias("ks"),
+            (done["area"] + gap * cell["width"]).alias("area"),
         )
+
+    none = F.lit(0).cast("long")
+    start = F.struct(none.alias("w"), none.alias("r"), zero.alias("ks"), zero.alias("area"))
+    cells = F.zip_with(
+        F.arrays_zip("_w", "_r"), widths, lambda counts, width: F.struct(counts.alias("counts"), width.alias("width"))
+    )
+    measured = both.withColumn("_found", F.aggregate(cells, start, step))
+    known = (w_size > 0) & (r_size > 0)
+    return measured.select(
+        *keys,
+        "window_count",
+        F.coalesce(r_size, F.lit(0)).alias("reference_count"),
+        F.when(known, F.col("_found.ks")).alias("ks"),
+        F.when(known, F.col("_found.area")).alias("wasserstein"),
     )
 
 

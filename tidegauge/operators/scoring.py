@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.functions.columns import count_where
+from tidegauge.functions.columns import count_where, quoted
 from tidegauge.operators.prepare import feature_columns
 
 # Default settings of the classifier.
@@ -71,18 +72,17 @@ def score_with(
 ) -> DataFrame:
     """Score with any Python object that has ``predict``; it is loaded once per task.
 
-    Rows travel in Arrow batches and only the feature columns reach the model.
+    Only the feature columns travel to Python, in Arrow batches; the rest of a row stays
+    where it is.
     """
-    prediction_type = prediction_type or T.DoubleType()
-    schema = T.StructType([*df.schema.fields, T.StructField("prediction", prediction_type)])
 
-    def run(batches: Iterator) -> Iterator:
+    @F.pandas_udf(prediction_type or T.DoubleType())
+    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         model = load()
         for batch in batches:
-            batch["prediction"] = model.predict(batch[features])
-            yield batch
+            yield pd.Series(model.predict(batch[features])).reset_index(drop=True)
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn("prediction", predict(F.struct(*[F.col(quoted(c)).alias(c) for c in features])))
 
 
 def scoring_check(scored: DataFrame, prediction: str = "prediction") -> DataFrame:

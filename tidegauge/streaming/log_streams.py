@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.functions.columns import count_where
-from tidegauge.operators.distribution import category_long
+from tidegauge.operators.alerts import drift_metrics, evaluate_rules
 from tidegauge.operators.drift import share_measures
+from tidegauge.operators.windows import SLICE_KEYS, WINDOW_KEYS, group_keys, with_slices
 from tidegauge.spec import MonitorSpec
 
 
@@ -25,44 +26,51 @@ def read_log_stream(
     return reader.parquet(path).withColumn(timestamp_col, F.col(timestamp_col).cast("timestamp"))
 
 
+def _closed_windows(
+    log: DataFrame, spec: MonitorSpec, delay: str, count: Callable[[DataFrame, list], DataFrame]
+) -> DataFrame:
+    """What ``count`` makes of the rows of each granularity, by window, model and slice.
+
+    ``count`` gets the rows and the grouping columns, the window as ``_window``. Every
+    granularity is an aggregation of its own over one stream.
+    """
+    timed = log.withWatermark(spec.timestamp_col, delay)
+    rows = with_slices(timed, spec.slicing_exprs) if spec.slicing_exprs else timed
+    by = [F.col(spec.model_id_col).cast("string").alias("model_id")] if spec.model_id_col else []
+    by += [F.col(c) for c in SLICE_KEYS] if spec.slicing_exprs else []
+    found = None
+    for granularity in spec.granularities:
+        counted = count(rows, [F.window(spec.timestamp_col, granularity).alias("_window"), *by])
+        named = counted.select(
+            F.lit(granularity).alias("granularity"),
+            F.col("_window.start").alias("window_start"),
+            F.col("_window.end").alias("window_end"),
+            *[c for c in counted.columns if c != "_window"],
+        )
+        found = named if found is None else found.unionByName(named)
+    return found
+
+
 def stream_profile(
     log: DataFrame, spec: MonitorSpec, columns: list[str], delay: str = "1 hour"
 ) -> DataFrame:
-    """Numeric profile per closed window; rows later than ``delay`` are dropped.
+    """Numeric profile per closed window, model and slice; rows later than ``delay`` are dropped.
 
-    State per window has a fixed size: counters, moments and one quantile sketch per column.
+    State per group has a fixed size: counters, moments and one quantile sketch per column.
     """
-    (granularity,) = spec.granularities
-    window = F.window(spec.timestamp_col, granularity)
-    by_model = [F.col(spec.model_id_col).alias("model_id")] if spec.model_id_col else []
     aggregates = [F.count("*").alias("n_rows")]
     for c in columns:
-        v = F.col(c).cast("double")
+        number = F.col(c).cast("double")
+        v = F.when(~F.isnan(number), number)
         aggregates += [
-            count_where(v.isNull()).alias(f"{c}_num_nulls"),
+            count_where(F.col(c).isNull()).alias(f"{c}_num_nulls"),
             F.avg(v).alias(f"{c}_avg"),
             F.min(v).alias(f"{c}_min"),
             F.max(v).alias(f"{c}_max"),
             F.stddev(v).alias(f"{c}_stddev"),
             F.percentile_approx(v, 0.5, 10_000).alias(f"{c}_median"),
         ]
-    return (
-        log.withWatermark(spec.timestamp_col, delay)
-        .groupBy(window.alias("_window"), *by_model)
-        .agg(*aggregates)
-        .select(
-            F.lit(granularity).alias("granularity"),
-            F.col("_window.start").alias("window_start"),
-            F.col("_window.end").alias("window_end"),
-            *[F.col("model_id") for _ in by_model],
-            *["n_rows"],
-            *[
-                f"{c}_{m}"
-                for c in columns
-                for m in ("num_nulls", "avg", "min", "max", "stddev", "median")
-            ],
-        )
-    )
+    return _closed_windows(log, spec, delay, lambda rows, by: rows.groupBy(*by).agg(*aggregates))
 
 
 def stream_unique_requests(log: DataFrame, key: str, timestamp_col: str, delay: str = "1 hour") -> DataFrame:
@@ -73,46 +81,56 @@ def stream_unique_requests(log: DataFrame, key: str, timestamp_col: str, delay:
 def stream_value_counts(
     log: DataFrame, spec: MonitorSpec, columns: list[str], delay: str = "1 hour"
 ) -> DataFrame:
-    """Rows per closed window, categorical column and value; one state row per value."""
-    (granularity,) = spec.granularities
-    timed = log.withWatermark(spec.timestamp_col, delay)
-    long = category_long(timed, [spec.timestamp_col], columns)
-    return (
-        long.groupBy(F.window(spec.timestamp_col, granularity).alias("_window"), "column_name", "value")
-        .agg(F.count("*").alias("n"))
-        .select(
-            F.lit(granularity).alias("granularity"),
-            F.col("_window.start").alias("window_start"),
-            F.col("_window.end").alias("window_end"),
-            "column_name",
-            "value",
-            "n",
-        )
-    )
-
-
-def drift_sink(baseline_counts: DataFrame, path: str) -> Callable[[DataFrame, int], None]:
+    """Rows per closed window, model, slice, categorical column and value; one state row per value."""
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
+    ]
+
+    def count(rows: DataFrame, by: list) -> DataFrame:
+        # the cells of a row are told apart from the log's own columns
+        long = rows.withColumn("_cell", F.explode(F.array(*cells)))
+        named = [F.col("_cell.column_name").alias("column_name"), F.col("_cell.value").alias("value")]
+        return long.groupBy(*by, *named).agg(F.count("*").alias("n"))
+
+    return _closed_windows(log, spec, delay, count)
+
+
+def drift_sink(
+    baseline_counts: DataFrame,
+    path: str,
+    spec: MonitorSpec | None = None,
+    rules: DataFrame | None = None,
+    alerts_path: str | None = None,
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that scores the closed windows of a batch and stores them.
 
-    In append mode all counts of a window arrive in one batch, when the watermark passes
-    its end. Each batch writes its own partition, so a batch that is run again after a
-    failure replaces its rows instead of adding them twice.
+    Groups are those of ``spec`` (by default windows alone) and meet the baseline counts of
+    their slice. With ``rules`` the batch's violations are stored at ``alerts_path``. In
+    append mode all counts of a window arrive in one batch, when the watermark passes its
+    end. Each batch writes its own partition, so a batch that is run again after a failure
+    replaces its rows instead of adding them twice.
     """
-    keys = ["granularity", "window_start", "window_end", "column_name"]
+    keys = [*(WINDOW_KEYS if spec is None else group_keys(spec)), "column_name"]
+    match = [k for k in keys if k in baseline_counts.columns]
+
+    def save(rows: DataFrame, batch_id: int, to: str) -> None:
+        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("batch_id").parquet(to)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # the counts are read twice below; without the cache the stream state would be too
         counts = batch.persist()
-        scored = share_measures(counts, baseline_counts, keys, ["column_name"], "value")
-        (
-            scored.withColumn("drift_type", F.lit("baseline"))
-            .withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
-        counts.unpersist()
+        try:
+            scored = share_measures(counts, baseline_counts, keys, match, "value").withColumn(
+                "drift_type", F.lit("baseline")
+            )
+            save(scored, batch_id, path)
+            if rules is not None:
+                scores = drift_metrics(scored.withColumn("drift_score", F.col("total_variation")))
+                save(evaluate_rules(scores, rules, None), batch_id, alerts_path)
+        finally:
+            counts.unpersist()
 
     return store
 

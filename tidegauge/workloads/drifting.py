@@ -165,18 +165,37 @@ def drift_wasserstein(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, "ks", "wasserstein")
 
 
-@workload()
+LINE_EDGES = {
+    "l_quantity": [float(x) for x in range(2, 50)],
+    "l_extendedprice": [1000.0 * x for x in range(1, 100)],
+    "l_discount": [0.005 + 0.01 * x for x in range(10)],
+    "l_tax": [0.005 + 0.01 * x for x in range(8)],
+}
+LINE_EDGE_ROWS = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, unnest([{', '.join(map(repr, e))}]) AS edge" for c, e in LINE_EDGES.items()
+)
+
+
+@workload(f"""
+WITH edges AS ({LINE_EDGE_ROWS}),
+lines AS (
+  SELECT l_returnflag AS model_id, time_bucket(INTERVAL '30 days', l_shipdate, TIMESTAMP '1970-01-01') AS window_start,
+         l_shipdate, {', '.join(f'{c}::DOUBLE AS {c}' for c in LINE_EDGES)} FROM lineitem),
+cells AS (UNPIVOT lines ON {', '.join(LINE_EDGES)} INTO NAME column_name VALUE v),
+old AS (SELECT column_name, edge, avg((v < edge)::INTEGER) AS p FROM cells JOIN edges USING (column_name)
+        WHERE l_shipdate < TIMESTAMP '1996-01-01' GROUP BY ALL),
+new AS (SELECT column_name, model_id, window_start, edge, count(*) AS n, avg((v < edge)::INTEGER) AS q
+        FROM cells JOIN edges USING (column_name) WHERE l_shipdate >= TIMESTAMP '1996-01-01' GROUP BY ALL)
+SELECT column_name, model_id, window_start, max(n) AS window_count, round(max(abs(q - p)), 6) AS ks
+FROM new JOIN old USING (column_name, edge) GROUP BY ALL""")
 def drift_lines_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four columns of the largest table, per month-long window and return flag, on 256 baseline bins."""
+    """Four columns of the largest table, per month-long window and return flag, on given bins."""
     lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", "timestamp")
     spec = MonitorSpec(granularities=("30 days",), model_id_col="l_returnflag", numeric_cols=())
     cut = F.lit("1996-01-01").cast("timestamp_ntz")
-    return dr.numeric_drift(
-        lines.where(F.col("timestamp") >= cut),
-        spec,
-        ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-        lines.where(F.col("timestamp") < cut),
-    )
+    later, earlier = lines.where(F.col("timestamp") >= cut), lines.where(F.col("timestamp") < cut)
+    found = dr.numeric_drift(later, spec, list(LINE_EDGES), earlier, edges=LINE_EDGES)
+    return rounded(found.select("column_name", "model_id", "window_start", "window_count", "ks"), "ks")
 
 
 CONSECUTIVE = f"""{LOG},

@@ -98,10 +98,13 @@ def rows_without_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 IS_TEST = "('0x' || substr(md5('42:' || {key}), 1, 8))::BIGINT % 1000000 < 200000"
 
 
-@workload(f"SELECT doc_id, lang, source, n_chars FROM documents WHERE {IS_TEST.format(key='doc_id::VARCHAR')}")
+@workload(f"""
+SELECT doc_id, lang, source, n_chars, CASE WHEN {IS_TEST.format(key='doc_id::VARCHAR')} THEN 'test' ELSE 'train' END AS part
+FROM documents""")
 def hash_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The test part of the split."""
-    return split_train_test(_documents(spark, sf_dir), 0.2, 42, "doc_id")[1]
+    """Both parts of the split."""
+    train, test = split_train_test(_documents(spark, sf_dir), 0.2, 42, "doc_id")
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 @workload(f"""

@@ -81,14 +81,12 @@ def rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("""
-WITH f AS (SELECT DISTINCT l_linestatus, date_trunc('day', l_shipdate)::TIMESTAMP AS period FROM lineitem
-           WHERE l_returnflag = 'R'),
-d AS (SELECT l_linestatus, unnest(generate_series(min(period), max(period), INTERVAL 1 DAY)) AS period FROM f GROUP BY 1)
-SELECT l_linestatus, period FROM d EXCEPT SELECT l_linestatus, period FROM f""")
+WITH f AS (SELECT DISTINCT l_suppkey, date_trunc('day', l_shipdate)::TIMESTAMP AS period FROM lineitem),
+d AS (SELECT l_suppkey, unnest(generate_series(min(period), max(period), INTERVAL 1 DAY)) AS period FROM f GROUP BY 1)
+SELECT l_suppkey, period FROM d EXCEPT SELECT l_suppkey, period FROM f""")
 def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days on which nothing was returned, per line status."""
-    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
-    return ts.missing_periods(returned, "l_shipdate", "daily", ["l_linestatus"])
+    """Days on which a supplier shipped nothing, between its first line and its last."""
+    return ts.missing_periods(table(spark, sf_dir, "lineitem"), "l_shipdate", "daily", ["l_suppkey"])
 
 
 @workload("""

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.operators.alerts import rules_table
 from tidegauge.operators.distribution import category_long, value_counts
 from tidegauge.session import scratch_dir
+from tidegauge.spec import AlertRule
 from tidegauge.streaming import log_streams as streams
-from tidegauge.workloads.bindings import BASELINE_END, log_spec, rounded, table
-from tidegauge.workloads.drifting import EVENT_TYPES, TV
+from tidegauge.workloads.bindings import BASE, BASELINE_END, log_spec, rounded, table
+from tidegauge.workloads.drifting import DAY, EVENT_TYPES, TV
 from tidegauge.workloads.registry import workload
 
 DELAY = "1 day"
@@ -69,3 +71,76 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
         "column_name", "drift_type", "window_start", "total_variation"
     )
     return rounded(found, "total_variation")
+
+
+def _categories_by_model() -> str:
+    """Drift of event types by model: windows of each model against the baseline of all."""
+    return f"""{BASE},
+wc AS (SELECT model_id, {DAY} AS window_start, event_type AS v, count(*) AS n FROM live GROUP BY ALL),
+bc AS (SELECT event_type AS v, count(*) AS n FROM base GROUP BY ALL),
+groups AS (SELECT DISTINCT model_id, window_start FROM wc),
+cells AS (SELECT model_id, window_start, v FROM groups CROSS JOIN (SELECT v FROM bc) UNION SELECT model_id, window_start, v FROM wc),
+paired AS (
+  SELECT c.*, coalesce(bc.n, 0) / (SELECT sum(n) FROM bc) AS p,
+         coalesce(wc.n, 0) / sum(wc.n) OVER (PARTITION BY c.model_id, c.window_start) AS q
+  FROM cells c LEFT JOIN wc USING (model_id, window_start, v) LEFT JOIN bc USING (v)),
+scores AS (SELECT model_id, window_start, {TV} AS score FROM paired
+           WHERE window_start + INTERVAL 1 DAY <= {CLOSED} GROUP BY ALL)"""
+
+
+def _model_stream(spark, sf_dir):
+    """The event stream of the monitored time with a model id, and the baseline's value counts."""
+    model = F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string"))
+    later = _event_stream(spark, sf_dir).where(F.col("ts") >= F.lit(BASELINE_END).cast("timestamp"))
+    base = table(spark, sf_dir, "events").where(F.col("ts") < F.lit(BASELINE_END).cast("timestamp_ntz"))
+    return later.withColumn("model_id", model), value_counts(category_long(base, [], ["event_type"]), ["column_name"])
+
+
+def _scored_stream(spark, sf_dir, purpose: str) -> str:
+    out, spec = scratch_dir(spark, purpose), log_spec(timestamp_col="ts", model_id_col="model_id")
+    events, base = _model_stream(spark, sf_dir)
+    counts = streams.stream_value_counts(events, spec, ["event_type"], DELAY)
+    rules = rules_table(spark, [AlertRule("prediction_drift", 0.1, "critical")])
+    sink = streams.drift_sink(base, f"{out}/data", spec, rules, f"{out}/alerts")
+    streams.run_available_batches(counts, sink, f"{out}/checkpoint")
+    return out
+
+
+@workload(f"WITH {_categories_by_model()} SELECT model_id, window_start, round(score, 6) AS total_variation FROM scores")
+def stream_drift_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of each model's closed days against the first week."""
+    out = _scored_stream(spark, sf_dir, "stream_drift_by_model")
+    found = _naive(spark.read.parquet(f"{out}/data"), "window_start")
+    return rounded(found.select("model_id", "window_start", "total_variation"), "total_variation")
+
+
+@workload(f"""
+WITH {_categories_by_model()}
+SELECT 'critical' AS severity, model_id, 'event_type' AS column_name, window_start + INTERVAL 1 DAY AS window_end, round(score, 6) AS value
+FROM scores WHERE score > 0.1""")
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts raised batch by batch, with the model each is about."""
+    out = _scored_stream(spark, sf_dir, "stream_alerts")
+    found = _naive(spark.read.parquet(f"{out}/alerts"), "window_end")
+    return rounded(found.select("severity", "model_id", "column_name", "window_end", "value"), "value")
+
+
+@workload(f"""
+WITH sliced AS (
+  SELECT *, NULL::VARCHAR AS slice_key, NULL::VARCHAR AS slice_value FROM events
+  UNION ALL SELECT *, 'event_type = ''error''', (event_type = 'error')::VARCHAR FROM events),
+cut AS (
+  SELECT '1 day' AS granularity, INTERVAL 1 DAY AS step, * FROM sliced UNION ALL SELECT '6 hours', INTERVAL 6 HOUR, * FROM sliced),
+w AS (SELECT *, time_bucket(step, ts, TIMESTAMP '1970-01-01') AS window_start FROM cut)
+SELECT granularity, window_start, slice_key, slice_value, count(*) AS n_rows, round(avg(value), 6) AS value_avg, max(value) AS value_max
+FROM w WHERE window_start + step <= {CLOSED} GROUP BY ALL""")
+def stream_profile_by_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of closed windows at two granularities, for all events and for errors and others."""
+    out = scratch_dir(spark, "stream_profile_by_slice")
+    spec = log_spec(timestamp_col="ts", granularities=("1 day", "6 hours"), slicing_exprs=("event_type = 'error'",))
+    profile = streams.stream_profile(_event_stream(spark, sf_dir), spec, ["value"], DELAY)
+    streams.run_available(profile, f"{out}/data", f"{out}/checkpoint")
+    found = _naive(spark.read.parquet(f"{out}/data"), "window_start")
+    return rounded(
+        found.select("granularity", "window_start", "slice_key", "slice_value", "n_rows", "value_avg", "value_max"), "value_avg"
+    )
