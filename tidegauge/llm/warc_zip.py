@@ -324,8 +324,10 @@ def read_records(index: DataFrame, payloads: bool = False, read_bytes: int = REA
                     at += row["length"]
                 yield pa.RecordBatch.from_pylist([{k: p[k] for k in names} for p in parsed], schema=arrow_schema)
 
-    dealt = index.repartitionByRange(_tasks(-(-index.count() // 500), index.sparkSession), "file", "place")
-    dealt = dealt.sortWithinPartitions("file", "place")
+    # a short key for each package: splitters are sampled to the driver
+    dealt = index.withColumn("package", F.xxhash64("file"))
+    dealt = dealt.repartitionByRange(_tasks(-(-index.count() // 500), index.sparkSession), "package", "place")
+    dealt = dealt.sortWithinPartitions("file", "place").drop("package")
     return dealt.mapInArrow(read, schema)
 
 
