@@ -64,3 +64,18 @@ def test_running_totals(spark):
     counts = di.value_counts(di.numeric_long(df, ["g"], ["v"], {"v": [10.0, 30.0]}), ["g", "column_name"])
     found = {r["value"]: r["before_n"] for r in di.running_totals(counts, ["g", "column_name"], ["n"]).collect()}
     assert found == {v: (values < v).sum() for v in set(values.tolist())}
+
+
+def test_a_dominant_value_does_not_collapse_the_bins(spark):
+    """99.9 % of the rows are 0: the other values still spread over the bins."""
+    rows = spark.range(2_000_000).select(F.when(F.col("id") % 1000 == 0, F.col("id") * 1.0).otherwise(0.0).alias("x"))
+    edges = di.approx_edges(rows, ["x"], 256)
+    values = rows.distinct()
+    bins = di.with_bins(values, ["x"], edges).groupBy("_bin_x").count().collect()
+    assert max(r["count"] for r in bins) < 0.02 * values.count()
+
+
+def test_few_values_make_few_edges(spark):
+    rows = spark.range(10_000).select((F.col("id") % 5).cast("double").alias("x"), F.lit(None).cast("double").alias("none"))
+    edges = di.approx_edges(rows, ["x", "none"], 64)
+    assert set(edges["x"]) <= {0.0, 1.0, 2.0, 3.0, 4.0} and edges["none"] == []

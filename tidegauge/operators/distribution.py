@@ -10,6 +10,7 @@ of the table is one row.
 from __future__ import annotations
 
 import json
+from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -44,26 +45,60 @@ def approx_edges(df: DataFrame, columns: list[str], bins: int | None = None) ->
     """Inner bin edges at equal steps of the distribution, one small job for all columns.
 
     ``columns x bins`` numbers reach the driver. Where they fall decides how even the
-    work is; results that need exact ranks do not depend on them. The sketches of the
-    map tasks are merged in groups first, so the last task never meets one per map task.
+    work is; results that need exact ranks do not depend on them. Values that fill whole
+    steps leave few edges; where a column has many other values, these are cut once more
+    without the frequent ones, so that a dominant value does not put all others into one bin.
     """
     if not columns:
         return {}
     bins = rank_bins(df) if bins is None else bins
+    edges: dict[str, set[float]] = {c: set() for c in columns}
+    aside: dict[str, set[float]] = {c: set() for c in columns}
+    crowded = list(columns)
+    while crowded:
+        again = []
+        for c, (cuts, distinct) in _steps(df, crowded, bins, aside).items():
+            frequent = {x for x, n in Counter(cuts).items() if n > 1} - aside[c]
+            edges[c] |= set(cuts)
+            aside[c] |= frequent
+            if frequent and len(set(cuts)) < bins // 2 and distinct > 4 * bins:
+                again.append(c)
+        crowded = again
+    return {c: _distinct_edges(list(edges[c])) for c in columns}
+
+
+def _steps(
+    df: DataFrame, columns: list[str], bins: int, aside: dict[str, set[float]]
+) -> dict[str, tuple[list[float], float]]:
+    """Per column the values at equal steps and how many different ones there are, without those set aside.
+
+    The sketches of the map tasks are merged in groups first, so the last task never meets
+    one per map task.
+    """
     steps = ", ".join(f"{i / bins!r}D" for i in range(1, bins))
     size = EDGE_SKETCH_SIZE
+
+    def value(c: str) -> str:
+        number = f"CAST({quoted(c)} AS double)"
+        left_out = " OR ".join([f"isnan({number})", *[f"{number} = {x!r}D" for x in sorted(aside[c])]])
+        return f"CASE WHEN NOT ({left_out}) THEN {number} END"
+
     rows = df.selectExpr(
         f"pmod(spark_partition_id(), {MERGE_GROUPS}) AS _group",
-        *[f"CAST({quoted(c)} AS double) AS _c{i}" for i, c in enumerate(columns)],
+        *[f"{value(c)} AS _c{i}" for i, c in enumerate(columns)],
     )
+    hashed = "CASE WHEN _c{0} IS NOT NULL THEN xxhash64(_c{0}) END"
     grouped = rows.groupBy("_group").agg(
         *[F.expr(f"kll_sketch_agg_double(_c{i}, {size}) AS _s{i}") for i in range(len(columns))],
+        *[F.expr(f"hll_sketch_agg({hashed.format(i)}) AS _d{i}") for i in range(len(columns))],
     )
     merged = grouped.agg(
         *[F.expr(f"kll_merge_agg_double(_s{i}, {size}) AS _s{i}") for i in range(len(columns))],
+        *[F.expr(f"hll_sketch_estimate(hll_union_agg(_d{i})) AS _d{i}") for i in range(len(columns))],
     )
-    row = merged.selectExpr(*[ranks_of_sketch(f"_s{i}", steps) for i in range(len(columns))]).first()
-    return {c: _distinct_edges(found or []) for c, found in zip(columns, row)}
+    row = merged.selectExpr(*[ranks_of_sketch(f"_s{i}", steps) for i in range(len(columns))], *[f"_d{i}" for i in range(len(columns))]).first()
+    cuts = [[x for x in found or [] if x is not None and x == x] for found in row[: len(columns)]]
+    return {c: (cut, distinct or 0) for c, cut, distinct in zip(columns, cuts, row[len(columns) :])}
 
 
 def exact_edges(df: DataFrame, columns: list[str], bins: int) -> Edges:
