@@ -28,7 +28,7 @@ from tidegauge.operators.distribution import (
     per_column,
     value_counts,
 )
-from tidegauge.operators.windows import SLICE_KEYS, WINDOW_KEYS, grouped_rows, with_unused_keys
+from tidegauge.operators.windows import SLICE_KEYS, WINDOW_KEYS, granularity_seconds, grouped_rows, with_unused_keys
 from tidegauge.spec import MonitorSpec
 
 DRIFT_SCHEMA = T.StructType(
@@ -349,6 +349,8 @@ def _long(
     weekday: bool,
 ) -> tuple[DataFrame, list[str]]:
     values = {c: F.col(c) for c in (*numeric, *categorical)}
+    if weekday and any(granularity_seconds(g) > 86400 for g in spec.granularities):
+        raise ValueError("seasonal drift compares weekdays: windows may be a day long at most")
     if weekday:
         values["_weekday"] = F.dayofweek(spec.timestamp_col)
     return grouped_rows(df, spec, values, windowed)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -219,6 +220,24 @@ def seasonality_check(
     )
 
 
+# What every rule reports, whatever else it has to say.
+VERDICT = ["rule", "column_name", "checked", "pass_share", "passed"]
+
+
+def combined_checks(checks: list[DataFrame], keys: list[str] | None = None) -> DataFrame:
+    """The verdicts of any rules as one table, for a score over all of them."""
+    shown = [c.select(*(keys or []), *VERDICT) for c in checks]
+    return reduce(lambda a, b: a.unionByName(b), shown)
+
+
+def checks_named(names: tuple[str, ...], available: dict[str, DataFrame]) -> DataFrame:
+    """The checks that a template's rules ask for; a name that is no rule is an error."""
+    unknown = [n for n in names if n not in RULES]
+    if unknown:
+        raise ValueError(f"Unknown data quality rules: {', '.join(unknown)}")
+    return combined_checks([available[n] for n in names])
+
+
 def quality_score(checks: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Mean pass share over the rules, between 0 and 1."""
     return checks.groupBy(*(keys or [])).agg(

@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,3 +111,33 @@ def input_contract(df: DataFrame, expected: T.StructType | str) -> DataFrame:
     return df.sparkSession.createDataFrame(
         rows, "column_name string, expected_type string, actual_type string, problem string"
     )
+
+
+def contract_violations(df: DataFrame, expected: T.StructType | str) -> DataFrame:
+    """The problems of ``input_contract`` with the rows they concern, from one pass over the table.
+
+    A missing column concerns every row. A column of another type concerns the rows whose
+    value changes, or is lost, when it is read as the expected type; an unexpected column
+    concerns none.
+    """
+    problems = input_contract(df, expected).collect()  # one row per column at most
+
+    def concerned(row) -> Column:
+        if row["problem"] == "missing":
+            return F.count("*")
+        if row["problem"] == "unexpected":
+            return F.lit(0).cast("long")
+        value = F.col(quoted(row["column_name"]))
+        back = value.try_cast(row["expected_type"]).try_cast(row["actual_type"])
+        return count_where(~value.eqNullSafe(back))
+
+    counted = [
+        F.struct(
+            *[F.lit(row[c]).cast("string").alias(c) for c in ("column_name", "expected_type", "actual_type", "problem")],
+            concerned(row).alias("n_rows"),
+        )
+        for row in problems
+    ]
+    if not counted:
+        return input_contract(df, expected).withColumn("n_rows", F.lit(0).cast("long"))
+    return df.agg(F.array(*counted).alias("_problems")).select(F.inline("_problems"))

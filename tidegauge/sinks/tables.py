@@ -32,19 +32,18 @@ def append_ledger(
     """
     if context not in CONTEXTS:
         raise ValueError(f"Unknown dataset context: {context}")
-    version = 1
-    if spark.catalog.tableExists(ledger):
-        newest = (
-            spark.table(ledger).where(F.col("table_name") == table_name).agg(F.max("version")).first()[0]
-        )
+    recorded, version = stored_table(spark, ledger), 1
+    if recorded is not None:
+        newest = recorded.where(F.col("table_name") == table_name).agg(F.max("version")).first()[0]
         version = (newest or 0) + 1
-    spark.range(1).select(
+    row = spark.range(1).select(
         F.lit(table_name).alias("table_name"),
         F.lit(version).cast("long").alias("version"),
         F.lit(row_count).cast("long").alias("row_count"),
         F.lit(context).alias("context"),
         F.current_timestamp().alias("recorded_at"),
-    ).write.mode("append").saveAsTable(ledger)
+    )
+    _write(row, ledger, "append")
     return str(version)
 
 
@@ -53,8 +52,28 @@ def save_table(
 ) -> str:
     """Write a table and return its new version; the row count comes from the written files."""
     spark = df.sparkSession
-    df.write.mode(mode).saveAsTable(name)
-    return append_ledger(spark, ledger, name, spark.table(name).count(), context)
+    _write(df, name, mode)
+    return append_ledger(spark, ledger, name, stored_table(spark, name).count(), context)
+
+
+def _write(df: DataFrame, name: str, mode: str) -> None:
+    """To a catalog table, or to a Parquet path when the name holds a slash."""
+    if "/" in name:
+        df.write.mode(mode).parquet(name)
+    else:
+        df.write.mode(mode).saveAsTable(name)
+
+
+def stored_table(spark: SparkSession, name: str) -> DataFrame | None:
+    """A catalog table, or a Parquet path when the name holds a slash; None where there is none yet."""
+    if "/" not in name:
+        return spark.table(name) if spark.catalog.tableExists(name) else None
+    try:
+        return spark.read.parquet(name)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def dataset_versions(sized: DataFrame, previous: DataFrame | None = None) -> DataFrame:
@@ -123,18 +142,8 @@ def read_metrics(
     The day partition is filtered along with the window bounds, so only the days asked
     for are read.
     """
-    if "/" in name:
-        try:
-            stored = spark.read.parquet(name)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-    elif spark.catalog.tableExists(name):
-        stored = spark.table(name)
-    else:
-        return None
-    return in_time_range(stored, from_time, to_time)
+    stored = stored_table(spark, name)
+    return None if stored is None else in_time_range(stored, from_time, to_time)
 
 
 def in_time_range(metrics: DataFrame, from_time: str | None = None, to_time: str | None = None) -> DataFrame:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import prepare
 from tidegauge.operators.profile import numeric_profile
-from tidegauge.operators.scoring import input_contract
+from tidegauge.operators.scoring import contract_violations
 from tidegauge.operators.split import flag_test_rows, split_train_test
 from tidegauge.session import scratch_dir
 from tidegauge.sinks import tables as sinks
 from tidegauge.sources import inference_log as logs
+from tidegauge.sources import tables as sources
 from tidegauge.sources.tables import first_rows, log_status
 from tidegauge.workloads.bindings import AS_OF, BASE, LOG, inference_log, log_spec, rounded, table
 from tidegauge.workloads.registry import workload
@@ -210,11 +211,38 @@ def refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @workload("""
 SELECT 'value' AS column_name, 'bigint' AS expected_type, 'double' AS actual_type, 'type' AS problem,
-       count(*) AS n_rows FROM events
+       count(*) FILTER (value <> trunc(value)) AS n_rows FROM events
+UNION ALL SELECT 'event_type', 'int', 'string', 'type', count(event_type) FILTER (TRY_CAST(event_type AS INTEGER) IS NULL) FROM events
 UNION ALL SELECT 'score', 'double', NULL, 'missing', count(*) FROM events
-UNION ALL SELECT 'props', NULL, 'string', 'unexpected', count(*) FROM events""")
+UNION ALL SELECT 'props', NULL, 'string', 'unexpected', 0""")
 def input_contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of ``events`` that do not fit an expected schema, with the rows they concern."""
-    events = table(spark, sf_dir, "events")
-    expected = "event_id long, ts timestamp_ntz, user_id long, event_type string, value long, score double"
-    return input_contract(events, expected).withColumn("n_rows", events.agg(F.count("*")).scalar())
+    """Columns of ``events`` that do not fit an expected schema, with the rows whose values do not."""
+    expected = "event_id long, ts timestamp_ntz, user_id long, event_type int, value long, score double"
+    return contract_violations(table(spark, sf_dir, "events"), expected)
+
+
+@workload("SELECT doc_id, n_chars, quality FROM documents JOIN labels USING (doc_id)")
+def feature_table_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feature by key with the label joined on, read by name."""
+    return sources.load_training_source(
+        spark, feature_table=f"{sf_dir}/documents.parquet", lookup_key="doc_id", feature_columns=["n_chars"],
+        label_table=f"{sf_dir}/labels.parquet", label_column="quality",
+    )
+
+
+@workload("""
+SELECT 'train' AS part, 1::BIGINT AS version, count(*) AS row_count, 'training' AS context FROM labels WHERE quality = 1
+UNION ALL SELECT 'train', 2, count(*), 'training' FROM labels
+UNION ALL SELECT 'test', 1, count(*), 'validation' FROM labels WHERE toxic = 1""")
+def saved_table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after three saves of two tables."""
+    out, labels = scratch_dir(spark, "saved_tables"), table(spark, sf_dir, "labels")
+    ledger = f"{out}/ledger"
+    for rows, name, context in (
+        (labels.where("quality = 1"), "train", "training"),
+        (labels, "train", "training"),
+        (labels.where("toxic = 1"), "test", "validation"),
+    ):
+        sinks.save_table(rows, f"{out}/{name}", ledger, context=context)
+    part = F.element_at(F.split("table_name", "/"), -1)
+    return sinks.stored_table(spark, ledger).select(part.alias("part"), "version", "row_count", "context")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.operators import performance as perf
@@ -13,6 +13,8 @@ from tidegauge.operators import scoring
 from tidegauge.operators.split import split_train_test
 from tidegauge.operators.windows import grouped_rows
 from tidegauge.plans.monitoring import quality_per_window
+from tidegauge.session import scratch_dir
+from tidegauge.sinks.tables import save_feature_importance
 from tidegauge.spec import MonitorSpec
 from tidegauge.workloads.bindings import (
     CLASSIFIED,
@@ -259,6 +261,24 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@workload("""
+SELECT unnest(['l_discount', 'l_extendedprice', 'l_quantity', 'l_tax']) AS feature, true AS is_share, true AS in_order
+FROM (SELECT 1 FROM lineitem LIMIT 1)""")
+def importance_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances as written to CSV and read back: shares, the greatest first."""
+    path = f"{scratch_dir(spark, 'importance')}/importance"
+    save_feature_importance(scoring.feature_importance(_fitted(spark, sf_dir)[0], spark), path)
+    found = spark.read.csv(path, header=True, schema="feature string, importance double")
+    # one small file: its rows are numbered as they stand
+    numbered = found.withColumn("_at", F.monotonically_increasing_id())
+    ahead = F.lead("importance").over(Window.orderBy("_at"))
+    return numbered.select(
+        "feature",
+        F.col("importance").between(0.0, 1.0).alias("is_share"),
+        F.coalesce(F.col("importance") >= ahead, F.lit(True)).alias("in_order"),
+    )
+
+
 @workload("""
 SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS line, (l_returnflag = 'R')::INTEGER AS target,
        true AS is_class, true AS is_probability, true AS agrees FROM lineitem""")
