@@ -117,3 +117,26 @@ def test_logging_frequency(spark):
     assert (found["n_rows"], found["periods"], found["empty_periods"]) == (6, 17, 14)
     assert found["longest_gap_seconds"] == pytest.approx(799 * 60)
     assert ts.logging_frequency(log, "t", "daily").first()["longest_gap_seconds"] == pytest.approx(799 * 60)
+
+
+def test_longest_silence_of_dense_and_sparse_logs(spark):
+    """Against all neighbours: rows a few microseconds apart, in one second, hours apart, and repeated."""
+    import random
+
+    random.seed(8)
+    base = 1_704_067_200_000_000
+    micros = {
+        "dense": [base + i * 7 + random.randint(0, 3) for i in range(5000)],
+        "bursts": [base + s * 1_000_000 + random.randint(0, 400_000) for s in range(300) for _ in range(5)],
+        "sparse": [base + random.randint(0, 10**11) for _ in range(50)],
+        "same": [base] * 4,
+    }
+    rows = spark.createDataFrame([(k, t) for k, stamps in micros.items() for t in stamps], "s string, t long")
+    rows = rows.select("s", F.timestamp_micros("t").alias("at"))
+    found = {r["s"]: r for r in ts.logging_frequency(rows, "at", "hourly", ["s"]).collect()}
+    for name, stamps in micros.items():
+        ordered = sorted(stamps)
+        longest = max(b - a for a, b in zip(ordered, ordered[1:])) / 1e6
+        assert found[name]["n_rows"] == len(stamps) and abs(found[name]["longest_gap_seconds"] - longest) < 1e-9, name
+    whole = ts.logging_frequency(rows, "at", "hourly").first()
+    assert whole["n_rows"] == sum(map(len, micros.values()))
