@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import pick
 
 #: Distinct pieces of text a worker remembers, and characters it encodes at a time.
-REMEMBERED = 500_000
+REMEMBERED = 350_000
 AT_ONCE = 4 << 20
 #: A word of more letters is merged by itself, without a proposal.
 LONG = 64

@@ -329,12 +329,16 @@ def contaminated_documents(
 def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW
 ) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark window occurs, all columns as they are."""
-    names, row = docs.columns, unused(docs, "row_number")
-    marked = stage(docs.withColumn(row, F.monotonically_increasing_id()), "marked-rows")
-    found = contamination(build_index(marked, row, text_col), benchmark, window)
-    clean = found.where("n_hit = 0").select(F.col("doc_id").alias("_clean_row"))
-    return marked.join(clean, marked[row] == clean["_clean_row"], "left_semi").select(*[F.col(quoted(c)) for c in names])
+    """The rows of ``docs`` in which no benchmark window occurs, all columns as they are.
+
+    Whether a row goes depends on its text alone, so rows are told apart by the digest of
+    their text, and only the digests of contaminated texts are joined.
+    """
+    digest, text = unused(docs, "digest"), F.col(quoted(text_col))
+    marked = docs.withColumn(digest, F.sha2(text.cast("binary"), 256))
+    found = contamination(build_index(marked, digest, text_col), benchmark, window)
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct()
+    return marked.join(hit, marked[digest] == hit["_hit"], "left_anti").drop(digest)
 
 
 def proximity_matches(

@@ -31,7 +31,7 @@ LEVEL = 6
 #: Bytes of a window without its frame; longer words are cut into overlapping windows.
 WINDOW = 48
 #: Words remembered by a worker, and windows compressed in one call.
-REMEMBERED, AT_ONCE = 500_000, 1 << 16
+REMEMBERED, AT_ONCE = 250_000, 1 << 16
 #: Distinct length differences and lengths that the calibration tells apart.
 GAINS, LENGTHS = 24, 80
 #: Bytes of a window's lead and trail, and places of both in the dictionary that a fit tries.
@@ -232,7 +232,7 @@ class Scorer:
         for text in texts:
             block.append(windows_of(text))
             n += len(block[-1])
-            if n >= AT_ONCE * 8:
+            if n >= AT_ONCE * 4:
                 yield from self._block(block)
                 block, n = [], 0
         yield from self._block(block)
