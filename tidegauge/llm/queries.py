@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidegauge.llm import (
-    bpe, content_sort, decontaminate, language, quality, rendezvous, simhash_pivots, token_binary, toxicity, warc_zip,
+    bpe, content_sort, decontaminate, hard_negatives, language, quality, rendezvous, simhash_pivots, spelling, token_binary, toxicity,
+    warc_zip,
 )
 from tidegauge.llm.common import load
 
@@ -77,6 +78,16 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_duplicates(load(spark, sf_dir, "documents"))
 
 
+@query()
+def op11_spelling_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(load(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined_embeddings(load(spark, sf_dir, "embeddings"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
