@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidegauge.llm import (
-    bpe, content_sort, decontaminate, hard_negatives, language, quality, rendezvous, simhash_pivots, spelling, token_binary, toxicity,
+    bpe, content_sort, decontaminate, hard_negatives, html_crf, language, quality, rendezvous, simhash_pivots, spelling, token_binary, toxicity,
     warc_zip,
 )
 from tidegauge.llm.common import load
@@ -83,6 +83,11 @@ def op11_spelling_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(load(spark, sf_dir, "documents"))
 
 
+@query()
+def op12_crf_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.main_texts(load(spark, sf_dir, "pages"))
+
+
 @query()
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined_embeddings(load(spark, sf_dir, "embeddings"))
