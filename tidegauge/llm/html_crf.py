@@ -30,7 +30,7 @@ from tidegauge.llm.common import pick
 #: Pages of the sample that are learned from, their largest size in characters, and blocks in a training page at most.
 SAMPLE_PAGES, SAMPLE_CHARS, SAMPLE_BLOCKS = 150, 100_000, 120
 #: Pages written for each layout, steps of the fit, weight of the penalty.
-PER_LAYOUT, STEPS, PENALTY = 16, 150, 0.1
+PER_LAYOUT, STEPS, PENALTY = 40, 120, 0.1
 #: Elements a worker remembers before it starts anew.
 REMEMBERED = 50_000
 
@@ -229,17 +229,17 @@ LAYOUTS = [
     "div#header>h1=name div#$menu=links div#$main>h1=title! div#$main>p=prose*6! div#$side>ul>li=link*6 div#footer=rights",
     "div.$notice>p=notice header=name div.$main>h1=title! div.$main>div.$main>p=prose*6! div.$remarks>h3=name div.$remarks>div.$remarks>p=remark*5 footer=rights",
     "div.top.$menu>ul>li=link*6 div.$ad=short div.$main>h2=title! div.$main>p=prose*5! div.$side>ul>li=link*4 div.$legal=rights",
-    "header>h1=name nav=links main>h1=title! main>p=prose*4! main>h2=heading! main>p=prose*3! main>ul>li=item*4! section.$remarks>article.$remarks>p=remark*4 form.search>label=name footer=rights",
+    "header>h1=name nav=links main>h1=title! main>p=prose*4! main>h3=heading! main>p=prose*3! main>ul>li=item*4! section.$remarks>article.$remarks>p=remark*4 form.search>label=name footer=rights",
     "div.$notice=notice div.$menu>ul>li=link*5 article.$main>header>h1=title! article.$main>p=prose*4! article.$main>div.$ad=short article.$main>p=prose*3! article.$main>footer>p=short div.$side>form>label=notice div.footer=rights",
     "table.$menu>tr>td=link*5 table.$main>tr>td>h1=title! table.$main>tr>td>p=prose*5! table.foot>tr>td=rights",
     "header=name aside>p=short aside>ul>li=link*4 article>h1=title! article>p=prose*3! article>blockquote>p=prose! article>h2=heading! article>p=prose*3! article>pre=short! section#$remarks>p=remark*6 form>p=notice footer>p=rights",
-    "div.breadcrumb=link div.$main>h1=title! div.$main>p=prose*4! div.$main>div.$ad>p=prose div.$main>p=prose*3! div.$side>ul>li=link*3 div.$remarks>div.$remarks=remark*4 div.$legal=rights",
+    "div.breadcrumb=link div.$main>h1=title! div.$main>p=prose*4! div.$main>div.$ad>p=prose div.$main>h3=heading! div.$main>p=prose*3! div.$side>ul>li=link*3 div.$remarks>div.$remarks=remark*4 div.$legal=rights",
     "div.$notice.$notice=notice div.$side>form>label=name div.$main.$main>h1=title! div.$main.$main>p=prose*7! div.$side>h4=name div.$side>p=short*3 footer.$legal=rights",
     "nav>ul>li=link*3 article>h1=title! article>p=prose! footer=rights",
     "nav>ul>li=link*6 div.$ad=prose article>h1=title! article>p=prose*8! article>p=short*2! article>p=item! aside=prose*2 section.$remarks>p=prose*3 footer=prose",
     "header>p=prose div.$notice>p=prose article>h1=title! article>p=prose*4! article>p=item*2! article>aside>p=prose article>p=prose! article>div.$remarks>p=prose*3 form>p=prose footer>p=prose",
     "div.$menu=links div.$notice=prose div.$ad=prose main>h1=title! main>p=prose*5! main>div.$notice=prose main>p=prose*2! div.$side=prose*2 div.$remarks>ul>li=prose*3 div.footer=prose",
-    "div.top=short nav=links article>h1=title! article>section>h2=heading! article>section>p=prose*5! article>table>tr>td=item*4! article>figure>figcaption=short! article>ol>li=prose*3! footer=rights",
+    "div.top=short nav=links article>h1=title! article>section>h2=heading! article>section>p=prose*5! article>section>h3=heading! article>section>h4=heading! article>section>p=prose*3! article>table>tr>td=item*4! article>figure>figcaption=short! article>ol>li=prose*3! footer=rights",
     "header>nav>ul>li=link*4 article>h1=title! article>p=prose*2! article>div.$ad=short article>p=item*3! article>ul>li=short*4! article>form>label=name article>form>button=name article>p=prose*2! article>div.$side=link article>section.$remarks>div.$remarks=remark*4 footer>p=rights",
     "div.$main>h1=title! div.$main>p=prose*3! div.$main>nav>ul>li=link*3 div.$main>p=prose*3! div.$main>ul.$side>li=link*3 div.$main>div.$notice>p=notice aside>p=prose footer=rights",
 ]
