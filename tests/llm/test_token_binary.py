@@ -54,6 +54,9 @@ def test_elias_fano(n):
     values = sorted(random.randint(-(10**6), 10 ** random.randint(1, 18)) for _ in range(n))
     coded, _ = tb.EliasFano.unpack(b"xx" + tb.EliasFano.of(values).pack(), 2)
     assert coded.all() == values and [coded.select(i) for i in range(n)] == values
+    for at in {0, 1, 255, 511, 512, 513, n - 1, n} & set(range(n + 1)):
+        for size in {0, 1, 2, 512, 513, 1500, n - at} & set(range(n - at + 1)):
+            assert coded.slice(at, size) == values[at : at + size]
     with pytest.raises(IndexError):
         coded.select(n)
 
@@ -68,7 +71,8 @@ def test_one_file_read_by_select():
     docs = [(None, np.array([5, 2])), (-3, np.array([2])), (7, np.arange(1000)), (7, np.array([], dtype=int))]
     data = tb.to_bytes(docs)
     opened = tb.IdFile(io.BytesIO(data), len(data))
-    assert opened.doc_ids() == [None, -3, 7, 7]
+    assert opened.doc_ids(0, 4) == [None, -3, 7, 7] and opened.doc_ids(1, 3) == [-3, 7] and opened.doc_ids(0, 1) == [None]
+    assert opened.edges(0, 4).tolist() == [0, 2, 3, 1003, 1003] and opened.edges(1, 3).tolist() == [2, 3, 1003]
     assert [opened.document(i).tolist() for i in range(4)] == [d.tolist() for _, d in docs]
     with pytest.raises(ValueError):
         tb.IdFile(io.BytesIO(b"x" * 100), 100)
@@ -82,3 +86,30 @@ def test_pieces_join_to_the_same_ids(library):
         encoder = tb.PieceEncoder(file.read(), "<u2")
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(texts)] == want
+
+
+def test_reading_never_expands_all_boundaries(spark, library, monkeypatch):
+    """Stretches of documents are found by select; files of many documents give what the library says."""
+    monkeypatch.setattr(tb.EliasFano, "all", lambda self: pytest.fail("all boundaries at once"))
+    rng = np.random.default_rng(2)
+    docs = [(i, rng.integers(0, 50_000, rng.integers(1, 9))) for i in range(2000)]
+    data = tb.to_bytes(docs)
+    opened = tb.IdFile(io.BytesIO(data), len(data))
+    at = 0
+    for a in range(0, 2000, 700):
+        edges = opened.edges(a, min(2000, a + 700))
+        assert edges[0] == at and opened.doc_ids(a, a + 3) == [a, a + 1, a + 2]
+        at = int(edges[-1])
+    assert at == opened.n_ids
+
+
+def test_equal_rows_spread_over_tasks(spark, library):
+    """A third of all rows alike in id and text are not one task."""
+    rows = [(7, "the same text again", None, None, 0)] * 1000 + [(i, f"text {i}", None, None, 0) for i in range(2000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = tb.write_files(frame(spark, rows).repartition(8), PATH, 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r.n_docs for r in files.groupBy("part").sum("n_docs").toDF("part", "n_docs").collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 1000

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import pick
+from tidegauge.llm.common import bound_batches, kept, pick
 
 #: Distinct pieces of text a worker remembers, and characters it encodes at a time.
 REMEMBERED = 350_000
@@ -330,20 +330,15 @@ class WordBpe:
         return " ".join([names[i] for i in ids if i in names])
 
 
-_OPENED: dict[int, WordBpe] = {}
-
-
 class Vocabulary:
     """The vocabulary file as sent to the workers; each opens it once."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
+        bound_batches(spark)
         self.spec = spark.sparkContext.broadcast(pathlib.Path(path).read_bytes())
 
     def open(self) -> WordBpe:
-        key = hash(self.spec.value)
-        if key not in _OPENED:
-            _OPENED[key] = WordBpe(json.loads(self.spec.value))
-        return _OPENED[key]
+        return kept(("words", hash(self.spec.value)), lambda: WordBpe(json.loads(self.spec.value)))
 
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

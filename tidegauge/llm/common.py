@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Hashable
+from typing import TypeVar
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +14,12 @@ from tidegauge.functions.columns import quoted
 from tidegauge.session import scratch_dir
 
 
+#: Bytes of a batch that goes to a Python worker.
+BATCH_BYTES = 8 << 20
+_Kept = TypeVar("_Kept")
+_KEPT: dict[Hashable, object] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,3 +57,32 @@ def crc_fold(key: Column, folds: int) -> Column:
 def lower_ascii() -> bytes:
     """A byte table that lower-cases A-Z and keeps every other byte."""
     return bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of bounded bytes; a smaller bound of the session stays.
+
+    By rows alone, as long as Spark's default of 64 MB allows, a batch of long texts takes more
+    memory than all else a worker holds.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?\d+)([a-z]?)b?", spark.conf.get(name, "64m").lower()).groups()
+    if not 0 < int(number) << {"k": 10, "m": 20, "g": 30}.get(unit, 0) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def kept(key: Hashable, make: Callable[[], _Kept]) -> _Kept:
+    """What a worker keeps from one task to the next; one thing at a time.
+
+    Workers outlive a stage: what the last one kept is let go when another asks.
+    """
+    if key not in _KEPT:
+        let_go()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Free what tasks of earlier stages kept in this worker."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()

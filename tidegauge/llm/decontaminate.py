@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegauge.functions.columns import quoted
-from tidegauge.llm.common import pick, stage, unused
+from tidegauge.llm.common import bound_batches, let_go, pick, stage, unused
 
 #: Bytes of text per index segment; a longer document is a segment by itself.
 SEGMENT_BYTES = 4 << 20
@@ -94,11 +94,13 @@ def build_index(
     are the posting lists, compressed: the terms in order of appearance, the length of
     each list, and the differences of all positions, list after list.
     """
+    bound_batches(docs.sparkSession)
     chosen = pick(docs, doc_id=id_col, text=text_col)
     schema = index_schema(chosen.schema["doc_id"].dataType)
     arrow_schema = to_arrow_schema(schema)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         first = TaskContext.get().partitionId() << 32
         n, segment = 0, Segment()
         for batch in batches:

@@ -404,9 +404,16 @@ def extract(pages: DataFrame, chain: Chain, html_col: str = "html") -> DataFrame
 
 
 def sample_of(pages: DataFrame, n: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> list[str]:
-    """At most ``n`` pages of at most ``chars`` characters, drawn by a hash of the page, for the driver to learn from."""
-    short = pages.where(F.length("html").between(1, chars)).select("html")
-    return [r["html"] for r in short.orderBy(F.xxhash64("html"), "html").limit(n).collect()]
+    """At most ``n`` different pages of at most ``chars`` characters, those with the smallest hashes.
+
+    Only hashes are ordered and sent to the driver until it is known which pages are wanted.
+    """
+    marked = pages.where(F.length("html").between(1, chars)).select(F.xxhash64("html").alias("h"), "html")
+    last = marked.select("h").distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    wanted = marked.where(F.col("h") <= last).groupBy("h").agg(F.min("html").alias("html"))
+    return [r["html"] for r in wanted.orderBy("h").collect()]
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

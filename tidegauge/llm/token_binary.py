@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegauge.llm.common import pick, stage
+from tidegauge.llm.common import bound_batches, kept, pick, stage
 from tidegauge.session import scratch_dir
 
 MAGIC = b"TGIDSEF1"
@@ -38,6 +38,8 @@ FILE_IDS, READ_IDS = 16 << 20, 1 << 20
 SAMPLE = 512
 #: Pieces of text a worker remembers, and characters it encodes at a time.
 REMEMBERED, AT_ONCE = 700_000, 4 << 20
+#: New pieces the library encodes as one text.
+TOGETHER = 200
 FOOTER = "<QQBB6x8s"  # ids, bytes of the tail, bytes per id, format version, magic
 
 
@@ -81,10 +83,23 @@ class EliasFano:
         bit = np.flatnonzero(np.unpackbits(self.high[byte : byte + 1], bitorder="little"))[left]
         return self.base + ((8 * byte + int(bit) - i) << self.low_bits | int(self._low(i, 1)[0]))
 
+    def slice(self, at: int, n: int) -> list[int]:
+        """The ``n`` values from position ``at`` on, read between noted places."""
+        if not 0 <= at <= at + n <= self.n:
+            raise IndexError(at)
+        if not n:
+            return []
+        first, last = at // SAMPLE, (at + n - 1) // SAMPLE + 1
+        byte = int(self.samples[first]) // 8
+        stop = int(self.samples[last]) // 8 + 1 if last < len(self.samples) else len(self.high)
+        # set bits before the first value: of the noted byte, and of the values before it
+        skip = int(self.high[byte] & ((1 << int(self.samples[first]) % 8) - 1)).bit_count() + at - first * SAMPLE
+        places = 8 * byte + np.flatnonzero(np.unpackbits(self.high[byte:stop], bitorder="little"))[skip : skip + n]
+        high = (places - np.arange(at, at + n)).astype(np.uint64) << np.uint64(self.low_bits)
+        return [self.base + v for v in (high | self._low(at, n)).tolist()]
+
     def all(self) -> list[int]:
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        high = (places - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
-        return [self.base + v for v in (high | self._low(0, self.n)).tolist()]
+        return self.slice(0, self.n)
 
     def pack(self) -> bytes:
         head = struct.pack("<QqBQQQ", self.n, self.base, self.low_bits, len(self.low), len(self.high), len(self.samples))
@@ -121,6 +136,11 @@ class PieceEncoder:
         self.width = width
         self.first: dict[str, bytes] = {}  # pieces at the start of a text
         self.known: dict[str, bytes] = {}  # pieces behind a space
+        names = self.tokenizer.get_vocab()
+        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        #: bytes of text a token stands for; its name has a letter for each
+        self.spans = np.zeros(max(names.values(), default=0) + 1, np.int64)
+        self.spans[list(names.values())] = [added.get(i, len(name)) for name, i in names.items()]
 
     def _pieces(self, text: str) -> list[str]:
         """The text cut before spaces, without the spaces it was cut at."""
@@ -138,24 +158,29 @@ class PieceEncoder:
         yield from self._block(block)
 
     def _block(self, block: list[list[str]]) -> Iterator[bytes]:
-        self.first = self._learn({}, {pieces[0] for pieces in block if pieces}, "")
-        self.known = self._learn(self.known, set().union(*[pieces[1:] for pieces in block]), " ")
+        self.first = self._learn(self.first, {pieces[0] for pieces in block if pieces}, "", 1)
+        self.known = self._learn(self.known, set().union(*[pieces[1:] for pieces in block]), " ", TOGETHER)
         known = self.known.__getitem__
         for pieces in block:
             yield self.first[pieces[0]] + b"".join(map(known, pieces[1:])) if pieces else b""
 
-    def _learn(self, known: dict[str, bytes], needed: set[str], before: str) -> dict[str, bytes]:
+    def _learn(self, known: dict[str, bytes], needed: set[str], before: str, together: int) -> dict[str, bytes]:
         if len(known) > REMEMBERED:
             known = {p: known[p] for p in needed if p in known}
         new = list(needed.difference(known))
         for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            encoded = self.tokenizer.encode([before + p for p in part], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(encoded.ids, dtype=self.width)
-            counts = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(part))
-            ends = (np.r_[0, np.cumsum(counts)] * ids.itemsize).tolist()
-            packed = ids.tobytes()
-            known.update((p, packed[a:b]) for p, a, b in zip(part, ends, ends[1:]))
+            part = [before + p for p in new[at : at + 50_000]]
+            texts = ["".join(part[i : i + together]) for i in range(0, len(part), together)]
+            made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, dtype=self.width) for e in made])
+            # a piece ends where the bytes of its text end
+            reached = np.cumsum(self.spans[ids])
+            ends = np.cumsum([len(p.encode()) for p in part])
+            stops = np.searchsorted(reached, ends, side="right")
+            if (np.r_[0, reached][stops] != ends).any():
+                raise ValueError("a token reaches over a space: not a byte-level vocabulary")
+            packed, edges = ids.tobytes(), [0, *(stops * ids.itemsize).tolist()]
+            known.update((p, packed[a:b]) for p, a, b in zip(new[at : at + 50_000], edges, edges[1:]))
         return known
 
 
@@ -182,9 +207,20 @@ class IdFile:
         self.starts, at = EliasFano.unpack(data, 8)
         self.names, _ = EliasFano.unpack(data, at)
 
-    def doc_ids(self) -> list[int | None]:
-        """Ascending, nulls first."""
-        return [None] * self.nulls + self.names.all()
+    @property
+    def n_docs(self) -> int:
+        return self.starts.n
+
+    def doc_ids(self, at: int, stop: int) -> list[int | None]:
+        """The ids of documents ``at`` to ``stop``; ascending, nulls first."""
+        nulls = min(stop, self.nulls) - min(at, self.nulls)
+        return [None] * nulls + self.names.slice(max(0, at - self.nulls), stop - at - nulls)
+
+    def edges(self, at: int, stop: int) -> np.ndarray:
+        """Where documents ``at`` to ``stop`` start, and where the last of them ends."""
+        if stop < self.n_docs:
+            return np.array(self.starts.slice(at, stop + 1 - at), dtype=np.int64)
+        return np.array([*self.starts.slice(at, stop - at), self.n_ids], dtype=np.int64)
 
     def span(self, i: int) -> tuple[int, int]:
         """Where document ``i`` starts and ends, counted in ids, by two selects."""
@@ -212,9 +248,11 @@ def write_files(
 
     ``file`` (path), ``part``, ``turn`` (its place among the files), ``n_docs``, ``n_ids``.
     Ids are range-partitioned, so every task writes a stretch of the order; documents with
-    one id are ordered by a hash of their text. Null ids come first, null texts count as empty.
+    one id are ordered by a hash of their text, and copies by their place in ``docs``, so that no
+    number of equal rows is one task. Null ids come first, null texts count as empty.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     folder = folder or scratch_dir(spark, "token-ids")
     raw = pathlib.Path(vocabulary_path).read_text()
     spec = json.loads(raw)
@@ -224,8 +262,8 @@ def write_files(
     end = np.array([end_id], dtype=width).tobytes()
     ordered = (
         pick(docs, doc_id=id_col, text=text_col)
-        .select("doc_id", "text", F.xxhash64("text").alias("tie"))
-        .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+        .select("doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("place"))
+        .repartitionByRange("doc_id", "tie", "place").sortWithinPartitions("doc_id", "tie", "place").select("doc_id", "text")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,14 +302,8 @@ def write_files(
     return stage(files.select("*", F.lit(folder).alias("folder")), "token-files")
 
 
-_ENCODERS: dict[int, PieceEncoder] = {}
-
-
 def _encoder(raw: str, width: str) -> PieceEncoder:
-    key = hash((raw, width))
-    if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(raw, width)
-    return _ENCODERS[key]
+    return kept(("pieces", hash(raw), width), lambda: PieceEncoder(raw, width))
 
 
 def with_starts(files: DataFrame, per_bin: int = 4096) -> DataFrame:
@@ -303,18 +335,19 @@ def read_files(files: DataFrame, per_document: Callable[[np.ndarray], dict], sch
                 system, _ = open_folder(row["folder"])
                 with system.open_input_file(row["file"]) as source:
                     opened = IdFile(source, source.size())
-                    names, starts = opened.doc_ids(), opened.starts.all()
-                    edges = np.array([*starts, opened.n_ids], dtype=np.int64)
                     at = 0
-                    while at < len(names):
-                        stop = max(at + 1, int(np.searchsorted(edges, edges[at] + read_ids, side="right")) - 1)
-                        ids = opened.read(int(edges[at]), int(edges[stop]))
-                        said = [per_document(ids[a:b]) for a, b in zip(edges[at:stop] - edges[at], edges[at + 1 : stop + 1] - edges[at])]
+                    while at < opened.n_docs:
+                        # boundaries between two noted places, then as many documents as are read at a time
+                        edges = opened.edges(at, min(at + SAMPLE, opened.n_docs))
+                        n = max(1, int(np.searchsorted(edges, edges[0] + read_ids, side="right")) - 1)
+                        edges = edges[: n + 1]
+                        ids = opened.read(int(edges[0]), int(edges[-1]))
+                        said = [per_document(ids[a:b]) for a, b in zip(edges - edges[0], edges[1:] - edges[0])]
                         columns = {
-                            "doc_id": names[at:stop], "start": (edges[at:stop] + row["base"]).tolist(), "n_tokens": np.diff(edges[at : stop + 1]).tolist(),
+                            "doc_id": opened.doc_ids(at, at + n), "start": (edges[:-1] + row["base"]).tolist(), "n_tokens": np.diff(edges).tolist(),
                         } | {k: [s[k] for s in said] for k in said[0]}
                         yield pa.RecordBatch.from_arrays([pa.array(v, arrow.get(k)) for k, v in columns.items()], names=list(columns))
-                        at = stop
+                        at += n
 
     return files.repartition(tasks, "file").mapInArrow(read, f"doc_id long, start long, n_tokens long, {schema}")
 

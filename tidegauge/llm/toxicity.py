@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import quoted
-from tidegauge.llm.common import crc_fold, pick, unused
+from tidegauge.llm.common import bound_batches, crc_fold, kept, pick, unused
 
 #: Labelled documents of each kind that a model is fitted on at most.
 MAX_TOXIC, MAX_ORDINARY = 3000, 5000
@@ -248,22 +248,15 @@ class Scorer:
         yield from (1 / (1 + np.exp(-np.clip(rows @ self.model.weights, -30, 30)))).tolist()
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def _scorer(model: ToxicityModel) -> Scorer:
-    """The worker's scorer of a model; one model at a time."""
-    key = hash((model.peculiar, model.weights.tobytes()))
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(model)
-    return _SCORERS[key]
+    return kept(("scorer", hash((model.peculiar, model.weights.tobytes()))), lambda: Scorer(model))
 
 
 def score_column(model: ToxicityModel, text: Column, spark) -> Column:
     """The score of a text column; 0 for all where the model could not be fitted."""
     if not model.fitted:
         return F.lit(0.0)
+    bound_batches(spark)
     shipped = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
