@@ -18,6 +18,7 @@ from tidegauge.operators.distribution import (
     value_counts,
 )
 from tidegauge.operators.windows import (
+    group_keys,
     grouped_rows,
     nested_granularities,
     with_unused_keys,
@@ -92,15 +93,22 @@ def part(column: str, state: str) -> str:
 def _numeric_states(column: str, sketches: bool) -> dict[str, tuple[str, str]]:
     """States of a numeric column: how to take them from rows, and how to merge them.
 
-    The squared deviations of merged windows are those inside the parts plus those of the
-    parts' means from the common mean, which avoids the difference of two large sums.
+    The moments of merged windows are folded together part by part: squared deviations are
+    those of the parts plus those of their means, which avoids the difference of two large
+    sums. A window has few parts, and a list of three numbers each.
     """
     v = quoted(column)
-    n, mean, total, m2 = (part(column, state) for state in ("n", "mean", "total_mean", "m2"))
+    n, mean, m2 = (part(column, state) for state in ("n", "mean", "m2"))
+    moments = (
+        f"aggregate(collect_list(CASE WHEN {n} > 0 THEN struct({n} AS n, {mean} AS mean, {m2} AS m2) END), "
+        "struct(0L AS n, 0D AS mean, 0D AS m2), (a, x) -> struct(a.n + x.n AS n, "
+        "a.mean + (x.mean - a.mean) * x.n / (a.n + x.n) AS mean, "
+        "a.m2 + x.m2 + power(x.mean - a.mean, 2) * a.n * x.n / (a.n + x.n) AS m2))"
+    )
     states = {
         "n": (f"count({v})", f"sum({n})"),
-        "mean": (f"avg({v})", f"max({total})"),
-        "m2": (f"var_pop({v}) * count({v})", f"sum({m2} + {n} * power({mean} - {total}, 2))"),
+        "mean": (f"avg({v})", f"CASE WHEN sum({n}) > 0 THEN {moments}.mean END"),
+        "m2": (f"var_pop({v}) * count({v})", f"CASE WHEN sum({n}) > 0 THEN {moments}.m2 END"),
         "min": (f"min({v})", f"min({part(column, 'min')})"),
         "max": (f"max({v})", f"max({part(column, 'max')})"),
         "num_zeros": (f"count_if({v} = 0)", f"sum({part(column, 'num_zeros')})"),
@@ -139,24 +147,29 @@ def _text_states(column: str) -> dict[str, tuple[str, str]]:
     return merged
 
 
-def window_states(
+def _states(numeric: list[str], categorical: list[str], sketches: bool) -> dict[str, tuple[str, str]]:
+    states = {"_rows": ("count(*)", "sum(_rows)")}
+    for c in numeric:
+        states |= _numeric_states(c, sketches)
+    for c in categorical:
+        states |= _text_states(c)
+    return states
+
+
+def row_states(
     df: DataFrame,
     spec: MonitorSpec,
     numeric: list[str],
     categorical: list[str],
-    sketches: bool,
-    custom: dict[str, Column],
+    sketches: bool = True,
+    custom: dict[str, Column] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """One wide row per window, model and slice with the states of all columns.
 
     One aggregate over the table for all columns. The states have a fixed size, so map
-    tasks shrink their rows to one per group they meet before anything is shuffled. With
-    several granularities only the finest is computed from rows; the others are merged
-    from its few states.
+    tasks shrink their rows to one per group they meet before anything is shuffled.
     """
-    # a user's own aggregate is only known to work on rows
-    finest = None if custom or len(spec.granularities) == 1 else nested_granularities(spec.granularities)
-    base = spec if finest is None else replace(spec, granularities=(finest,))
+    custom = custom or {}
     values = {}
     for c in numeric:
         number = F.col(c).cast("double")
@@ -164,27 +177,37 @@ def window_states(
         values |= {c: F.when(~F.isnan(number), number), f"{c}.is_nan": F.isnan(number)}
     values |= {f"{c}.text": F.col(c).cast("string") for c in categorical}
     values |= {c: F.col(c) for c in df.columns if custom and c not in values}
-    rows, keys = grouped_rows(df, base, values)
-    states = {"_rows": ("count(*)", "sum(_rows)")}
-    for c in numeric:
-        states |= _numeric_states(c, sketches)
-    for c in categorical:
-        states |= _text_states(c)
-    taken = [f"{first} AS {quoted(name)}" for name, (first, _) in states.items()]
+    rows, keys = grouped_rows(df, spec, values)
+    taken = [f"{first} AS {quoted(name)}" for name, (first, _) in _states(numeric, categorical, sketches).items()]
     own = [a.alias(f"custom.{name}") for name, a in custom.items()]
-    wide = rows.groupBy(*keys).agg(*[F.expr(a) for a in taken], *own)
+    return rows.groupBy(*keys).agg(*[F.expr(a) for a in taken], *own), keys
+
+
+def merged_states(
+    states: DataFrame, spec: MonitorSpec, numeric: list[str], categorical: list[str], sketches: bool = True
+) -> tuple[DataFrame, list[str]]:
+    """The states of all granularities of ``spec`` from those of windows they are made of."""
+    keys = group_keys(spec)
+    at = states.drop("granularity", "window_end").withColumnRenamed("window_start", "_at")
+    merged = [f"{again} AS {quoted(name)}" for name, (_, again) in _states(numeric, categorical, sketches).items()]
+    return with_windows(at, "_at", spec.granularities).groupBy(*keys).agg(*[F.expr(a) for a in merged]), keys
+
+
+def window_states(
+    df: DataFrame,
+    spec: MonitorSpec,
+    numeric: list[str],
+    categorical: list[str],
+    sketches: bool,
+    custom: dict[str, Column],
+) -> tuple[DataFrame, list[str]]:
+    """The states of all granularities; rows are aggregated for the finest, the others merged from it."""
+    # a user's own aggregate is only known to work on rows
+    finest = None if custom or len(spec.granularities) == 1 else nested_granularities(spec.granularities)
     if finest is None:
-        return wide, keys
-    at = wide.drop("granularity", "window_end").withColumnRenamed("window_start", "_at")
-    whole = f"OVER (PARTITION BY {', '.join(quoted(k) for k in keys)})"
-    means = [
-        f"try_divide(sum({part(c, 'n')} * {part(c, 'mean')}) {whole}, sum({part(c, 'n')}) {whole}) "
-        f"AS {part(c, 'total_mean')}"
-        for c in numeric
-    ]
-    merged = [f"{again} AS {quoted(name)}" for name, (_, again) in states.items()]
-    cut = with_windows(at, "_at", spec.granularities).selectExpr("*", *means)
-    return cut.groupBy(*keys).agg(*[F.expr(a) for a in merged]), keys
+        return row_states(df, spec, numeric, categorical, sketches, custom)
+    states, _ = row_states(df, replace(spec, granularities=(finest,)), numeric, categorical, sketches)
+    return merged_states(states, spec, numeric, categorical, sketches)
 
 
 Metrics = dict[tuple[str, str], str]
@@ -241,6 +264,18 @@ def _profile_of_states(
 ) -> DataFrame:
     custom = custom or {}
     states, keys = window_states(df, spec, numeric, categorical, sketches, custom)
+    return _metrics_of_states(states, keys, numeric, categorical, sketches, custom)
+
+
+def profile_of_merged_states(states: DataFrame, spec: MonitorSpec, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """The profile at all granularities of ``spec`` from sketched states of finer windows."""
+    merged, keys = merged_states(states, spec, numeric, categorical)
+    return _metrics_of_states(merged, keys, numeric, categorical, True, {})
+
+
+def _metrics_of_states(
+    states: DataFrame, keys: list[str], numeric: list[str], categorical: list[str], sketches: bool, custom: dict[str, Column]
+) -> DataFrame:
     if sketches and numeric:
         states = states.withColumns({f"{c}.quantiles": sketched_quantiles(c, QUANTILES.values()) for c in numeric})
     if categorical:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.columns import join_groups
 
 # The frequency names, as date_trunc unit and calendar step.
 FREQUENCIES = {
@@ -130,25 +129,28 @@ def logging_frequency(
 ) -> DataFrame:
     """Rows per period, empty periods, and the longest silence in seconds.
 
-    Two scans with small shuffles. The first keeps the first and last row of every second;
-    the longest silence between seconds is a lower bound. The second scan keeps the first
-    and last row of stretches no longer than that bound (or a second): a silence inside such
-    a stretch cannot be the longest, so the result is exact however dense the log is.
+    One scan. Equal times are added up before the shuffle, so a second has a million rows at
+    most however dense the log is. Each stretch keeps its first and last time and its longest
+    silence; stretches are joined at their borders, seconds to minutes, minutes to periods.
     """
     series = series or []
-    rows = df.where(F.col(timestamp_col).isNotNull()).select(
-        *series,
-        period_of(timestamp_col, frequency).alias("period"),
-        F.unix_micros(F.col(timestamp_col).cast("timestamp")).alias("_t"),
+    times = (
+        df.where(F.col(timestamp_col).isNotNull())
+        .groupBy(
+            *series,
+            period_of(timestamp_col, frequency).alias("period"),
+            F.unix_micros(F.col(timestamp_col).cast("timestamp")).alias("_first"),
+        )
+        .agg(F.count("*").alias("n_rows"))
+        .select("*", F.col("_first").alias("_last"), F.lit(0).cast("long").alias("_gap"))
+        .withColumn("_second", F.floor(F.col("_first") / 1_000_000))
+        .withColumn("_minute", F.floor(F.col("_second") / 60))
     )
-    seconds = _by_period(rows.withColumn("_stretch", F.floor(F.col("_t") / 1_000_000)), series)
-    bound = _with_silence_before(seconds, series).groupBy(*series).agg(F.max("_gap").alias("_bound"))
-    width = F.least(F.greatest(F.col("_bound"), F.lit(1)), F.lit(1_000_000))
-    bound = bound.select(*series, width.alias("_width"))
-    wide = join_groups(rows, bound, series, "inner") if series else rows.withColumn("_width", bound.scalar())
-    stretches = _by_period(wide.withColumn("_stretch", F.floor(F.col("_t") / F.col("_width"))), series)
+    periods = times
+    for keys in (["period", "_minute", "_second"], ["period", "_minute"], ["period"]):
+        periods = _joined(periods, [*series, *keys])
     skipped = F.expr(f"size(sequence(_earlier, period, {FREQUENCIES[frequency][1]})) - 2")
-    spans = _with_silence_before(stretches, series).withColumn(
+    spans = _with_silence_before(periods, series).withColumn(
         "_earlier", F.lag("period").over(_ordered("period", series))
     )
     return (
@@ -170,30 +172,18 @@ def logging_frequency(
     )
 
 
-def _by_period(rows: DataFrame, series: list[str]) -> DataFrame:
-    """Rows, first, last and longest silence per period, of the first and last rows of its stretches.
-
-    The silences are found inside each minute first and then between the minutes, so no task
-    sorts more than one of these.
-    """
-    found = (
-        rows.withColumn("_minute", F.floor(F.col("_t") / 60_000_000))
-        .groupBy(*series, "period", "_minute", "_stretch")
-        .agg(F.count("*").alias("n_rows"), F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-        .withColumn("_gap", F.lit(0).cast("long"))
-    )
-    for keys in ([*series, "period", "_minute"], [*series, "period"]):
-        found = (
-            _with_silence_before(found, keys)
-            .groupBy(*keys)
-            .agg(
-                F.sum("n_rows").alias("n_rows"),
-                F.min("_first").alias("_first"),
-                F.max("_last").alias("_last"),
-                F.max("_gap").alias("_gap"),
-            )
+def _joined(stretches: DataFrame, keys: list[str]) -> DataFrame:
+    """The stretches of a group as one: its rows, first and last time, and longest silence."""
+    return (
+        _with_silence_before(stretches, keys)
+        .groupBy(*keys)
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.min("_first").alias("_first"),
+            F.max("_last").alias("_last"),
+            F.max("_gap").alias("_gap"),
         )
-    return found
+    )
 
 
 def _with_silence_before(stretches: DataFrame, keys: list[str]) -> DataFrame:

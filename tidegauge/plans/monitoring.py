@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +23,8 @@ from tidegauge.operators.drift import drift
 from tidegauge.operators.performance import averaged_class_metrics, binary_metrics, regression_metrics
 from tidegauge.operators.profile import PROFILE_COLUMNS, long_metrics, profile, profiled_columns
 from tidegauge.operators.windows import grouped_rows, with_unused_keys
+from tidegauge.plans.stored_windows import refresh_consecutive
+from tidegauge.plans.touched import first_window_starts, from_starts, touched_rows
 from tidegauge.sinks.tables import read_metrics, save_metrics
 from tidegauge.spec import AlertRule, MonitorSpec
 
@@ -67,44 +66,6 @@ def quality_metrics(log: DataFrame, spec: MonitorSpec) -> DataFrame:
     return long_metrics(wide, keys, named).select(*PROFILE_COLUMNS)
 
 
-def first_window_starts(log: DataFrame, spec: MonitorSpec, since: str | dt.date) -> dict[str, str]:
-    """Per granularity, from which window on a refresh computes anew.
-
-    Stored metrics are replaced a day at a time, so that is the first window that starts on
-    the day on which the window around ``since`` starts.
-    """
-    kind = log.schema[spec.timestamp_col].dataType
-    row = log.sparkSession.range(1)
-    for i, granularity in enumerate(spec.granularities):
-        around = F.window(F.lit(str(since)).cast(kind), granularity)
-        row = row.withColumn(f"_day{i}", F.to_date(around["start"]).cast(kind))
-        first = F.window(f"_day{i}", granularity)
-        row = row.withColumn(f"_w{i}", first).withColumn(
-            f"_start{i}",
-            F.when(F.col(f"_w{i}.start") == F.col(f"_day{i}"), F.col(f"_w{i}.start")).otherwise(F.col(f"_w{i}.end")),
-        )
-    found = row.select(*[F.col(f"_start{i}").cast("string") for i in range(len(spec.granularities))]).first()
-    return dict(zip(spec.granularities, found))
-
-
-def touched_rows(log: DataFrame, spec: MonitorSpec, starts: dict[str, str] | None) -> DataFrame:
-    """The rows of all windows that a refresh computes again."""
-    if starts is None:
-        return log
-    kind = log.schema[spec.timestamp_col].dataType
-    moments = [F.lit(s).cast(kind) for s in starts.values()]
-    return log.where(F.col(spec.timestamp_col) >= (F.least(*moments) if len(moments) > 1 else moments[0]))
-
-
-def from_starts(metrics: DataFrame, starts: dict[str, str] | None) -> DataFrame:
-    """Without the windows of a granularity before its start: only some of their rows were looked at."""
-    if starts is None:
-        return metrics
-    kind = metrics.schema["window_start"].dataType
-    kept = [(F.col("granularity") == g) & (F.col("window_start") >= F.lit(s).cast(kind)) for g, s in starts.items()]
-    return metrics.where(reduce(or_, kept))
-
-
 def refresh(
     log: DataFrame,
     spec: MonitorSpec,
@@ -115,21 +76,30 @@ def refresh(
     exact: bool = False,
     custom: dict[str, Column] | None = None,
     edges: Edges | None = None,
+    counts_table: str | None = None,
+    edges_table: str | None = None,
 ) -> None:
     """Compute the days of windows that reach past ``since`` and store them in place of earlier versions.
 
     The profile table gets the profile and, for a log with labels, the model's quality.
     Without a baseline each window is compared with the one before it, however far back
-    that lies, so drift is then computed on the whole log and only the touched windows
-    are stored. Give ``edges`` where drift must come out the same on every repetition;
-    estimated ones are read from the baseline, or the log, anew.
+    that lies. With ``counts_table`` and ``edges_table`` the counts of computed windows and
+    the bin edges are stored too, and a later refresh takes the window before from there and
+    reads touched days only; without them drift is computed on the whole log and only the
+    touched windows are stored. Give ``edges`` where drift must come out the same on every
+    repetition; estimated ones are read from the baseline, or the log, anew.
     """
+    if (counts_table is None) != (edges_table is None) or (counts_table is not None and (baseline is not None or exact)):
+        raise ValueError("stored counts and edges come together, and are for binned drift without a baseline")
     starts = None if since is None else first_window_starts(log, spec, since)
     rows = touched_rows(log, spec, starts)
     metrics = profile(rows, spec, exact, custom)
     if spec.label_col is not None and spec.prediction_col is not None:
         metrics = metrics.unionByName(quality_metrics(rows, spec))
     save_metrics(from_starts(metrics, starts), profile_table)
+    if counts_table is not None:
+        refresh_consecutive(log, spec, drift_table, counts_table, edges_table, since, edges)
+        return
     numeric, categorical = drift_columns(log, spec, baseline)
     compared = log if baseline is None else rows
     found = drift(compared, spec, numeric, categorical, baseline, exact=exact, edges=edges)

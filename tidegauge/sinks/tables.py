@@ -117,7 +117,7 @@ def save_metrics(metrics: DataFrame, name: str) -> None:
     """
     spark = metrics.sparkSession
     dated = metrics.withColumn("window_date", F.to_date("window_start"))
-    ordered = dated.select(*[c for c in dated.columns if c not in PARTITION_COLUMNS], *PARTITION_COLUMNS)
+    ordered = dated.select(*[quoted(c) for c in dated.columns if c not in PARTITION_COLUMNS], *PARTITION_COLUMNS)
     balanced = ordered.hint("rebalance", *PARTITION_COLUMNS)
     if "/" in name:
         balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
@@ -126,7 +126,7 @@ def save_metrics(metrics: DataFrame, name: str) -> None:
     elif not spark.catalog.tableExists(name):
         balanced.write.partitionBy(*PARTITION_COLUMNS).saveAsTable(name)
     else:
-        balanced.select(*spark.table(name).columns).write.option(
+        balanced.select(*map(quoted, spark.table(name).columns)).write.option(
             "partitionOverwriteMode", "dynamic"
         ).insertInto(name, overwrite=True)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,26 +179,80 @@ LINE_EDGE_ROWS = " UNION ALL ".join(
 )
 
 
-@workload(f"""
-WITH edges AS ({LINE_EDGE_ROWS}),
-lines AS (
+LINES = f"""lines AS (
   SELECT l_returnflag AS model_id, time_bucket(INTERVAL '30 days', l_shipdate, TIMESTAMP '1970-01-01') AS window_start,
-         l_shipdate, {', '.join(f'{c}::DOUBLE AS {c}' for c in LINE_EDGES)} FROM lineitem),
-cells AS (UNPIVOT lines ON {', '.join(LINE_EDGES)} INTO NAME column_name VALUE v),
-old AS (SELECT column_name, edge, avg((v < edge)::INTEGER) AS p FROM cells JOIN edges USING (column_name)
-        WHERE l_shipdate < TIMESTAMP '1996-01-01' GROUP BY ALL),
-new AS (SELECT column_name, model_id, window_start, edge, count(*) AS n, avg((v < edge)::INTEGER) AS q
-        FROM cells JOIN edges USING (column_name) WHERE l_shipdate >= TIMESTAMP '1996-01-01' GROUP BY ALL)
-SELECT column_name, model_id, window_start, max(n) AS window_count, round(max(abs(q - p)), 6) AS ks
-FROM new JOIN old USING (column_name, edge) GROUP BY ALL""")
-def drift_lines_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four columns of the largest table, per month-long window and return flag, on given bins."""
+         l_shipdate < TIMESTAMP '1996-01-01' AS old, {', '.join(f'{c}::DOUBLE AS {c}' for c in LINE_EDGES)} FROM lineitem),
+cells AS (UNPIVOT lines ON {', '.join(LINE_EDGES)} INTO NAME column_name VALUE v)"""
+LINE_MEASURES = [*dr.ORDER_MEASURES, *dr.SHARE_MEASURES]
+
+
+def _lines_and_baseline(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", "timestamp")
-    spec = MonitorSpec(granularities=("30 days",), model_id_col="l_returnflag", numeric_cols=())
     cut = F.lit("1996-01-01").cast("timestamp_ntz")
-    later, earlier = lines.where(F.col("timestamp") >= cut), lines.where(F.col("timestamp") < cut)
+    spec = MonitorSpec(granularities=("30 days",), model_id_col="l_returnflag", numeric_cols=tuple(LINE_EDGES), categorical_cols=())
+    return lines.where(F.col("timestamp") >= cut), lines.where(F.col("timestamp") < cut), spec
+
+
+@workload(f"""
+WITH edges AS ({LINE_EDGE_ROWS}),
+el AS (SELECT column_name, list(edge ORDER BY edge) AS e FROM edges GROUP BY column_name),
+{LINES},
+binned AS (SELECT column_name, model_id, window_start, old, len(list_filter(e, lambda x: v >= x)) AS b
+           FROM cells JOIN el USING (column_name)),
+o AS (SELECT column_name, b, count(*) AS n FROM binned WHERE old GROUP BY ALL),
+w AS (SELECT column_name, model_id, window_start, b, count(*) AS n FROM binned WHERE NOT old GROUP BY ALL),
+os AS (SELECT column_name, sum(n)::BIGINT AS reference_count, count(*) AS n_cells FROM o GROUP BY ALL),
+ws AS (SELECT column_name, model_id, window_start, sum(n)::BIGINT AS window_count FROM w GROUP BY ALL),
+grid AS (SELECT ws.*, e, unnest(range(len(e) + 1)) AS b FROM ws JOIN el USING (column_name)),
+paired AS (
+  SELECT g.column_name, g.model_id, g.window_start, g.b, window_count, reference_count, n_cells, coalesce(w.n, 0) AS n,
+         coalesce(o.n, 0) / reference_count AS p, coalesce(w.n, 0) / window_count AS q, coalesce(e[g.b + 2] - e[g.b + 1], 0) AS width
+  FROM grid g JOIN os ON os.column_name = g.column_name LEFT JOIN o ON o.column_name = g.column_name AND o.b = g.b
+  LEFT JOIN w ON w.column_name = g.column_name AND w.model_id = g.model_id AND w.window_start = g.window_start AND w.b = g.b),
+steps AS (
+  SELECT *, abs(sum(p) OVER r - sum(q) OVER r) AS gap, (p + q) / 2 AS m, greatest(p, 1e-4) AS fp, greatest(q, 1e-4) AS fq,
+         CASE WHEN p > 0 THEN (n - p * window_count) ** 2 / (p * window_count) ELSE 0 END AS chi
+  FROM paired WINDOW r AS (PARTITION BY column_name, model_id, window_start ORDER BY b))
+SELECT column_name, model_id, window_start, window_count, reference_count, round(max(gap), 6) AS ks,
+       round(sum(gap * width), 4) AS wasserstein, round(sum(abs(p - q)) / 2, 6) AS total_variation,
+       round(sum((fq - fp) * ln(fq / fp)), 6) AS psi,
+       round(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / m) ELSE 0 END) / 2, 0)), 6) AS jensen_shannon,
+       round(sum(chi), 4) AS chi_square, round(sqrt(sum(chi) / (window_count * (max(n_cells) - 1))), 6) AS cramers_v
+FROM steps GROUP BY column_name, model_id, window_start, window_count, reference_count""")
+def drift_lines_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All measures of four columns of the largest table, per month-long window and return flag, on given bins."""
+    later, earlier, spec = _lines_and_baseline(spark, sf_dir)
     found = dr.numeric_drift(later, spec, list(LINE_EDGES), earlier, edges=LINE_EDGES)
-    return rounded(found.select("column_name", "model_id", "window_start", "window_count", "ks"), "ks")
+    shown = found.select("column_name", "model_id", "window_start", "window_count", "reference_count", *LINE_MEASURES)
+    coarse = ("wasserstein", "chi_square")
+    return rounded(rounded(shown, *[m for m in LINE_MEASURES if m not in coarse]), *coarse, digits=4)
+
+
+@workload(f"""
+WITH {LINES}
+SELECT column_name, model_id, window_start, count(*) AS window_count, true AS ks_is_close,
+       true AS total_variation_covers_ks, true AS measures_in_range
+FROM cells WHERE NOT old GROUP BY ALL""")
+def drift_lines_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All measures on the bins a refresh cuts by default, held against the exact distance.
+
+    The two distribution functions are read at the quantiles of the baseline, so the binned
+    distance is no greater than the exact one, and less by what a bin holds at most: a 256th of the baseline
+    (and the sketch's error), or as much as the most frequent value.
+    """
+    later, earlier, spec = _lines_and_baseline(spark, sf_dir)
+    keys = ["column_name", "model_id", "window_start"]
+    binned = dr.numeric_drift(later, spec, list(LINE_EDGES), earlier)
+    exact = dr.exact_numeric_drift(later, spec, list(LINE_EDGES), earlier).select(*keys, F.col("ks").alias("exact_ks"))
+    ks, tv = F.col("ks"), F.col("total_variation")
+    within = [tv.between(0, 1), F.col("jensen_shannon").between(0, 1), *[F.col(m) >= 0 for m in ("psi", "wasserstein", "chi_square", "cramers_v")]]
+    return binned.join(exact, keys).select(
+        *keys,
+        "window_count",
+        (F.col("exact_ks") - ks).between(-1e-9, 0.02).alias("ks_is_close"),
+        (tv >= ks - 1e-9).alias("total_variation_covers_ks"),
+        reduce(and_, within).alias("measures_in_range"),
+    )
 
 
 CONSECUTIVE = f"""{LOG},

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.plans import monitoring as plans
+from tidegauge.plans import stored_windows as stored
 from tidegauge.operators.alerts import freshness_hours, metric_rows
 from tidegauge.session import scratch_dir
 from tidegauge.sinks.tables import read_metrics
@@ -14,7 +15,7 @@ from tidegauge.workloads.bindings import (
     AS_OF, BASE, CLASSIFIED, LOG, PRICED, baseline, classified_lines, inference_log, log_spec, monitored, priced_lines,
     rounded, table,
 )
-from tidegauge.workloads.drifting import SCORES
+from tidegauge.workloads.drifting import CONSECUTIVE, DAY, SCORES, TV
 from tidegauge.workloads.registry import workload
 
 STEPS = {"1 hour": "1 hour", "5 hours": "5 hours", "1 day": "1 day"}
@@ -39,19 +40,60 @@ def refresh_since_midday(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, spec = inference_log(spark, sf_dir), log_spec(granularities=tuple(STEPS))
     for since in (None, "2024-01-20 12:00:00"):
         plans.refresh(log, spec, f"{out}/profile", f"{out}/drift", baseline(spark, sf_dir), since)
-    stored = read_metrics(spark, f"{out}/profile").where("column_name = 'value' and metric_name in ('count', 'avg')")
-    wide = stored.groupBy("granularity", "window_start", "window_end").pivot("metric_name", ["count", "avg"]).sum("metric_value")
+    metrics = read_metrics(spark, f"{out}/profile").where("column_name = 'value' and metric_name in ('count', 'avg')")
+    wide = metrics.groupBy("granularity", "window_start", "window_end").pivot("metric_name", ["count", "avg"]).sum("metric_value")
     return rounded(
         wide.select("granularity", "window_start", "window_end", F.col("count").alias("n_rows"), F.col("avg").alias("avg_value")),
         "avg_value",
     )
 
 
+VALUE_EDGES = [10.0 * x for x in range(1, 49)]
+CONSECUTIVE_SCORES = f"""{CONSECUTIVE},
+e AS (SELECT unnest([{', '.join(map(repr, VALUE_EDGES))}]) AS edge),
+f AS (SELECT {DAY} AS window_start, edge, avg((value < edge)::INTEGER) AS q FROM log, e GROUP BY ALL),
+k AS (SELECT *, lag(q) OVER (PARTITION BY edge ORDER BY window_start) AS p FROM f)
+SELECT 'event_type' AS column_name, window_start, CASE WHEN max(i) > 1 THEN round({TV}, 6) END AS drift_score FROM paired GROUP BY window_start
+UNION ALL SELECT 'value', window_start, round(max(abs(p - q)), 6) FROM k GROUP BY window_start"""
+
+
+@workload(f"WITH {CONSECUTIVE_SCORES}")
+def refresh_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored drift against the day before: a refresh of the first weeks, then one that reads touched days only."""
+    out = scratch_dir(spark, "refresh_consecutive")
+    log, spec = inference_log(spark, sf_dir), log_spec()
+    first = log.where(F.col("timestamp") < F.lit("2024-01-21").cast("timestamp_ntz"))
+    names = (f"{out}/drift", f"{out}/counts", f"{out}/edges")
+    stored.refresh_consecutive(first, spec, *names, edges={"value": VALUE_EDGES})
+    stored.refresh_consecutive(log, spec, *names, since="2024-01-20 12:00:00")
+    return rounded(read_metrics(spark, f"{out}/drift").select("column_name", "window_start", "drift_score"), "drift_score")
+
+
+@workload(f"""
+WITH {BASE}
+SELECT column_name, window_start, window_start + INTERVAL 1 DAY AS window_end, n AS window_count, true AS repeats, true AS in_range
+FROM (SELECT date_trunc('day', timestamp)::TIMESTAMP AS window_start, count(*) AS n FROM live GROUP BY ALL),
+     (VALUES ('value'), ('event_type')) c(column_name)""")
+def refresh_against_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift against a stored baseline on the default bins; two refreshes agree to the digit without edges."""
+    out = scratch_dir(spark, "refresh_against_baseline")
+    log, spec = monitored(spark, sf_dir), log_spec()
+    stored.save_baseline(baseline(spark, sf_dir), spec, f"{out}/baseline")
+    for name in ("first", "second"):
+        stored.refresh_against(log, spec, f"{out}/{name}", f"{out}/baseline")
+    keys = ["column_name", "window_start", "window_end"]
+    ours, again = (read_metrics(spark, f"{out}/{name}") for name in ("first", "second"))
+    again = again.select(*keys, F.col("drift_score").alias("_again"))
+    return ours.join(again, keys).select(
+        *keys, "window_count", (F.col("drift_score") == F.col("_again")).alias("repeats"), F.col("drift_score").between(0, 1).alias("in_range")
+    )
+
+
 def _stored_quality(spark: SparkSession, log: DataFrame, spec: MonitorSpec, metrics: list[str]) -> DataFrame:
     out = scratch_dir(spark, "refresh_quality")
     plans.refresh(log, spec, f"{out}/profile", f"{out}/drift")
-    stored = read_metrics(spark, f"{out}/profile").where(F.col("column_name") == ":table")
-    wide = stored.groupBy("model_id", "window_start").pivot("metric_name", metrics).agg(F.first("metric_value"))
+    kept = read_metrics(spark, f"{out}/profile").where(F.col("column_name") == ":table")
+    wide = kept.groupBy("model_id", "window_start").pivot("metric_name", metrics).agg(F.first("metric_value"))
     return rounded(wide, *metrics)
 
 
