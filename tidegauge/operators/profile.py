@@ -178,9 +178,13 @@ def row_states(
     values |= {f"{c}.text": F.col(c).cast("string") for c in categorical}
     values |= {c: F.col(c) for c in df.columns if custom and c not in values}
     rows, keys = grouped_rows(df, spec, values)
-    taken = [f"{first} AS {quoted(name)}" for name, (first, _) in _states(numeric, categorical, sketches).items()]
     own = [a.alias(f"custom.{name}") for name, a in custom.items()]
-    return rows.groupBy(*keys).agg(*[F.expr(a) for a in taken], *own), keys
+    return rows.groupBy(*keys).agg(*state_aggregates(numeric, categorical, sketches), *own), keys
+
+
+def state_aggregates(numeric: list[str], categorical: list[str], sketches: bool = True) -> list[Column]:
+    """The states of all columns as aggregates over rows that hold ``<column>`` and ``<column>.is_nan``, or ``<column>.text``."""
+    return [F.expr(f"{first} AS {quoted(name)}") for name, (first, _) in _states(numeric, categorical, sketches).items()]
 
 
 def merged_states(

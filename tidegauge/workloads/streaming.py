@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators.alerts import rules_table
 from tidegauge.operators.distribution import category_long, value_counts
+from tidegauge.operators.profile import profile_of_merged_states
+from tidegauge.operators.windows import with_windows
 from tidegauge.session import scratch_dir
 from tidegauge.spec import AlertRule
 from tidegauge.streaming import log_streams as streams
 from tidegauge.workloads.bindings import BASE, BASELINE_END, log_spec, rounded, table
-from tidegauge.workloads.drifting import DAY, EVENT_TYPES, TV
+from tidegauge.workloads.drifting import CONSECUTIVE, DAY, EVENT_TYPES, TV
 from tidegauge.workloads.registry import workload
 
 DELAY = "1 day"
@@ -144,3 +146,76 @@ def stream_profile_by_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         found.select("granularity", "window_start", "slice_key", "slice_value", "n_rows", "value_avg", "value_max"), "value_avg"
     )
+
+
+@workload(f"""
+WITH {CONSECUTIVE}
+SELECT 'event_type' AS column_name, window_start, CASE WHEN max(i) > 1 THEN round({TV}, 6) END AS total_variation
+FROM paired WHERE window_start + INTERVAL 1 DAY <= {CLOSED} GROUP BY window_start""")
+def stream_drift_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of each closed day from the day before, whose counts the stream keeps as state."""
+    out = scratch_dir(spark, "stream_drift_consecutive")
+    events = _event_stream(spark, sf_dir)
+    counts = streams.stream_value_counts(events, log_spec(timestamp_col="ts"), ["event_type"], DELAY)
+    streams.run_available(streams.consecutive_counts(counts), f"{out}/data", f"{out}/checkpoint", streams.KEYED_STATE)
+    scored = streams.consecutive_scores(spark.read.parquet(f"{out}/data"))
+    found = _naive(scored, "window_start").select("column_name", "window_start", "total_variation")
+    return rounded(found, "total_variation")
+
+
+@workload("""
+WITH labels AS (SELECT event_id, ts + INTERVAL 6 HOUR AS labelled_at, (value > 50)::INTEGER::DOUBLE AS label FROM events
+                WHERE event_type = 'purchase' AND event_id % 3 <> 0),
+closed AS (SELECT least((SELECT max(ts) FROM events), (SELECT max(labelled_at) FROM labels)) - INTERVAL 1 DAY AS t)
+SELECT e.event_id, e.event_type, l.label FROM events e LEFT JOIN labels l USING (event_id)
+WHERE l.event_id IS NOT NULL OR e.ts + INTERVAL 12 HOUR < (SELECT t FROM closed)""")
+def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with labels that arrive hours later in a stream of their own; rows whose time is over come without one."""
+    out = scratch_dir(spark, "stream_late_labels")
+    log = _event_stream(spark, sf_dir).select("event_id", "event_type", "ts")
+    purchases = _event_stream(spark, sf_dir).where((F.col("event_type") == "purchase") & (F.col("event_id") % 3 != 0))
+    labels = purchases.select("event_id", (F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("labelled_at"), (F.col("value") > 50).cast("double").alias("label"))
+    joined = streams.stream_late_labels(log, labels, "event_id", "ts", "labelled_at", "12 HOURS", DELAY)
+    streams.run_available(joined, f"{out}/data", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/data").select("event_id", "event_type", "label")
+
+
+STEPS = {"6 hours": "INTERVAL 6 HOUR", "1 day": "INTERVAL 1 DAY"}
+
+
+@workload(f"""
+WITH closed AS (SELECT * FROM events WHERE time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 6 HOUR <= {CLOSED}),
+cut AS ({' UNION ALL '.join(f"SELECT '{g}' AS granularity, time_bucket({s}, ts, TIMESTAMP '1970-01-01') AS window_start, value FROM closed" for g, s in STEPS.items())})
+SELECT granularity, window_start, count(*)::DOUBLE AS n_rows, round(avg(value), 6) AS avg_value, round(stddev_samp(value), 6) AS stddev_value,
+       max(value) AS max_value, true AS median_is_close, true AS distinct_is_close
+FROM cut GROUP BY ALL""")
+def stream_profile_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles at two granularities from sketches that the stream keeps for the finer one.
+
+    Medians and distinct counts are held against exact ones of the same windows: within 2 % of
+    rank, and within 10 % of the number of values.
+    """
+    out = scratch_dir(spark, "stream_profile_sketched")
+    spec = log_spec(timestamp_col="ts", granularities=tuple(STEPS))
+    states = streams.stream_profile_states(_event_stream(spark, sf_dir), spec, ["value"], DELAY)
+    streams.run_available(states, f"{out}/data", f"{out}/checkpoint")
+    stored = spark.read.parquet(f"{out}/data")
+    keys = ["granularity", "window_start"]
+    long = _naive(profile_of_merged_states(stored, spec, ["value"], []), "window_start")
+    names = {"count": "n_rows", "avg": "avg_value", "stddev": "stddev_value", "max": "max_value", "median": "_median", "distinct_count": "_distinct"}
+    wide = long.groupBy(*keys).pivot("metric_name", list(names)).agg(F.first("metric_value")).select(*keys, *[F.col(m).alias(c) for m, c in names.items()])
+    rows = table(spark, sf_dir, "events").select("ts", "value")
+    cut = with_windows(rows, "ts", spec.granularities)
+    same = cut.join(wide.select(*keys, "_median", F.col("_distinct").alias("_estimate")), keys)
+    checked = same.groupBy(*keys).agg(
+        F.avg((F.col("value") < F.col("_median")).cast("int")).alias("_below"), F.avg((F.col("value") <= F.col("_median")).cast("int")).alias("_up_to"),
+        F.countDistinct("value").alias("_exact"), F.max("_estimate").alias("_estimate"), F.count("*").alias("_all"),
+    )
+    # a day whose last quarters are not closed has fewer rows in the stream than in the table
+    whole = F.col("_all") == F.col("n_rows")
+    found = wide.join(checked, keys).select(
+        *keys, *[c for c in names.values() if not c.startswith("_")],
+        (~whole | ((F.col("_below") <= 0.52) & (F.col("_up_to") >= 0.48))).alias("median_is_close"),
+        (~whole | (F.abs(F.col("_estimate") - F.col("_exact")) <= 0.1 * F.col("_exact"))).alias("distinct_is_close"),
+    )
+    return rounded(found, "avg_value", "stddev_value")
