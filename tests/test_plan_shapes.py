@@ -27,6 +27,7 @@ def executed(spark, name):
         ("drift_consecutive", 1),
         ("drift_ks_consecutive", 1),
         ("roc_auc", 1),
+        ("window_classification_quality", 1),
         ("resample_daily", 1),
         ("logging_frequency", 1),
         ("dq_score", 1),

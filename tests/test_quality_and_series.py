@@ -140,3 +140,12 @@ def test_longest_silence_of_dense_and_sparse_logs(spark):
         assert found[name]["n_rows"] == len(stamps) and abs(found[name]["longest_gap_seconds"] - longest) < 1e-9, name
     whole = ts.logging_frequency(rows, "at", "hourly").first()
     assert whole["n_rows"] == sum(map(len, micros.values()))
+
+
+@pytest.mark.parametrize("rows", [[], [(None,), (None,)]])
+def test_an_empty_baseline_is_an_error(spark, rows):
+    """Bounds of nothing would pass every row."""
+    baseline = spark.createDataFrame(rows, "value double")
+    for bounds in (dq.baseline_range, dq.baseline_fences, lambda b, c: dq.baseline_fences(b, c, exact=True)):
+        with pytest.raises(ValueError, match="empty baseline"):
+            bounds(baseline, "value")

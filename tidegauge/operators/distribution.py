@@ -101,6 +101,25 @@ def _steps(
     return {c: (cut, distinct or 0) for c, cut, distinct in zip(columns, cuts, row[len(columns) :])}
 
 
+# Bins between a number and its double.
+BINS_PER_DOUBLING = 4096
+
+
+def fixed_bin(value: Column) -> Column:
+    """A bin that grows with the value and depends on nothing else: no edges, and no scan to find them.
+
+    Every doubling is cut into :data:`BINS_PER_DOUBLING`; what is nearer to 0 than 1e-290 shares a bin, and
+    NaN and null have none. Where rounding puts a number just below a power of two above it, the
+    negative remainder leads back to the last bin of the doubling below.
+    """
+    x = value.cast("double")
+    size = F.least(F.abs(x), F.lit(1e300))
+    power = F.floor(F.log2(size))
+    inside = F.floor((size * F.pow(F.lit(2.0), -power) - 1) * BINS_PER_DOUBLING)
+    at = (power + 1000) * BINS_PER_DOUBLING + inside
+    return F.when(x.isNull() | F.isnan(x), None).when(size < 1e-290, 0).when(x < 0, -at).otherwise(at).cast("int")
+
+
 def exact_edges(df: DataFrame, columns: list[str], bins: int) -> Edges:
     """As ``approx_edges``, at the exact interpolated quantiles."""
     if not columns:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.columns import count_where, join_groups, ratio
+from tidegauge.functions.columns import join_groups, ratio
 from tidegauge.functions.scalars import improvement, improvement_percent
-from tidegauge.operators.distribution import Edges, approx_edges, numeric_long, running_totals
+from tidegauge.operators.distribution import Edges, fixed_bin, numeric_long, running_totals, value_counts
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, keys: list[str] | None = None) -> DataFrame:
@@ -24,6 +24,69 @@ def _binary_from_cells(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[s
     }
 
 
+def quality_counts(
+    df: DataFrame, label: str, prediction: str, keys: list[str] | None = None, score: str | None = None, edges: Edges | None = None
+) -> DataFrame:
+    """Rows with a label per group, label, prediction and score: what all measures of a classifier are made of.
+
+    ``_label``, ``_prediction``, with a score also ``bin`` and ``value``, and ``n``. Measures taken from one such
+    table share its scan and its shuffle.
+    """
+    rows = df.where(F.col(label).isNotNull()).select(*(keys or []), F.col(label).alias("_label"), F.col(prediction).alias("_prediction"), *([score] if score else []))
+    by = [*(keys or []), "_label", "_prediction"]
+    if score is None:
+        return rows.groupBy(*by).agg(F.count("*").alias("n"))
+    number = F.col(score).cast("double")
+    value = F.when(~F.isnan(number), number)
+    if edges is None:
+        binned = rows.select(*by, fixed_bin(value).alias("bin"), value.alias("value"))
+    else:
+        binned = numeric_long(rows, by, [score], edges).drop("column_name")
+    return value_counts(binned, by)
+
+
+def _summed(condition: Column) -> Column:
+    """Rows of a count table that meet a condition."""
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+
+def binary_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Accuracy, precision, recall and F1 of a 0/1 label from a count table."""
+    y, p = F.col("_label") == 1, F.coalesce(F.col("_prediction") == 1, F.lit(False))
+    wide = counts.groupBy(*keys).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        _summed(y & p).alias("_tp"),
+        _summed(~y & p).alias("_fp"),
+        _summed(y & ~p).alias("_fn"),
+        _summed(~y & ~p).alias("_tn"),
+    )
+    cells = _binary_from_cells(*[F.col(c) for c in ("_tp", "_fp", "_fn", "_tn")])
+    return wide.select(*keys, "n", *[c.alias(m) for m, c in cells.items()])
+
+
+def auc_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Area under the ROC curve per group from a count table with scores, ties counted half; null with one class only.
+
+    The rank of a score is the negatives in the lower bins plus those below it in its own bin.
+    """
+    # a row without a score weighs nothing; dropping it here would ask for another shuffle
+    weight = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    per_value = counts.groupBy(*keys, "bin", "value").agg(
+        F.sum(weight).alias("_all"), F.sum(F.when(F.col("_label") == 1, weight).otherwise(0)).alias("_pos")
+    )
+    ranked = running_totals(per_value.withColumn("_neg", F.col("_all") - F.col("_pos")), keys, ["_neg"])
+    below = F.col("before__neg") + F.col("_neg") / 2
+    return (
+        ranked.groupBy(*keys)
+        .agg(
+            F.sum(F.col("_pos").cast("double") * below).alias("_wins"),
+            F.sum("_pos").alias("_p"),
+            F.sum("_neg").alias("_n"),
+        )
+        .select(*keys, ratio(F.col("_wins"), F.col("_p").cast("double") * F.col("_n")).alias("roc_auc"))
+    )
+
+
 def binary_metrics(
     df: DataFrame,
     label: str,
@@ -34,23 +97,14 @@ def binary_metrics(
 ) -> DataFrame:
     """Classification metrics of a 0/1 label, per group; rows without a label take no part.
 
-    One aggregate of four counts. With a ``score`` column the ROC-AUC is joined on.
+    One count table. With a ``score`` column the ROC-AUC is taken from the same one.
     """
     keys = keys or []
-    rows = df.where(F.col(label).isNotNull())
-    y, p = F.col(label) == 1, F.coalesce(F.col(prediction) == 1, F.lit(False))
-    wide = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        count_where(y & p).alias("_tp"),
-        count_where(~y & p).alias("_fp"),
-        count_where(y & ~p).alias("_fn"),
-        count_where(~y & ~p).alias("_tn"),
-    )
-    cells = _binary_from_cells(*[F.col(c) for c in ("_tp", "_fp", "_fn", "_tn")])
-    metrics = wide.select(*keys, "n", *[c.alias(m) for m, c in cells.items()])
+    counts = quality_counts(df, label, prediction, keys, score, edges)
+    metrics = binary_of_counts(counts, keys)
     if score is None:
         return metrics
-    auc = roc_auc(rows, label, score, keys, edges)
+    auc = auc_of_counts(counts, keys)
     # without keys both are one row
     return join_groups(metrics, auc, keys, "left") if keys else metrics.withColumn("roc_auc", auc.scalar())
 
@@ -60,60 +114,36 @@ def roc_auc(
 ) -> DataFrame:
     """Area under the ROC curve per group, ties counted half; null with one class only.
 
-    Positives and negatives are counted per distinct score first. The rank of a score
-    is then the negatives in the lower bins plus those below it in its own bin.
+    Positives and negatives are counted per distinct score first.
     """
-    keys = keys or []
-    rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    positive = F.col("_positive")
-    flagged = rows.select(
-        *keys, F.col(score).cast("double").alias("score"), (F.col(label) == 1).alias("_positive")
-    )
-    if edges is None:
-        edges = approx_edges(flagged, ["score"])
-    long = numeric_long(flagged, [*keys, "_positive"], ["score"], edges)
-    by = [*keys, "column_name"]
-    # negatives as a difference: both branches below then need both counts and share one shuffle
-    counts = (
-        long.groupBy(*by, "bin", "value")
-        .agg(F.count("*").alias("_all"), count_where(positive).alias("_pos"))
-        .withColumn("_neg", F.col("_all") - F.col("_pos"))
-    )
-    ranked = running_totals(counts, by, ["_neg"])
-    below = F.col("before__neg") + F.col("_neg") / 2
-    return (
-        ranked.groupBy(*by)
-        .agg(
-            F.sum(F.col("_pos").cast("double") * below).alias("_wins"),
-            F.sum("_pos").alias("_p"),
-            F.sum("_neg").alias("_n"),
-        )
-        .select(*keys, ratio(F.col("_wins"), F.col("_p").cast("double") * F.col("_n")).alias("roc_auc"))
-    )
+    positive = df.withColumn("_positive", (F.col(label) == 1).cast("int"))
+    return auc_of_counts(quality_counts(positive, "_positive", "_positive", keys, score, edges), keys or [])
 
 
 def class_metrics(df: DataFrame, label: str, prediction: str, keys: list[str] | None = None) -> DataFrame:
     """Support, precision, recall and F1 of every class, per group."""
-    keys = keys or []
-    matrix = confusion_matrix(df.where(F.col(label).isNotNull()), label, prediction, keys)
-    n, hit = F.col("n"), F.col(label).eqNullSafe(F.col(prediction))
+    return class_metrics_of_counts(quality_counts(df, label, prediction, keys), keys or [])
+
+
+def class_metrics_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+    n, hit = F.col("n"), F.col("_label").eqNullSafe(F.col("_prediction"))
     zero = F.lit(0).cast("long")
     sides = F.array(
         F.struct(
-            F.col(label).cast("string").alias("class"),
+            F.col("_label").cast("string").alias("class"),
             n.alias("support"),
             zero.alias("predicted"),
             F.when(hit, n).otherwise(zero).alias("correct"),
         ),
         F.struct(
-            F.col(prediction).cast("string").alias("class"),
+            F.col("_prediction").cast("string").alias("class"),
             zero.alias("support"),
             n.alias("predicted"),
             zero.alias("correct"),
         ),
     )
     wide = (
-        matrix.select(*keys, F.inline(sides))
+        counts.select(*keys, F.inline(sides))
         .where(F.col("class").isNotNull())
         .groupBy(*keys, "class")
         .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "correct")])
@@ -133,11 +163,14 @@ def averaged_class_metrics(
     df: DataFrame, label: str, prediction: str, keys: list[str] | None = None
 ) -> DataFrame:
     """Accuracy with macro (plain) and weighted (by support) means of the class metrics."""
-    keys = keys or []
+    return averages_of_counts(quality_counts(df, label, prediction, keys), keys or [])
+
+
+def averages_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
     s = F.col("support")
     names = ("precision", "recall", "f1")
     return (
-        class_metrics(df, label, prediction, keys)
+        class_metrics_of_counts(counts, keys)
         .groupBy(*keys)
         .agg(
             F.sum("support").alias("n"),

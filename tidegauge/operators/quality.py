@@ -51,24 +51,37 @@ def range_check(column: str, low: float, high: float, max_failed: float = 0.0) -
 
 
 def baseline_range(baseline: DataFrame, column: str) -> tuple[float, float]:
-    """Smallest and greatest baseline value, as bounds for ``range_check``."""
+    """Smallest and greatest baseline value, as bounds for ``range_check``; an error if there is none."""
     row = baseline.agg(F.min(column), F.max(column)).first()
-    return row[0], row[1]
+    return _bounds(row, column)
 
 
 def baseline_fences(
     baseline: DataFrame, column: str, k: float = 1.5, exact: bool = False
 ) -> tuple[float, float]:
-    """Quartiles of the baseline widened by ``k`` interquartile ranges: two numbers on the driver."""
+    """Quartiles of the baseline widened by ``k`` interquartile ranges: two numbers on the driver.
+
+    An error if the baseline has no value.
+    """
     if exact:
         long = numeric_long(baseline, [], [column], approx_edges(baseline, [column]))
         rows = exact_quantiles(value_counts(long, ["column_name"]), ["column_name"], [0.25, 0.75]).collect()
-        q1, q3 = sorted(r["quantile_value"] for r in rows)
+        found = sorted((r["quantile_value"] for r in rows), key=lambda q: (q is None, q)) or (None, None)
     else:
-        q1, q3 = baseline.agg(F.percentile_approx(F.col(column).cast("double"), [0.25, 0.75], 10_000)).first()[0]
+        number = F.col(column).cast("double")
+        known = F.when(~F.isnan(number), number)
+        found = baseline.agg(F.percentile_approx(known, [0.25, 0.75], 10_000)).first()[0] or (None, None)
+    q1, q3 = _bounds(found, column)
     return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
 
 
+def _bounds(found, column: str) -> tuple[float, float]:
+    low, high = found
+    if low is None or high is None:
+        raise ValueError(f"empty baseline: no value of {column}")
+    return low, high
+
+
 def outlier_check(column: str, fences: tuple[float, float], max_failed: float = 0.05) -> RowRule:
     present = F.col(column).isNotNull()
     return RowRule("outlier_check", column, ~F.col(column).between(*fences), present, max_failed)

@@ -20,7 +20,13 @@ from tidegauge.operators.alerts import (
 )
 from tidegauge.operators.distribution import Edges
 from tidegauge.operators.drift import drift
-from tidegauge.operators.performance import averaged_class_metrics, binary_metrics, regression_metrics
+from tidegauge.operators.performance import (
+    auc_of_counts,
+    averages_of_counts,
+    binary_of_counts,
+    quality_counts,
+    regression_metrics,
+)
 from tidegauge.operators.profile import PROFILE_COLUMNS, long_metrics, profile, profiled_columns
 from tidegauge.operators.windows import grouped_rows, with_unused_keys
 from tidegauge.plans.stored_windows import refresh_consecutive
@@ -51,10 +57,12 @@ def quality_per_window(log: DataFrame, spec: MonitorSpec) -> DataFrame:
     rows, keys = grouped_rows(log, spec, values)
     if spec.problem_type == "regression":
         return with_unused_keys(regression_metrics(rows, "_label", "_prediction", keys))
-    found = averaged_class_metrics(rows, "_label", "_prediction", keys)
+    # one count table, read from one shuffle by all measures
+    counts = quality_counts(rows, "_label", "_prediction", keys, "_score" if scored else None)
+    found = averages_of_counts(counts, keys)
     if scored:
-        binary = binary_metrics(rows, "_label", "_prediction", keys, "_score").drop("n", "accuracy")
-        found = join_groups(found, binary, keys, "left")
+        binary = binary_of_counts(counts, keys).drop("n", "accuracy")
+        found = join_groups(join_groups(found, binary, keys, "left"), auc_of_counts(counts, keys), keys, "left")
     return with_unused_keys(found)
 
 
