@@ -73,3 +73,14 @@ def test_proximity(spark):
     items = frame(spark, [(1, "a b c"), (2, "a a")], "item_id long, text string")
     found = dc.proximity_matches(dc.build_index(docs), items, 1).collect()
     assert by_key(found) == by_key([(2, "1", 0, 3), (4, "1", 4, 7), (5, "1", 0, 4), (5, "1", 1, 4), (5, "2", 0, 2)])
+
+
+def test_the_benchmark_never_passes_the_driver(spark, monkeypatch):
+    """Windows are cut by tasks; only the numbers of blocks are collected."""
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", lambda *_, **__: 1 / 0)
+    benchmark = frame(spark, [(i, f"one two three w{i} four") for i in range(30)] + [(None, "one two")], "item_id long, text string")
+    blocks = dc.phrase_blocks(dc._texts(benchmark, "item_id", "text"), 3, 100)
+    assert 1 < len(blocks.numbers) <= 7
+    found = {bytes(r.phrase): sorted(r["items"]) for r in spark.read.parquet(blocks.folder).collect()}
+    assert found[b"one two three"] == sorted(map(str, range(30))) and found[b"one two"] == [] and found[b"two three w3"] == ["3"]
+    assert len(found) == 2 + 60

@@ -71,3 +71,15 @@ def test_weights(spark):
 def test_plan_has_no_python(spark):
     plan = rv.shard_documents(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("piece", [1, 7, 100_000])
+def test_copies_in_pieces(spark, monkeypatch, piece):
+    """A record on a third of all rows comes back in pieces, with every slot once."""
+    monkeypatch.setattr(rv, "PIECE", piece)
+    rows = [(i, f"t{i}", None, None, 0) for i in range(60)] + [(5, "hot", None, None, 0)] * 40
+    got = rv.shard_documents(frame(spark, rows), shards=3).collect()
+    assert len(got) == 100
+    for shard in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    assert sum(r.size == 11 and r.doc_id == 5 for r in got) == 40

@@ -82,3 +82,47 @@ def test_given_labels(spark):
     scored = tx.toxicity_scores(docs, labels).where("held_out").join(labels, "doc_id").select("toxic", "predicted").collect()
     toxic, clean = [[r.predicted for r in scored if r.toxic == y] for y in (1, 0)]
     assert sum(toxic) / len(toxic) > 0.65 and sum(clean) / len(clean) < 0.005
+
+
+@pytest.mark.parametrize("n", [2, 4, 5, 8, 12, 20])
+@pytest.mark.parametrize("long", [False, True])
+def test_few_labels_do_not_fail(spark, rows, n, long):
+    """Too little text to train a dictionary on is no error."""
+    few = [(i, (t if long else t[:20]), i // 2 % 2) for i, t, _ in rows[:n]]
+    model = tx.fit([(t, y) for _, t, y in few])
+    docs = spark.createDataFrame([r[:2] for r in few], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in few], "doc_id long, toxic int")
+    assert model is not None and all(0 <= r.score <= 1 for r in tx.toxicity_scores(docs, labels).collect())
+
+
+def test_a_labelled_id_on_a_third_of_all_rows(spark, rows, monkeypatch):
+    """One text of it is learned from; the bound on bytes holds for what is fetched."""
+    fitted = []
+    monkeypatch.setattr(tx, "fit", lambda sample: fitted.append(sample) or tx.ToxicityModel(b"", b"", (0, 0), tx.np.zeros((tx.GAINS, tx.LENGTHS)), tx.np.zeros(5)))
+    learned = [r for r in rows[:60] if crc_fold(r[0], 3) != 1]
+    hot = learned[0][0]
+    docs = spark.createDataFrame([r[:2] for r in rows[:60]] + [(hot, f"copy {i % 7}") for i in range(30)] + [(hot, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows[:60]] * 2, "doc_id long, toxic int")
+    tx.train(docs, labels)
+    assert len(fitted[-1]) == len(learned)
+    tx.train(docs, labels, max_bytes=3000)
+    assert 0 < sum(len((t or "").encode()) for t, _ in fitted[-1]) <= 3000
+
+
+def test_scores_of_the_shipped_model_by_hand(rows):
+    """Each window compressed by itself, each document's features added up in plain Python."""
+    model = tx.fit([(t, y) for _, t, y in rows[:600]])
+    assert model.fitted
+    lengths = tx.lengths_under(model.ordinary, model.peculiar, model.frame)
+
+    def evidence(window):
+        framed = lengths.lead + window + lengths.trail
+        ordinary, toxic = (len(c.compress(framed)) for c in lengths.both)
+        return model.evidence[min(max(ordinary - toxic, 0), tx.GAINS - 1), min(ordinary, tx.LENGTHS - 1)]
+
+    texts = [t for _, t, _ in rows[600:640]] + [None, "", "x" * 300]
+    got = list(tx.Scorer(model).scores(texts))
+    for text, score in zip(texts, got):
+        windows = tx.windows_of(text)
+        row = tx.np.array(tx.features([evidence(w) for w in windows], len(windows)))
+        assert score == pytest.approx(1 / (1 + tx.np.exp(-tx.np.clip(row @ model.weights, -30, 30))))

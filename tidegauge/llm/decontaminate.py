@@ -12,9 +12,12 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.dataset as pads
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -23,7 +26,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegauge.functions.columns import quoted
-from tidegauge.llm.common import bound_batches, let_go, pick, stage, unused
+from tidegauge.llm.common import bound_batches, kept, let_go, open_folder, pick, stage, unused
+from tidegauge.session import scratch_dir
 
 #: Bytes of text per index segment; a longer document is a segment by itself.
 SEGMENT_BYTES = 4 << 20
@@ -186,38 +190,74 @@ class Postings:
 
 @dataclass
 class Queries:
-    """Distinct phrases of a block of benchmark items, and the items each stands for."""
+    """Distinct phrases of a block, and the benchmark items each stands for."""
 
     terms: dict[bytes, int] = field(default_factory=dict)
-    phrases: dict[tuple[int, ...], set] = field(default_factory=dict)
+    phrases: list[tuple[list[int], list[str]]] = field(default_factory=list)
 
-    def add(self, item, words: list[bytes], window: int | None) -> None:
-        numbers = [self.terms.setdefault(w, len(self.terms)) for w in words]
-        if not numbers:
-            return
-        window = min(window or len(numbers), len(numbers))
-        for at in range(len(numbers) - window + 1):
-            self.phrases.setdefault(tuple(numbers[at : at + window]), set()).add(item)
+    def add(self, phrase: bytes, items: list[str]) -> None:
+        self.phrases.append(([self.terms.setdefault(w, len(self.terms)) for w in phrase.split(b" ")], items))
 
-    def present(self, postings: Postings) -> Iterator[tuple[np.ndarray, set]]:
+    def present(self, postings: Postings) -> Iterator[tuple[np.ndarray, list[str]]]:
         """Phrases of which every term occurs in the segment, with the segment's term numbers."""
         own = np.array([postings.numbers.get(t, -1) for t in self.terms], dtype=np.int64)
-        for phrase, items in self.phrases.items():
-            numbers = own[list(phrase)]
+        for phrase, items in self.phrases:
+            numbers = own[phrase]
             if numbers.min() >= 0:
                 yield numbers, items
 
 
-def query_blocks(benchmark: DataFrame, window: int | None, block_bytes: int) -> Iterator[Queries]:
-    """The benchmark in blocks of bounded size; ``benchmark`` has ``item_id`` (text) and ``text``."""
-    block, n = Queries(), 0
-    for item, text in benchmark.toLocalIterator():
-        if n >= block_bytes:
-            yield block
-            block, n = Queries(), 0
-        block.add(item, words_of(text), window)
-        n += len(text or "")
-    yield block
+@dataclass(frozen=True)
+class PhraseBlocks:
+    """Where the phrases of a benchmark lie in the shared folder, and the numbers of their blocks."""
+
+    folder: str
+    numbers: list[int]
+
+    def open(self, number: int) -> Queries:
+        """A block as a task reads it; a worker keeps the last one."""
+
+        def read() -> Queries:
+            system, root = open_folder(f"{self.folder}/block={number}")
+            block = Queries()
+            for batch in pads.dataset(root, filesystem=system, format="parquet").to_batches(columns=["phrase", "items"]):
+                for phrase, items in zip(batch.column("phrase").to_pylist(), batch.column("items").to_pylist()):
+                    block.add(phrase, items)
+            return block
+
+        return kept(("phrases", self.folder, number), read)
+
+
+def phrase_blocks(benchmark: DataFrame, window: int | None, block_bytes: int) -> PhraseBlocks:
+    """The distinct phrases of a benchmark (``item_id``, ``text``) with their items, dealt out to blocks by a hash.
+
+    Tasks cut the items into windows (whole items where ``window`` is null, or the item is
+    shorter); a block holds the windows of about ``block_bytes`` of text. The driver learns
+    the blocks' numbers only.
+    """
+    spark = benchmark.sparkSession
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[tuple[bytes, str | None]] = []
+        for batch in batches:
+            for item, text in zip(batch["item_id"], batch["text"]):
+                words = words_of(text)
+                size = min(window or len(words), len(words))
+                for at in range(len(words) - size + 1 if size else 0):
+                    found.append((b" ".join(words[at : at + size]), item))
+                    if len(found) >= 10_000:
+                        yield pd.DataFrame(found, columns=["phrase", "item"])
+                        found = []
+        if found:
+            yield pd.DataFrame(found, columns=["phrase", "item"])
+
+    n = max(1, -(-(benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
+    phrases = benchmark.mapInPandas(cut, "phrase binary, item string").groupBy("phrase").agg(F.collect_set("item").alias("items"))
+    folder = scratch_dir(spark, "phrases")
+    dealt = phrases.withColumn("block", F.pmod(F.xxhash64("phrase"), F.lit(n))).repartition("block")
+    dealt.write.partitionBy("block").parquet(folder)
+    stored = spark.read.schema("phrase binary, items array<string>, block long").parquet(folder)
+    return PhraseBlocks(folder, sorted(r["block"] for r in stored.select("block").distinct().collect()))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -243,24 +283,24 @@ def _postings(index: DataFrame) -> DataFrame:
     return index.select("segment", "sizes", "terms", "counts", "positions")
 
 
-def phrase_hits(index: DataFrame, queries: Queries) -> DataFrame:
-    """Per document with occurrences: the word spans they cover and the items they come from."""
+def phrase_hits(index: DataFrame, blocks: PhraseBlocks, block: int) -> DataFrame:
+    """Per document with occurrences of a block's phrases: the word spans they cover and the items they come from."""
     schema = T._parse_datatype_string(HITS)
     arrow_schema = to_arrow_schema(schema)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, postings in _open(batches):
             spans, items = defaultdict(list), defaultdict(set)
-            for numbers, of in queries.present(postings):
+            for numbers, of in blocks.open(block).present(postings):
                 found = postings.phrase(numbers).astype(np.int64)
                 for document in np.unique(postings.document_of(found)).tolist():
                     low, high = postings.starts[document], postings.ends[document]
                     here = found[(found >= low) & (found < high)] - low
                     spans[document].append((here, here + len(numbers)))
-                    items[document] |= of
+                    items[document].update(of)
             for document, parts in spans.items():
                 covered = merged(np.concatenate([a for a, _ in parts]), np.concatenate([b for _, b in parts]))
-                row = [[number], [document], [[{"low": a, "high": b} for a, b in covered]], [[i for i in items[document] if i is not None]]]
+                row = [[number], [document], [[{"low": a, "high": b} for a, b in covered]], [list(items[document])]]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, arrow_schema)], schema=arrow_schema)
 
     return _postings(index).mapInArrow(look_up, schema)
@@ -275,15 +315,12 @@ def contamination(index: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """One row per indexed document (``segment``, ``place``): its id, words, hits and items.
 
     A null item id counts as a match of the words but is in no list of items; repeated items
-    count once. An empty benchmark hits nothing. The benchmark passes the driver in blocks
-    of at most ``block_bytes`` (plus one item), each looked up in all segments.
+    count once. An empty benchmark hits nothing. The phrases of a benchmark are looked up in
+    all segments block by block; tasks read a block from the shared folder.
     """
-    blocks = [phrase_hits(index, q) for q in query_blocks(_texts(benchmark, item_col, text_col), window, block_bytes)]
-    if len(blocks) > 1:  # hold the results of a pass, not its queries
-        blocks = [stage(b, "phrase-hits") for b in blocks]
-    hits = blocks[0]
-    for other in blocks[1:]:
-        hits = hits.union(other)
+    blocks = phrase_blocks(_texts(benchmark, item_col, text_col), window, block_bytes)
+    passes = [phrase_hits(index, blocks, block) for block in blocks.numbers]
+    hits = reduce(DataFrame.union, passes, index.sparkSession.createDataFrame([], HITS))
     covered = F.aggregate(
         F.array_sort("spans"),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto")),
@@ -333,6 +370,9 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, all columns as they are.
 
+    Null, empty and wordless texts are clean; repeated rows stay or go together; an empty
+    table stays empty, and an empty benchmark leaves all rows.
+
     Whether a row goes depends on its text alone, so rows are told apart by the digest of
     their text, and only the digests of contaminated texts are joined.
     """
@@ -359,13 +399,15 @@ def proximity_matches(
     ])
     arrow_schema = to_arrow_schema(schema)
 
-    def pass_over(queries: Queries) -> DataFrame:
+    blocks = phrase_blocks(_texts(benchmark, item_col, text_col), None, block_bytes)
+
+    def pass_over(block: int) -> DataFrame:
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column("ids").to_pylist()
                 for row, (_, postings) in enumerate(_open(iter([batch]))):
                     out = []
-                    for numbers, items in queries.present(postings):
+                    for numbers, items in blocks.open(block).present(postings):
                         for low, high in postings.near(numbers, len(numbers) + slop):
                             document = int(postings.document_of(np.array([low]))[0])
                             base = int(postings.starts[document])
@@ -377,8 +419,4 @@ def proximity_matches(
 
         return index.mapInArrow(look_up, schema)
 
-    passes = [pass_over(q) for q in query_blocks(_texts(benchmark, item_col, text_col), None, block_bytes)]
-    found = passes[0]
-    for other in passes[1:]:
-        found = found.union(other)
-    return found
+    return reduce(DataFrame.union, map(pass_over, blocks.numbers), index.sparkSession.createDataFrame([], schema))

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.common import pick, stage
 
+#: Copies of one record that are turned back into rows at a time.
+PIECE = 100_000
+
+
 def best_draw(key: Column, weights: Mapping[int, float] | Sequence[float]) -> Column:
     """``cost`` and ``shard`` of a key: the smallest ``-ln(u) / weight`` over the shards, ``u`` drawn from a hash.
 
@@ -47,7 +51,8 @@ def with_slots(records: DataFrame, shard: str = "shard") -> DataFrame:
     All columns must be comparable; nulls come first. Equal records are counted before they
     are numbered, and a shard is cut into ranges numbered side by side, whose first slots are
     running sums of the ranges' sizes, so neither a shard nor a repeated record is one
-    task's work.
+    task's work: the copies of a record are turned back into rows in pieces of
+    :data:`PIECE`, dealt out over the tasks.
     """
     columns = records.columns
     counted = records.groupBy(*columns).agg(F.count("*").alias("_copies"))
@@ -57,11 +62,25 @@ def with_slots(records: DataFrame, shard: str = "shard") -> DataFrame:
     starts = sizes.select("_shard", "_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(shard, "_range").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.withColumn("_at", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
-    return (
-        placed.join(starts, (F.col(shard) == F.col("_shard")) & (F.col("_range") == F.col("_of")))
-        .select(*columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_copy"), "_at", "_start")
-        .select(*columns, (F.col("_start") + F.col("_at") + F.col("_copy")).alias("slot"))
+    known = placed.join(starts, (F.col(shard) == F.col("_shard")) & (F.col("_range") == F.col("_of"))).select(
+        *columns, "_copies", (F.col("_start") + F.col("_at")).alias("_first")
+    )
+    if ranged.where(F.col("_copies") > PIECE).isEmpty():
+        return _as_rows(known, columns)
+    pieces = known.where(F.col("_copies") > PIECE).withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(PIECE).cast("long")))
+    ).select(
+        *columns, F.least(F.lit(PIECE).cast("long"), F.col("_copies") - F.col("_piece")).alias("_copies"),
+        (F.col("_first") + F.col("_piece")).alias("_first"),
     )
+    dealt = pieces.repartition(shard, "_first")
+    return _as_rows(known.where(F.col("_copies") <= PIECE), columns).union(_as_rows(dealt, columns))
+
+
+def _as_rows(records: DataFrame, columns: list[str]) -> DataFrame:
+    """Records with a number of copies as rows, with the slots from ``_first`` on."""
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_copy")
+    return records.select(*columns, "_first", copy).select(*columns, (F.col("_first") + F.col("_copy")).alias("slot"))
 
 
 def shard_documents(

@@ -21,14 +21,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegauge.llm.common import bound_batches, kept, pick, stage
+from tidegauge.llm.common import bound_batches, kept, open_folder, pick, stage
 from tidegauge.session import scratch_dir
 
 MAGIC = b"TGIDSEF1"
@@ -235,11 +234,6 @@ class IdFile:
         return self.read(*self.span(i))
 
 
-def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
-    """A shared folder as tasks reach it: local mounts, HDFS, S3, GCS and whatever else Arrow can open."""
-    return pafs.FileSystem.from_uri(path)
-
-
 def write_files(
     docs: DataFrame, vocabulary_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
     folder: str | None = None, file_ids: int = FILE_IDS,

@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text and one that adds what is
-peculiar to toxic text. A window (a word and its delimiters) that the toxic dictionary
+Two zstandard dictionaries are trained, one on stretches of ordinary text and one on the
+stretches of toxic text that are peculiar to it; the toxic one stands behind the
+ordinary one, so that ordinary words cost the same under both. A window (a word and its delimiters) that the toxic dictionary
 shortens much better than the ordinary one is evidence; how much, for each pair of lengths,
 is calibrated on labelled documents that took no part in the dictionaries. A document's
 score is a logistic function of its strongest windows and its length.
@@ -23,9 +24,14 @@ from pyspark.sql import functions as F
 from tidegauge.functions.columns import quoted
 from tidegauge.llm.common import bound_batches, crc_fold, kept, pick, unused
 
-#: Labelled documents of each kind that a model is fitted on at most.
-MAX_TOXIC, MAX_ORDINARY = 3000, 5000
-#: Bytes of a trained dictionary, and of what is peculiar to toxic text.
+#: Labelled documents of each kind that a model is fitted on at most, and bytes of their texts together.
+MAX_TOXIC, MAX_ORDINARY, MAX_BYTES = 3000, 5000, 64 << 20
+#: Stretches of ordinary text a dictionary is trained on at most, evenly from all that there are.
+MAX_STRETCHES = 20_000
+#: A word is peculiar to toxic text if it occurs in so many toxic documents (a share of them, and a number) and
+#: the logarithm of its odds there against elsewhere is so high.
+PECULIAR_SHARE, PECULIAR_LEAST, PECULIAR_ODDS = 0.02, 3, 2.5
+#: Bytes of the ordinary dictionary, and of the toxic one at most.
 BASE_BYTES, TOXIC_BYTES = 8192, 4096
 LEVEL = 6
 #: Bytes of a window without its frame; longer words are cut into overlapping windows.
@@ -103,26 +109,46 @@ class Lengths:
         return np.clip(ordinary - toxic, 0, GAINS - 1), np.clip(ordinary, 0, LENGTHS - 1)
 
 
+def trained(size: int, samples: list[bytes]) -> bytes:
+    """A dictionary trained by zstandard; of samples too few or too short for that, their own bytes."""
+    try:
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b" ".join(samples)[-size:]
+
+
 def ordinary_dictionary(texts: list[list[bytes]], labels: list[int]) -> bytes:
     """A dictionary trained on stretches of ordinary documents, given as lists of windows."""
     stretches = [s for windows, y in zip(texts, labels) if not y for s in _stretches(windows)]
-    step = max(1, len(stretches) // 20_000)
-    return zstandard.train_dictionary(BASE_BYTES, stretches[::step] or [b"the of and to in is"] * 64).as_bytes()
+    step = max(1, len(stretches) // MAX_STRETCHES)
+    return trained(BASE_BYTES, stretches[::step] or [b"the of and to in is"] * 64)
 
 
-def toxic_dictionary(texts: list[list[bytes]], labels: list[int]) -> bytes:
+def peculiar_windows(texts: list[list[bytes]], labels: list[int]) -> list[bytes]:
     """The windows that are far more usual in toxic documents, the most usual first."""
     seen: tuple[Counter, Counter] = Counter(), Counter()
     totals = Counter(labels)
     for windows, y in zip(texts, labels):
         seen[y].update(set(windows))
-    least = max(3, totals[1] // 50)
+    least = max(PECULIAR_LEAST, totals[1] * PECULIAR_SHARE)
 
     def odds(window: bytes) -> float:
         return math.log((seen[1][window] + 0.5) / (totals[1] + 1)) - math.log((seen[0][window] + 0.5) / (totals[0] + 1))
 
-    chosen = sorted((w for w, n in seen[1].items() if n >= least and odds(w) > 2.5), key=lambda w: (-seen[1][w], w))
-    return b"".join(b" " + w + b" " for w in chosen)[:TOXIC_BYTES] + b" "
+    return sorted((w for w, n in seen[1].items() if n >= least and odds(w) > PECULIAR_ODDS), key=lambda w: (-seen[1][w], w))
+
+
+def toxic_dictionary(texts: list[list[bytes]], labels: list[int]) -> bytes:
+    """A dictionary trained on the stretches of toxic documents that are peculiar to them.
+
+    Trained on whole toxic documents, nearly all of it would be ordinary words. It is as large
+    as the different peculiar words are together, so that frequent stretches come several times.
+    """
+    chosen = peculiar_windows(texts, labels)
+    known = set(chosen)
+    stretches = [b" " + w + b" " for windows, y in zip(texts, labels) if y for w in windows if w in known]
+    size = sum(len(w) + 2 for w in chosen)
+    return trained(min(TOXIC_BYTES, max(256, size)), stretches) or b" "
 
 
 def lengths_under(ordinary: bytes, peculiar: bytes, frame: tuple[int, int]) -> Lengths:
@@ -268,20 +294,36 @@ def score_column(model: ToxicityModel, text: Column, spark) -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY, folds: int = 3, held_fold: int = 1,
+    max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY, folds: int = 3, held_fold: int = 1, max_bytes: int = MAX_BYTES,
 ) -> ToxicityModel:
     """A model fitted on labelled rows outside the held-out fold of the id.
 
     At most ``max_toxic`` toxic and ``max_ordinary`` other documents are used, those with
-    the smallest hashes of their ids; this bounded sample is all that reaches the driver.
+    the smallest hashes of their ids, one text for each id, and of these as many as come to
+    ``max_bytes``; this bounded sample is all that reaches the driver. A label that comes twice
+    with two values counts as toxic.
     """
     marks = pick(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic in (0, 1)")
-    marks = marks.where(crc_fold(F.col("doc_id"), folds) != held_fold).withColumn("turn", F.xxhash64("doc_id"))
+    marks = marks.where(crc_fold(F.col("doc_id"), folds) != held_fold).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marks = marks.withColumn("turn", F.xxhash64("doc_id"))
     chosen = [marks.where(F.col("toxic") == y).orderBy("turn", "doc_id").limit(n) for y, n in ((1, max_toxic), (0, max_ordinary))]
-    sample = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
-    rows = sample.select("turn", "doc_id", "text", "toxic").toPandas()
-    rows = rows.sort_values(["turn", "doc_id", "text"], kind="stable")
-    return fit(list(zip(rows["text"], rows["toxic"])))
+    named = pick(docs, doc_id=id_col, text=text_col)
+    hashed = named.withColumn("hash", F.xxhash64("text"))
+    # first which text, by numbers alone: a labelled id may stand on any number of rows
+    sizes = hashed.withColumn("size", F.octet_length(F.coalesce("text", F.lit("")))).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    found = sizes.groupBy("doc_id", "turn", "toxic").agg(F.min("hash").alias("hash"), F.min_by("size", "hash").alias("size"))
+    taken, total = [], 0
+    for row in sorted(found.collect(), key=lambda r: (r["turn"], r["doc_id"])):
+        if total + row["size"] <= max_bytes:
+            taken.append((row["doc_id"], row["hash"], row["turn"], row["toxic"]))
+            total += row["size"]
+    if not taken:
+        return fit([])
+    kind = named.schema["doc_id"].dataType.simpleString()
+    wanted = docs.sparkSession.createDataFrame(taken, f"doc_id {kind}, hash long, turn long, toxic int")
+    texts = hashed.join(F.broadcast(wanted), ["doc_id", "hash"]).groupBy("doc_id", "turn", "toxic").agg(F.first("text").alias("text"))
+    rows = sorted(texts.collect(), key=lambda r: (r["turn"], r["doc_id"]))
+    return fit([(r["text"], r["toxic"]) for r in rows])
 
 
 def toxicity_scores(
@@ -303,7 +345,11 @@ def toxicity_scores(
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not found toxic, all columns as they are."""
+    """The rows of ``docs`` that are not found toxic, all columns as they are.
+
+    Rows with a null, empty or wordless text stay; repeated rows stay or go together; without
+    usable labels all stay; an empty table stays empty; a column called like one of ours is no matter.
+    """
     model, score = train(docs, labels, text_col=text_col), unused(docs, "score")
     scored = docs.withColumn(score, score_column(model, F.col(quoted(text_col)), docs.sparkSession))
     return scored.where(F.col(score) < THRESHOLD).drop(score)

@@ -26,8 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import pick, stage
-from tidegauge.llm.token_binary import open_folder
+from tidegauge.llm.common import open_folder, pick, stage
 from tidegauge.session import scratch_dir
 
 #: Bytes of compressed records per package (a larger record has a package by itself), bytes read at a time.
