@@ -149,3 +149,28 @@ def test_an_empty_baseline_is_an_error(spark, rows):
     for bounds in (dq.baseline_range, dq.baseline_fences, lambda b, c: dq.baseline_fences(b, c, exact=True)):
         with pytest.raises(ValueError, match="empty baseline"):
             bounds(baseline, "value")
+
+
+@pytest.mark.parametrize("frequency, step", [("hourly", "1 HOUR"), ("daily", "1 DAY"), ("weekly", "7 DAY"), ("monthly", "1 MONTH")])
+def test_parts_of_a_series_give_what_the_whole_gives(spark, monkeypatch, frequency, step):
+    monkeypatch.setattr(ts, "PART_PERIODS", 6)
+    regular = spark.sql(
+        f"SELECT s, t, CASE WHEN day(t) % 5 > 0 THEN 1.0 * (unix_seconds(CAST(t AS timestamp)) % 1009 + s) END AS v "
+        f"FROM VALUES (1), (2) AS x(s) LATERAL VIEW explode(sequence(TIMESTAMP_NTZ'2023-12-30 00:00:00', TIMESTAMP_NTZ'2023-12-30 00:00:00' + 40 * INTERVAL {step})) AS t"
+        if frequency != "monthly"
+        else "SELECT s, t, 1.0 * month(t) * s AS v FROM VALUES (1), (2) AS x(s) LATERAL VIEW explode(sequence(TIMESTAMP_NTZ'2019-01-01 00:00:00', TIMESTAMP_NTZ'2024-01-01 00:00:00', INTERVAL 1 MONTH)) AS t"
+    )
+    for features, reach in ((ts.lag_features, (1, 4, 9)), (ts.rolling_features, (2, 7))):
+        ours = features(regular, "t", "v", reach, ["s"], frequency)
+        whole = features(regular, "t", "v", reach, ["s"])
+        assert ours.columns == whole.columns
+        assert sorted(map(str, ours.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_one_series_is_not_one_task(spark):
+    regular = spark.sql("SELECT timestampadd(HOUR, CAST(id AS int), TIMESTAMP_NTZ'2020-01-01 00:00:00') AS t, id AS v FROM range(50000)")
+    for found in (ts.rolling_features(regular, "t", "v", frequency="hourly"), ts.lag_features(regular, "t", "v", frequency="hourly")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan and "SinglePartition" not in plan
+    with pytest.raises(ValueError, match="Unknown frequency"):
+        ts.lag_features(regular, "t", "v", frequency="yearly")

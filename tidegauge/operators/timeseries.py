@@ -13,6 +13,10 @@ FREQUENCIES = {
     "weekly": ("week", "INTERVAL 7 DAYS"),
     "monthly": ("month", "INTERVAL 1 MONTH"),
 }
+# Seconds of a period at most.
+LONGEST_PERIOD = {"hourly": 3600, "daily": 86400, "weekly": 604800, "monthly": 31 * 86400}
+#: Periods in a part of a long series.
+PART_PERIODS = 10_000
 DEFAULT_LAGS = (1, 7, 14, 28)
 DEFAULT_ROLLING = (7, 14, 28)
 
@@ -81,16 +85,50 @@ def missing_periods(
     return resample(df, timestamp_col, frequency, {}, series).where(F.col("n") == 0).drop("n")
 
 
+def _in_parts(regular: DataFrame, time_col: str, frequency: str, reach: int) -> DataFrame:
+    """A regular series cut by time into parts, each with the ``reach`` periods before it.
+
+    ``_part`` says which part a row is computed in; in the part a row belongs to ``_own`` is true.
+    """
+    if frequency not in LONGEST_PERIOD:
+        raise ValueError(f"Unknown frequency: {frequency}")
+    step = LONGEST_PERIOD[frequency]
+    width = max(PART_PERIODS, reach) * step
+    at = F.unix_seconds(F.col(time_col).cast("timestamp"))
+    part = F.floor(at / width)
+    own = F.struct(part.alias("_part"), F.lit(True).alias("_own"))
+    next_ = F.struct((part + 1).alias("_part"), F.lit(False).alias("_own"))
+    return regular.select("*", F.inline(F.when(at >= (part + 1) * width - reach * step, F.array(own, next_)).otherwise(F.array(own))))
+
+
+def _over_series(
+    regular: DataFrame, time_col: str, series: list[str] | None, frequency: str | None, reach: int, features
+) -> DataFrame:
+    """``regular`` with the columns that ``features`` makes of a window specification, in parts where the frequency is given."""
+    if frequency is None:
+        return regular.select("*", *features(_ordered(time_col, series)))
+    parts = _in_parts(regular, time_col, frequency, reach)
+    found = parts.select("*", *features(_ordered(time_col, [*(series or []), "_part"])))
+    return found.where("_own").drop("_part", "_own")
+
+
 def lag_features(
     regular: DataFrame,
     time_col: str,
     value_col: str,
     lags: tuple[int, ...] = DEFAULT_LAGS,
     series: list[str] | None = None,
+    frequency: str | None = None,
 ) -> DataFrame:
-    """Earlier values of a regular series as columns ``<value>_lag_<k>``."""
-    order = _ordered(time_col, series)
-    return regular.select("*", *[F.lag(value_col, k).over(order).alias(f"{value_col}_lag_{k}") for k in lags])
+    """Earlier values of a regular series as columns ``<value>_lag_<k>``.
+
+    With the ``frequency`` of the series its parts are computed side by side, each with an overlap
+    of the longest lag, so that one long series is not one task.
+    """
+    return _over_series(
+        regular, time_col, series, frequency, max(lags, default=0),
+        lambda order: [F.lag(value_col, k).over(order).alias(f"{value_col}_lag_{k}") for k in lags],
+    )
 
 
 def rolling_features(
@@ -99,18 +137,26 @@ def rolling_features(
     value_col: str,
     windows: tuple[int, ...] = DEFAULT_ROLLING,
     series: list[str] | None = None,
+    frequency: str | None = None,
 ) -> DataFrame:
-    """Mean, extremes and deviation over the last ``k`` periods, the current one included."""
-    columns = []
-    for k in windows:
-        last = _ordered(time_col, series).rowsBetween(-(k - 1), Window.currentRow)
-        columns += [
-            F.avg(value_col).over(last).alias(f"{value_col}_avg_{k}"),
-            F.min(value_col).over(last).alias(f"{value_col}_min_{k}"),
-            F.max(value_col).over(last).alias(f"{value_col}_max_{k}"),
-            F.stddev(value_col).over(last).alias(f"{value_col}_stddev_{k}"),
-        ]
-    return regular.select("*", *columns)
+    """Mean, extremes and deviation over the last ``k`` periods, the current one included.
+
+    With the ``frequency`` of the series its parts are computed side by side, see :func:`lag_features`.
+    """
+
+    def features(order) -> list[Column]:
+        columns = []
+        for k in windows:
+            last = order.rowsBetween(-(k - 1), Window.currentRow)
+            columns += [
+                F.avg(value_col).over(last).alias(f"{value_col}_avg_{k}"),
+                F.min(value_col).over(last).alias(f"{value_col}_min_{k}"),
+                F.max(value_col).over(last).alias(f"{value_col}_max_{k}"),
+                F.stddev(value_col).over(last).alias(f"{value_col}_stddev_{k}"),
+            ]
+        return columns
+
+    return _over_series(regular, time_col, series, frequency, max(windows, default=1) - 1, features)
 
 
 def autocorrelation(

@@ -80,6 +80,25 @@ def rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, *[f"total_stddev_{k}" for k in ts.DEFAULT_ROLLING], digits=2)
 
 
+ONE_SERIES = (24, 168)
+
+
+@workload(f"""
+WITH f AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS period, count(*) AS n, sum(value) AS total FROM events GROUP BY 1),
+d AS (SELECT unnest(generate_series((SELECT min(period) FROM f), (SELECT max(period) FROM f), INTERVAL 1 HOUR)) AS period),
+series AS (SELECT d.period, coalesce(n, 0) AS n, coalesce(total, 0) AS total FROM d LEFT JOIN f ON d.period = f.period)
+SELECT period, n, round(total, 4) AS total, round(lag(total, 24) OVER (ORDER BY period), 4) AS total_lag_24,
+       {', '.join(f'round({f}(total) OVER (ORDER BY period ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW), 4) AS total_{f}_{k}' for k in ONE_SERIES for f in ('avg', 'min', 'max'))}
+FROM series""")
+def rolling_features_one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly totals of all events as one series, its features computed in parts of time that overlap."""
+    hourly = ts.resample(table(spark, sf_dir, "events"), "ts", "hourly", {"total": F.sum("value")}, fill=0.0)
+    lagged = ts.lag_features(hourly, "period", "total", (24,), frequency="hourly")
+    found = ts.rolling_features(lagged, "period", "total", ONE_SERIES, frequency="hourly")
+    found = found.drop(*[f"total_stddev_{k}" for k in ONE_SERIES])
+    return rounded(found, *[c for c in found.columns if c.startswith("total")], digits=4)
+
+
 @workload("""
 WITH f AS (SELECT DISTINCT l_suppkey, date_trunc('day', l_shipdate)::TIMESTAMP AS period FROM lineitem),
 d AS (SELECT l_suppkey, unnest(generate_series(min(period), max(period), INTERVAL 1 DAY)) AS period FROM f GROUP BY 1)
