@@ -79,3 +79,104 @@ def test_odd_quality_and_addresses(spark):
     assert by_key(urls.select(quality.url_host(F.col("url")), quality.url_path(F.col("url"))).collect()) == by_key(
         [("ex.example", "Path"), ("a.b", ""), (None, None), ("", "")]
     )
+
+
+def plain_weight(groups):
+    """Weight of a beta prior from (n, good, centre) by its moments."""
+    n = sum(g[0] for g in groups)
+    spread = sum(c * (good / c - centre) ** 2 for c, good, centre in groups)
+    chance = sum(centre * (1 - centre) for _, _, centre in groups)
+    scale = sum(c * centre * (1 - centre) for c, _, centre in groups)
+    real = (spread - chance) / n
+    return quality.STRONGEST if real <= 0 else min(quality.STRONGEST, max(quality.WEAKEST, scale / n / real - 1))
+
+
+def plain_sites(rows):
+    """Host and path rates from (host, path, p), in plain Python."""
+    hosts, paths = {}, {}
+    for host, path, p in rows:
+        for table, key in ((hosts, host), (paths, (host, path))):
+            n, good = table.get(key, (0, 0.0))
+            table[key] = n + 1, good + p
+    centre = sum(g for _, g in hosts.values()) / sum(n for n, _ in hosts.values())
+    weight = plain_weight([(n, g, centre) for n, g in hosts.values()])
+    host_rates = {h: (weight * centre + g) / (weight + n) for h, (n, g) in hosts.items()}
+    weight = plain_weight([(n, g, host_rates[h]) for (h, _), (n, g) in paths.items()])
+    return centre, host_rates, {(h, p): (weight * host_rates[h] + g) / (weight + n) for (h, p), (n, g) in paths.items()}
+
+
+def test_site_quality_recomputed_over_a_whole_table(spark):
+    """Rates and scores of the given documents follow from their evidence."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    sites = {r.doc_id: (r.source, r.lang) for r in docs.collect()}
+    got = quality.quality_scores(docs, labels).collect()
+    centre, host_rates, path_rates = plain_sites([(*sites[r.doc_id], r.evidence) for r in got])
+
+    def logit(p):
+        p = min(max(p, 1e-9), 1 - 1e-9)
+        return np.log(p / (1 - p))
+
+    for r in got:
+        site = sites[r.doc_id]
+        assert abs(r.host_rate - host_rates[site[0]]) < 1e-9 and abs(r.path_rate - path_rates[site]) < 1e-9
+        want = 1 / (1 + np.exp(-(logit(r.evidence) + logit(path_rates[site]) - logit(centre))))
+        assert abs(r.score - want) < 1e-9
+
+
+def test_sites_of_crawled_pages(spark):
+    """Hosts and paths of real addresses: sparse sites are drawn to the global rate, more so than large ones."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select(
+        quality.url_host(F.col("url")).alias("host"), quality.url_path(F.col("url")).alias("path"),
+        (F.pmod(F.xxhash64(quality.url_host(F.col("url"))), F.lit(7)) / 6 * 0.6 + F.pmod(F.xxhash64("url"), F.lit(100)) / 100 * 0.4).alias("p"),
+    )
+    rows = [tuple(r) for r in pages.collect()]
+    assert all(h and "/" not in h for h, _, _ in rows)
+    sites, centre = quality.site_posteriors(pages)
+    want, host_rates, path_rates = plain_sites(rows)
+    got = sites.collect()
+    assert abs(centre - want) < 1e-9 and len(got) == len(path_rates)
+    assert all(abs(r.host_rate - host_rates[r.host]) < 1e-9 and abs(r.path_rate - path_rates[r.host, r.path]) < 1e-9 for r in got)
+    raw = {}
+    for host, _, p in rows:
+        raw.setdefault(host, []).append(p)
+    kept = {h: (host_rates[h] - centre) / (np.mean(ps) - centre) for h, ps in raw.items() if abs(np.mean(ps) - centre) > 1e-3}
+    assert all(0 < k <= 1 for k in kept.values())
+    few, many = ([k for h, k in kept.items() if (len(raw[h]) > 2) == large] for large in (False, True))
+    assert not few or not many or max(few) <= min(many) + 1e-9
+
+
+def test_languages_recomputed_over_a_whole_table(spark):
+    """Every document's set of languages by plain expectation-maximisation over dictionaries of trigrams."""
+    docs = documents(spark)
+    model = language.train(docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0), "lang", "text")
+    got = {r.doc_id: r for r in language.identify_languages(docs).collect()}
+    table = np.exp(model.log_shares)
+
+    def plain_mix(chosen, counts):
+        weights = [1 / len(chosen)] * len(chosen)
+        for _ in range(language.ROUNDS if len(chosen) > 1 else 0):
+            fresh = [0.0] * len(chosen)
+            for bucket, n in counts.items():
+                parts = [w * table[i, bucket] for w, i in zip(weights, chosen)]
+                fresh = [f + n * p / sum(parts) for f, p in zip(fresh, parts)]
+            fresh = [f / sum(counts.values()) for f in fresh]
+            moved, weights = max(abs(a - b) for a, b in zip(fresh, weights)), fresh
+            if moved < language.STILL:
+                break
+        return weights, sum(n * np.log(sum(w * table[i, b] for w, i in zip(weights, chosen))) for b, n in counts.items())
+
+    for r in docs.orderBy(F.length("text")).limit(60).collect():  # brute force is slow; the shortest are the closest calls
+        if not r.text or not any(c.isalpha() for c in r.text):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        counts = {b: int(n) for b, n in enumerate(language.trigram_counts(r.text)) if n}
+        order = sorted(range(len(model.languages)), key=lambda i, w=plain_mix(range(len(model.languages)), counts)[0]: -w[i])
+        best = None
+        for size in range(1, len(order) + 1):
+            weights, reached = plain_mix(order[:size], counts)
+            value = reached / language.OVERLAP - 0.5 * np.log(sum(counts.values()) + 1) * size
+            if best is not None and value <= best[0]:
+                break
+            best = value, dict(zip(order[:size], weights))
+        main = max(best[1], key=best[1].get)
+        assert got[r.doc_id].lang_pred == model.languages[main] and abs(got[r.doc_id].score - best[1][main]) < 1e-6
