@@ -250,6 +250,24 @@ def test_stream_drift_equals_batch_and_survives_a_replay(spark, log):
     assert got == {d: pytest.approx(v) for d, v in expected.items() if d < 4}
 
 
+def test_a_rule_that_never_fires_leaves_an_empty_table(spark):
+    from tidegauge.operators.alerts import rules_table
+    from tidegauge.spec import AlertRule
+
+    folder = scratch_dir(spark, "quiet")
+    rows = event_rows(3)
+    write_batches(spark, folder, [rows])
+    spec = MonitorSpec(timestamp_col="ts", prediction_col=None)
+    base = value_counts(category_long(spark.read.parquet(f"{folder}/b0"), [], ["c"]), ["column_name"])
+    rules = rules_table(spark, [AlertRule("prediction_drift", 1.0, "critical")])
+    store = streams.drift_sink(base, f"{folder}/out", spec, rules, f"{folder}/alerts")
+    counts = streams.stream_value_counts(stream_of(spark, folder), spec, ["c"], "1 hour")
+    streams.run_available_batches(counts, store, f"{folder}/checkpoint")
+    found = spark.read.parquet(f"{folder}/alerts")
+    assert spark.read.parquet(f"{folder}/out").count() > 0
+    assert found.count() == 0 and {"severity", "column_name", "window_end", "value"} <= set(found.columns)
+
+
 def test_scratch_folder_needs_a_shared_place_on_a_cluster():
     class Conf:
         def get(self, key, default=None):

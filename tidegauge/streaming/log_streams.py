@@ -209,15 +209,14 @@ def drift_sink(
     their slice. With ``rules`` the batch's violations are stored at ``alerts_path``. In
     append mode all counts of a window arrive in one batch, when the watermark passes its
     end. Each batch writes its own partition, so a batch that is run again after a failure
-    replaces its rows instead of adding them twice.
+    replaces its rows instead of adding them twice. A batch without rows writes an empty file,
+    so what never fired is an empty table and not a missing one.
     """
     keys = [*(WINDOW_KEYS if spec is None else group_keys(spec)), "column_name"]
     match = [k for k in keys if k in baseline_counts.columns]
 
     def save(rows: DataFrame, batch_id: int, to: str) -> None:
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(to)
+        rows.write.mode("overwrite").parquet(f"{to}/batch_id={batch_id}")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # the counts are read twice below; without the cache the stream state would be too
