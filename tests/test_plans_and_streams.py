@@ -281,3 +281,25 @@ def test_scratch_folder_needs_a_shared_place_on_a_cluster():
 
     with pytest.raises(ValueError):
         scratch_dir(Session(), "x")
+
+
+def test_trees_are_built_from_one_row_for_rows_alike_in_all_bins(spark, training_rows, monkeypatch):
+    seen, fit = [], scoring.GBTClassifier._fit
+    monkeypatch.setattr(scoring.GBTClassifier, "_fit", lambda self, rows: seen.append(rows.count()) or fit(self, rows))
+    rows = training_rows.union(training_rows.withColumn("id", F.col("id") + 1000)).withColumn("odd", F.col("id") % 2 == 1)
+    model = scoring.fit_classifier(rows, "target", {"n_estimators": 3, "max_depth": 3}, exclude=("id",))
+    scored = scoring.score(rows, model)
+    assert seen == [rows.select("a", "b", "odd", "target").distinct().count()] and seen[0] < rows.count()
+    assert scored.columns == [*rows.columns, "probability", "prediction"]
+    assert scored.where("prediction <> target").isEmpty()
+    importance = {r["feature"]: r["importance"] for r in scoring.feature_importance(model, spark).collect()}
+    assert set(importance) == {"a", "b", "odd"} and importance["a"] > 0.9
+
+
+def test_cuts_lie_between_values_and_keep_rare_ones_apart(spark):
+    from tidegauge.operators.distribution import even_cuts
+
+    rows = spark.range(100_000).selectExpr("id % 50 + 1 AS many", "CAST(id = 77 AS int) AS rare", "CAST(NULL AS double) AS none")
+    cuts = even_cuts(rows, ["many", "rare", "none"], 32)
+    assert len(cuts["many"]) == 31 and 25.5 in cuts["many"] and all(x % 1 == 0.5 for x in cuts["many"])
+    assert cuts["rare"] == [0.5] and cuts["none"] == []

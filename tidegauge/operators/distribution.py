@@ -67,15 +67,41 @@ def approx_edges(df: DataFrame, columns: list[str], bins: int | None = None) ->
     return {c: _distinct_edges(list(edges[c])) for c in columns}
 
 
+def even_cuts(df: DataFrame, columns: list[str], bins: int) -> Edges:
+    """Numbers between neighbouring values that cut each column into ``bins`` parts of like size at most.
+
+    A column of so few values is cut between all of them. The distribution is read from a
+    sketch at :data:`EDGE_SKETCH_SIZE` steps, least and greatest value included, so no cut meets a value.
+    """
+    if not columns:
+        return {}
+    found = _steps(df, columns, EDGE_SKETCH_SIZE, {c: set() for c in columns}, ends=True)
+    return {c: _cuts_between(values, bins) for c, (values, _) in found.items()}
+
+
+def _cuts_between(values: list[float], bins: int) -> list[float]:
+    """The middles between different neighbours that are nearest to equal steps."""
+    counts = sorted(Counter(values).items())
+    cuts, step, reached, target = [], len(values) / bins, 0, len(values) / bins
+    for (low, n), (high, more) in zip(counts, counts[1:]):
+        reached += n
+        if len(counts) <= bins or abs(reached - target) < abs(reached + more - target):
+            cuts.append(low / 2 + high / 2)
+            target += step
+    return _distinct_edges([x for x in cuts if abs(x) < float("inf")])
+
+
 def _steps(
-    df: DataFrame, columns: list[str], bins: int, aside: dict[str, set[float]]
+    df: DataFrame, columns: list[str], bins: int, aside: dict[str, set[float]], ends: bool = False
 ) -> dict[str, tuple[list[float], float]]:
     """Per column the values at equal steps and how many different ones there are, without those set aside.
 
+    With ``ends`` the least and the greatest value too.
+
     The sketches of the map tasks are merged in groups first, so the last task never meets
     one per map task.
     """
-    steps = ", ".join(f"{i / bins!r}D" for i in range(1, bins))
+    steps = ", ".join(f"{i / bins!r}D" for i in range(0 if ends else 1, bins + ends))
     size = EDGE_SKETCH_SIZE
 
     def value(c: str) -> str:

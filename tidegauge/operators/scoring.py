@@ -7,18 +7,21 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.columns import count_where, quoted
+from tidegauge.operators.distribution import even_cuts
 from tidegauge.operators.prepare import feature_columns
 
 # Default settings of the classifier.
 DEFAULT_PARAMS = {"max_depth": 5, "n_estimators": 100, "learning_rate": 0.1}
 DEFAULT_SEED = 42
+# Bins of a numeric feature, the classifier's own default.
+FEATURE_BINS = 32
 
 
 def fit_classifier(
@@ -30,35 +33,62 @@ def fit_classifier(
 ) -> PipelineModel:
     """Fit a binary classifier on all columns but the target and the excluded ones.
 
-    The rows stay in Spark; the trees are built from distributed statistics.
+    A tree sees the bin of a number and nothing else, so the bins are cut first and rows
+    alike in all of them are counted: the trees are built from one weighted row for each, and a
+    table of any length is read twice, however many trees there are.
     """
     settings = {**DEFAULT_PARAMS, **(params or {})}
-    assembler = VectorAssembler(
-        inputCols=feature_columns(train, target, exclude), outputCol="features", handleInvalid="keep"
-    )
+    features = feature_columns(train, target, exclude)
+    numeric = [c for c in features if isinstance(train.schema[c].dataType, T.NumericType)]
+    taken, names = {c.lower() for c in train.columns}, {}
+    for c in numeric:
+        names[c] = f"{c}_bin"
+        while names[c].lower() in taken:
+            names[c] += "_"
+        taken.add(names[c].lower())
+    cuts = even_cuts(train, numeric, FEATURE_BINS)
+    binning = [
+        Bucketizer(
+            splitsArray=[[-float("inf"), *(cuts[c] or [0.0]), float("inf")] for c in numeric],
+            inputCols=numeric,
+            outputCols=list(names.values()),
+            handleInvalid="keep",
+        )
+    ] if numeric else []
+    inputs = [names.get(c, c) for c in features]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+    weight = "n_rows"
+    while weight.lower() in taken:
+        weight += "_"
     classifier = GBTClassifier(
         labelCol=target,
         featuresCol="features",
+        weightCol=weight,
+        maxBins=FEATURE_BINS,
         maxDepth=settings["max_depth"],
         maxIter=settings["n_estimators"],
         stepSize=settings["learning_rate"],
         seed=seed,
     )
-    return Pipeline(stages=[assembler, classifier]).fit(train)
+    binned = Pipeline(stages=binning).fit(train).transform(train)
+    # a missing number stays missing, which the classifier refuses
+    known = {names[c]: F.when(~F.isnan(F.col(quoted(c)).cast("double")), F.col(quoted(names[c]))) for c in numeric}
+    alike = binned.withColumns(known).groupBy(*[F.col(quoted(c)) for c in (*inputs, target)]).agg(F.count("*").cast("double").alias(weight))
+    fitted = Pipeline(stages=[assembler, classifier]).fit(alike)
+    return PipelineModel([*binning, *fitted.stages])
 
 
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     """The table with the predicted class and the probability of the positive class."""
-    return (
-        model.transform(df)
-        .withColumn("probability", vector_to_array("probability")[1])
-        .drop("features", "rawPrediction")
-    )
+    positive = vector_to_array("probability")[1].alias("probability")
+    return model.transform(df).select(*[F.col(quoted(c)) for c in df.columns], positive, "prediction")
 
 
 def feature_importance(model: PipelineModel, spark) -> DataFrame:
     """One row per feature, greatest importance first."""
-    names = model.stages[0].getInputCols()
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    binned = {b: c for s in model.stages if isinstance(s, Bucketizer) for b, c in zip(s.getOutputCols(), s.getInputCols())}
+    names = [binned.get(c, c) for c in assembler.getInputCols()]
     rows = [(n, float(v)) for n, v in zip(names, model.stages[-1].featureImportances.toArray())]
     table = spark.createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature")
