@@ -135,3 +135,20 @@ def test_a_forest_connects_what_its_pairs_connect():
     i, j = rng.integers(0, 40, (2, 300))
     keep = sc.forest_of(i, j, 40)
     assert keep.sum() == 39 and sc.forest_of(i[keep], j[keep], 40).all()
+
+
+def test_pivots_link_copies_that_the_overlap_confirms(spark):
+    """Copies with one word replaced link by their SimHashes; a text that only shares the SimHash does not."""
+    from pyspark.sql import functions as F
+
+    texts = [*copies(4, [1]), "other words that stand for themselves and nothing else at all"]
+    sets = [sc.shingles(t) for t in texts]
+    prints = [sc.signed(sc.majority(s)) for s in sets]
+    near = {(i, j) for i in range(4) for j in range(i + 1, 4) if (prints[i] ^ prints[j]).bit_count() <= 4}
+    heads = spark.createDataFrame([*enumerate(prints), (5, prints[0])], "id long, fp long")
+    hashes = [(i, s.view("int64").tolist()) for i, s in enumerate([*sets, sets[4]])]
+    found = {(r.a, r.b) for r in sc.pivot_edges(heads, spark.createDataFrame(hashes, "id long, hashes array<long>")).collect()}
+    assert near and found and found <= near
+    assert {i for pair in found for i in pair} == {i for pair in near for i in pair}
+    signed = spark.createDataFrame([(t,) for t in texts], "text string").select(sc._signature(F.col("text")).alias("s")).select("s.fp")
+    assert sorted(r.fp for r in signed.collect()) == sorted(prints)

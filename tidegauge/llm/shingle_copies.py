@@ -1,11 +1,12 @@
-"""Near copies by the overlap of word shingles, for the pipeline.
+"""Near copies by SimHash pivots and the overlap of word shingles, for the pipeline.
 
 Two texts are near copies when their sets of five-word shingles have a Jaccard similarity of
-0.8 or more. Candidates share a band of minimum hashes; a pair with similarity 0.8 shares
-none of the bands with probability 1.2e-7, a more similar one with less. Each pair that
-counts is verified by its exact overlap. 64-bit SimHashes are no candidates here: pairs of
-similarity 0.8 differ in up to 17 bits, and no blocks of so few bits agree by chance seldom
-enough.
+0.8 or more. The SimHashes of the shingles are linked first, by buckets, pivot distance tables
+and bits (:mod:`tidegauge.llm.simhash_pivots`). Pairs of similarity 0.8 differ in up to 17 bits
+though, and no blocks of so few bits agree by chance seldom enough, so what four bits do not
+reach comes from bands of minimum hashes: a pair with similarity 0.8 shares none of them with
+probability 1.2e-7, a more similar one with less. Each pair that counts is verified by its
+exact overlap.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.columns import quoted
 from tidegauge.llm.common import bound_batches, let_go, lower_ascii, pick, stage, unused
 from tidegauge.llm.components import components
+from tidegauge.llm.simhash_pivots import link_edges, majority, signed
 
 WIDTH = 5
 #: Bands of minimum hashes, and minima in one band.
@@ -57,12 +59,12 @@ def bands(hashes: np.ndarray) -> np.ndarray:
 
 
 def _signature(text: Column) -> Column:
-    @F.pandas_udf("n int, class binary, bands array<long>")
+    @F.pandas_udf("n int, class binary, fp long, bands array<long>")
     def signature(texts: pd.Series) -> pd.DataFrame:
         let_go()
         sets = map(shingles, texts)
-        rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes()), bands(s)) for s in sets]
-        return pd.DataFrame(rows, columns=["n", "class", "bands"])
+        rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes()), signed(majority(s)), bands(s)) for s in sets]
+        return pd.DataFrame(rows, columns=["n", "class", "fp", "bands"])
 
     return signature(text)
 
@@ -83,6 +85,20 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common * 9 >= (F.size("ours") + F.size("theirs")) * 4).select("a", "b")
 
 
+def pivot_edges(heads: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified edges between texts whose SimHashes link: pivot tables discard, bits and then the overlap verify.
+
+    ``heads`` has ``id``, ``fp``. Texts of one SimHash meet the smallest id among them; between
+    SimHashes there are fewer edges than SimHashes in each bucket.
+    """
+    prints = stage(heads.groupBy("fp").agg(F.min("id").alias("first")), "prints")
+    links = link_edges(prints.select("fp"))
+    ends = links.join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b")
+    between = ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    alike = heads.join(prints, "fp").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    return stage(verified(between.union(alike).distinct().where("a < b"), sets), "pivot-edges")
+
+
 def star_edges(heads: DataFrame, sets: DataFrame) -> DataFrame:
     """Verified edges from texts to the smallest id of their bucket, in the first bands.
 
@@ -231,19 +247,19 @@ def bucket_pairs(members: DataFrame, heads: DataFrame, sets: DataFrame, forest:
 def similar_edges(heads: DataFrame, sets: DataFrame) -> DataFrame:
     """Verified edges ``(a, b)`` that connect whatever is similar and shares a bucket.
 
-    ``heads`` has ``id``, ``n``, ``bands``; ``sets`` the shingles of each id that shares a bucket. After
-    :func:`star_edges` only buckets that still hold several groups are looked at, and in them
+    ``heads`` has ``id``, ``n``, ``fp``, ``bands``; ``sets`` the shingles of each id that shares a bucket. After
+    :func:`pivot_edges` and :func:`star_edges` only buckets that still hold several groups are looked at, and in them
     only pairs of different groups, part by part of a bucket, by products of matrices in a task.
     A part gives a forest of its pairs, so a large group costs rows, not pairs. Each pair is
     verified; should one of them be a collision, all pairs of all parts are verified instead.
     """
-    stars = star_edges(heads, sets)
-    members = stage(dealt_members(heads, components(stars)), "open-members")
+    known = pivot_edges(heads, sets).union(star_edges(heads, sets))
+    members = stage(dealt_members(heads, components(known)), "open-members")
     pairs = stage(bucket_pairs(members, heads, sets, True), "candidate-pairs")
     found = stage(verified(pairs, sets), "similar-pairs")
     if found.count() < pairs.count():
         found = stage(verified(bucket_pairs(members, heads, sets, False), sets), "similar-pairs")
-    return stars.union(found)
+    return known.union(found)
 
 
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,12 +274,12 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     told = docs.withColumn(digest, F.coalesce(F.sha2(text.cast("binary"), 256), F.lit("")))
     signed = pick(told, doc_id=id_col, digest=digest, text=text_col).withColumn("s", _signature(F.col("text")))
     signatures = stage(
-        signed.select("doc_id", "digest", "s.n", "s.class", "s.bands", F.monotonically_increasing_id().alias("row")), "shingle-signatures"
+        signed.select("doc_id", "digest", "s.n", "s.class", "s.fp", "s.bands", F.monotonically_increasing_id().alias("row")), "shingle-signatures"
     )
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
     classes = stage(signatures.groupBy("class").agg(F.min("row").alias("id"), F.min(order).alias("first")), "shingle-classes")
     heads = stage(
-        signatures.join(classes.select("id"), F.col("row") == F.col("id"), "left_semi").select(F.col("row").alias("id"), "n", "digest", "bands"), "shingle-heads"
+        signatures.join(classes.select("id"), F.col("row") == F.col("id"), "left_semi").select(F.col("row").alias("id"), "n", "digest", "fp", "bands"), "shingle-heads"
     )
     keyed = heads.select("id", F.explode("bands").alias("band"))
     rows = keyed.groupBy("band").agg(F.count("*").alias("rows"))
@@ -271,7 +287,7 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = sharing.join(heads.select("id", F.col("digest").alias("wanted")), "id")
     texts = pick(told, digest=digest, text=text_col).join(wanted, F.col("digest") == F.col("wanted"))
     sets = stage(texts.groupBy("id").agg(F.first("text").alias("text")).select("id", _set(F.col("text")).alias("hashes")), "candidate-shingles")
-    labels = components(similar_edges(heads.select("id", "n", "bands"), sets)).toDF("node", "found")
+    labels = components(similar_edges(heads.select("id", "n", "fp", "bands"), sets)).toDF("node", "found")
     labelled = classes.join(labels, F.col("id") == F.col("node"), "left").select("id", "first", F.coalesce("found", "id").alias("label"))
     firsts = labelled.groupBy("label").agg(F.min("first").alias("first")).select(
         F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest")

@@ -52,12 +52,17 @@ def fingerprint(text: str | None, width: int = 4) -> int:
         starts = [0, *ends[: len(words) - width]]
         hash64 = xxhash.xxh64_intdigest
         hashes = [hash64(joined[a : b - 1], 42) for a, b in zip(starts, ends[width - 1 :])]
+    return majority(np.array(hashes, dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have set, as an unsigned number."""
     counts = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
-        block = np.array(hashes[at : at + (1 << 16)], dtype="<u8").view(np.uint8).reshape(-1, 8)
+        block = hashes[at : at + (1 << 16)].astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
-    majority = np.packbits(2 * counts > len(hashes), bitorder="little")
-    return int(majority.view("<u8")[0])
+    bits = np.packbits(2 * counts > len(hashes), bitorder="little")
+    return int(bits.view("<u8")[0])
 
 
 def fingerprint_column(text: Column, width: int = 4) -> Column:
