@@ -30,8 +30,11 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id`` with the number and digest of its token ids, and the digest of what they decode to."""
-    return bpe.round_trips(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """``doc_id`` with the number and digest of its token ids, and the digest of what they decode to.
+
+    Fewer characters at once than alone: executors still hold what the stages before took.
+    """
+    return bpe.round_trips(docs, public_tokenizers.path("word_bpe_49k.json"), at_once=1 << 20)
 
 
 STAGES = [

@@ -82,3 +82,10 @@ def test_proposals_fail_and_are_merged(ours):
         pairs = list(zip(greedy[i], greedy[i][1:]))
         fine = ours.compatible(*map(lambda x: np.array(x), zip(*pairs))).all() if pairs else True
         assert fine == (greedy[i] == exact[i])
+
+
+def test_fewer_characters_at_once_change_no_token():
+    with open(PATH) as file:
+        words = bpe.WordBpe(json.load(file))
+    texts = ["one Two  three", None, "", "four, five." * 50, "six"]
+    assert [e.tolist() for e in words.encode(texts, at_once=1)] == [e.tolist() for e in words.encode(texts)]

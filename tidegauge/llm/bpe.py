@@ -297,14 +297,14 @@ class WordBpe:
                 [self.words[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in cut]
             )
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """The token ids of each text; none for a null."""
+    def encode(self, texts: Iterable[str | None], at_once: int = AT_ONCE) -> Iterator[np.ndarray]:
+        """The token ids of each text; none for a null. Fewer characters ``at_once`` take less memory and more time."""
         block: list[list[str]] = []
         n = 0
         for text in texts:
             block.append(self._pieces(text) if text else [])
             n += len(text) if text else 0
-            if n >= AT_ONCE:
+            if n >= at_once:
                 yield from self._encode_block(block)
                 block, n = [], 0
         yield from self._encode_block(block)
@@ -364,7 +364,7 @@ def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: s
     return pick(encoded, doc_id=id_col, ids=ids_col).select("doc_id", text("ids").alias("text"))
 
 
-def round_trips(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trips(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", at_once: int = AT_ONCE) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` per row of ``docs``.
 
     Every whole text is encoded and its ids decoded again in the task that holds it; only the
@@ -378,7 +378,7 @@ def round_trips(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     def digests(texts: pd.Series) -> pd.DataFrame:
         bpe = vocabulary.open()
         rows = []
-        for encoded in bpe.encode(texts):
+        for encoded in bpe.encode(texts, at_once):
             ids = encoded.tolist()
             rows.append((
                 len(ids),
